@@ -8,7 +8,7 @@ ignores. Sources and sinks are attached in ``rill.streaming.jobs``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rill import schemas
@@ -79,17 +79,26 @@ def access_log_event_time(records: DataFrame) -> DataFrame:
     return records.withColumn("eventTime", epoch_millis_to_seconds("ts"))
 
 
-def access_log_rows(records: DataFrame, *, delay: str | None = None) -> DataFrame:
+def access_log_keep() -> Column:
+    """The access-log row filter, on table-layout column names."""
+    return F.col("merchandise_id") > 0
+
+
+def access_log_rows(
+    records: DataFrame, *, delay: str | None = None, apply_filter: bool = True
+) -> DataFrame:
     """Access-log records -> partitioned access-log table rows.
 
-    Keeps ``merchandiseId > 0``, renames to snake_case by position and
-    derives the date / hour / minute partition strings from event time.
-    Map-only: no shuffle.
+    Keeps ``merchandiseId > 0`` (``apply_filter=False`` leaves that to
+    the sink, see ``access_log_keep``), renames to snake_case by position
+    and derives the date / hour / minute partition strings from event
+    time. Map-only: no shuffle.
     """
     df = access_log_event_time(records)
     if delay:
         df = with_watermark(df, "eventTime", delay)
-    df = keep_positive(df, "merchandiseId")
+    if apply_filter:
+        df = keep_positive(df, "merchandiseId")
     d, h, m = partition_values("eventTime")
     out = df.select(
         "ts", "userId", "eventType", "fromType", "columnType", "siteId",

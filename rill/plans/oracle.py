@@ -131,3 +131,38 @@ ORACLE: dict[str, str] = {
     """,
     "tracked_urls": "SELECT url FROM pages",
 }
+
+MS_TS = "make_timestamp((epoch_us(ts) // 1000) * 1000)"
+
+ORACLE.update({
+    "site_count_20s_stream": f"""
+        SELECT * FROM ({ORACLE["site_count_20s"]}) c
+        WHERE end_time <= (SELECT max({SEC_TS}) FROM events) - INTERVAL 15 SECOND
+    """,
+    "url_count_5s_stream": f"""
+        WITH m AS (SELECT event_type AS url, {MS_TS} AS et FROM events),
+        c AS (
+            SELECT url, count(*) AS cnt,
+                   {bucket("epoch_us(et)", SEC_5)} AS window_start,
+                   {bucket("epoch_us(et)", SEC_5, end=True)} AS window_end
+            FROM m GROUP BY 1, 3, 4
+        )
+        SELECT * FROM c WHERE window_end <= (SELECT max(et) FROM m) - INTERVAL 2 SECOND
+    """,
+    "text_sink_roundtrip": f"""
+        WITH m AS (SELECT event_type, {MS_TS} AS et FROM events),
+        c AS (
+            SELECT event_type, count(*) AS n, {bucket("epoch_us(et)", DAY, end=True)} AS window_end
+            FROM m GROUP BY 1, 3
+        )
+        SELECT '{{"f0":"' || event_type || '","f1":' || CAST(n AS VARCHAR) || '}}' AS value
+        FROM c WHERE window_end <= (SELECT max(et) FROM m) - INTERVAL 2 SECOND
+    """,
+    "access_log_hive_stream": ORACLE["access_log_etl"],
+    "access_log_committed": f"""
+        SELECT * FROM ({ORACLE["access_log_etl"]}) r
+        WHERE strptime(ts_date || ' ' || ts_hour || ':' || ts_minute || ':00', '%Y-%m-%d %H:%M:%S')
+                + INTERVAL 1 MINUTE
+              < (SELECT max({SEC_TS}) FROM events) - INTERVAL 15 SECOND
+    """,
+})

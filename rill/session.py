@@ -40,6 +40,7 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         # no-data micro-batches let the watermark close the last windows
         "spark.sql.streaming.noDataMicroBatches.enabled": "true",
     }
