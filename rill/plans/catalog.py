@@ -32,7 +32,7 @@ def qualified(database: str | None, table: str) -> str:
 def table_exists(spark: SparkSession, table: str, database: str | None = None) -> bool:
     """Exact-name lookup in ``database`` (default: the current one)."""
     db = database or spark.catalog.currentDatabase()
-    return bool(spark.catalog.tableExists(table, db))
+    return bool(spark.catalog.tableExists(f"`{db}`.`{table}`"))
 
 
 def create_if_absent(spark: SparkSession, table: str, ddl: str, database: str | None = None) -> bool:
