@@ -107,6 +107,18 @@ def access_log_rows(
     return insert_by_position(out, schemas.ACCESS_LOG_TABLE)
 
 
+def hourly_order_rows(orders: DataFrame, *, delay: str | None = None) -> DataFrame:
+    """Order records -> hourly order table rows (``dt``, ``hour`` partitions)."""
+    df = orders
+    if delay:
+        df = with_watermark(df, "log_ts", delay)
+    out = df.select(
+        "user_id", "order_amount",
+        F.date_format("log_ts", "yyyy-MM-dd"), F.date_format("log_ts", "HH"),
+    )
+    return insert_by_position(out, schemas.HOURLY_ORDER_TABLE)
+
+
 def host_mem(lines: DataFrame, *, lenient: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """CSV metric lines -> (host, mem, event_ms); lines without a comma drop."""
     host, mem = csvf.host_and_mem("value", lenient=lenient)

@@ -77,6 +77,17 @@ ORACLE: dict[str, str] = {
                  < (SELECT max({SEC_TS}) FROM events) - INTERVAL 15 SECOND AS ready
         FROM t
     """,
+    "hourly_partitions_ready": """
+        WITH p AS (
+            SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS "hour" FROM events
+        ), t AS (
+            SELECT dt, "hour", strptime(dt || ' ' || "hour" || ':00:00', '%Y-%m-%d %H:%M:%S') AS partition_time
+            FROM p
+        )
+        SELECT dt, "hour", partition_time,
+               partition_time + INTERVAL 1 HOUR < (SELECT max(ts) FROM events) - INTERVAL 5 SECOND AS ready
+        FROM t
+    """,
     "csv_metric_split": f"""
         SELECT event_id AS "offset", event_type AS host, CAST(floor(value) AS BIGINT) AS mem,
                {MS} AS event_ms
@@ -159,6 +170,8 @@ ORACLE.update({
         FROM c WHERE window_end <= (SELECT max(et) FROM m) - INTERVAL 2 SECOND
     """,
     "access_log_hive_stream": ORACLE["access_log_etl"],
+    "site_count_20s_sql": ORACLE["site_count_20s"],
+    "product_like_sum_stream": ORACLE["product_like_sum"],
     "access_log_committed": f"""
         SELECT * FROM ({ORACLE["access_log_etl"]}) r
         WHERE strptime(ts_date || ' ' || ts_hour || ':' || ts_minute || ':00', '%Y-%m-%d %H:%M:%S')

@@ -89,6 +89,37 @@ def partitions_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# K5 S4 W3 -- hourly (dt, hour) partitions of the order table and the 1 h rule
+def hourly_partitions_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = replay.order_records(_events(spark, sf_dir))
+    return partition_readiness(
+        jobs.hourly_order_rows(orders),
+        partition_cols=schemas.HOURLY_ORDER_PARTITIONS,
+        pattern=schemas.HOUR_PARTITION_PATTERN,
+        event_time=F.col("log_ts"),
+        watermark_delay=schemas.ORDER_DELAY,
+        commit_delay=schemas.HOUR_COMMIT_DELAY,
+        watermark_source=orders,
+    )
+
+
+# C5 A1 T2 T3 -- the site-count job as SQL text over an unregistered frame
+SITE_COUNT_SQL = """
+    SELECT siteId AS url, count(*) AS access_count,
+           window.start AS start_time, window.end AS end_time
+    FROM (
+        SELECT siteId, window(to_timestamp_ntz(logTime, 'yyyy-MM-dd HH:mm:ss'), '20 seconds') AS window
+        FROM {records}
+    )
+    GROUP BY window, siteId
+"""
+
+
+def site_count_20s_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = replay.access_log_text_records(_events(spark, sf_dir))
+    return spark.sql(SITE_COUNT_SQL, records=records)
+
+
 # P6 F3 F9 -- CSV metric lines split into host, mem and event millis
 def csv_metric_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = replay.csv_metric_topic(_events(spark, sf_dir))
@@ -165,6 +196,8 @@ BATCH_QUERIES = {
     "event_time_from_epoch": event_time_from_epoch,
     "access_log_etl": access_log_etl,
     "partitions_ready": partitions_ready,
+    "hourly_partitions_ready": hourly_partitions_ready,
+    "site_count_20s_sql": site_count_20s_sql,
     "csv_metric_split": csv_metric_split,
     "host_mem_mean_2s": host_mem_mean_2s,
     "late_row_audit": late_rows,

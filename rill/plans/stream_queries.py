@@ -23,7 +23,9 @@ from rill.streaming.commit import (
     PROP_TRIGGER, TRIGGER_PARTITION_TIME,
 )
 from rill.streaming.runner import run
-from rill.streaming.sinks import TableAppendSink, for_each_batch, to_files, to_text
+from rill.streaming.sinks import (
+    CompleteResultSink, TableAppendSink, for_each_batch, to_files, to_text,
+)
 
 # Fixed value: database holding the sink tables of the registered queries.
 SINK_DATABASE = "access_logs"
@@ -71,6 +73,27 @@ def text_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(f"{out}/data")
 
 
+# A6 P4 -- running SUM over a filtered stream (complete output mode)
+def product_like_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from rill.operators.aggregate import like_sum
+    from rill.plans.queries import PRODUCT_PATTERN
+
+    conform(spark)
+    part = stream_table(spark, sf_dir, "part").select(
+        F.col("p_type").alias("product"),
+        F.col("p_retailprice").cast("decimal(18,2)").alias("amount"),
+    )
+    total = like_sum(part, "product", PRODUCT_PATTERN, "amount", alias="total_amount")
+    out = scratch_path(spark, "product_like_sum_stream")
+    run(for_each_batch(total, CompleteResultSink(f"{out}/data"), f"{out}/checkpoint",
+                       output_mode="complete", available_now=True))
+    return spark.read.parquet(f"{out}/data").select(
+        F.col("total_amount").cast("double").alias("total_amount")
+    )
+
+
 def _sink_table(spark: SparkSession, label: str, properties=None) -> tuple[str, str]:
     """Create a fresh partitioned access-log table; returns (name, folder)."""
     base = scratch_path(spark, label)
@@ -107,6 +130,7 @@ STREAM_QUERIES = {
     "site_count_20s_stream": site_count_20s_stream,
     "url_count_5s_stream": url_count_5s_stream,
     "text_sink_roundtrip": text_sink_roundtrip,
+    "product_like_sum_stream": product_like_sum_stream,
     "access_log_hive_stream": access_log_hive_stream,
     "access_log_committed": access_log_committed,
 }

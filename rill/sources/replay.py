@@ -93,6 +93,15 @@ def user_log_columns() -> list[Column]:
     ]
 
 
+def order_columns() -> list[Column]:
+    """Order fields per event (amount = value, time = event time)."""
+    return [
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("value").alias("order_amount"),
+        F.col("ts").cast("timestamp_ntz").alias("log_ts"),
+    ]
+
+
 def csv_metric_line() -> Column:
     """``"<epoch ms>,<host>,<mem>"`` per event."""
     return F.concat_ws(
@@ -116,6 +125,10 @@ def user_log_records(events: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFr
     return events.select(*keep, *user_log_columns())
 
 
+def order_records(events: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
+    return events.select(*keep, *order_columns())
+
+
 # --- topic records (message text) -----------------------------------------
 
 def topic_record(events: DataFrame, value: Column, *, record_time: Column | None = None) -> DataFrame:

@@ -177,6 +177,17 @@ class JdbcAppendSink:
             self.log.save(spark, state)
 
 
+class CompleteResultSink:
+    """foreachBatch for complete/update output: each micro-batch carries the
+    whole (small, aggregated) result, so it replaces the folder."""
+
+    def __init__(self, path: str, fmt: str = "parquet"):
+        self.path, self.fmt = path, fmt
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").format(self.fmt).save(self.path)
+
+
 def for_each_batch(
     df: DataFrame, sink, checkpoint: str, *, output_mode: str = "append",
     trigger: str | None = None, available_now: bool = False,

@@ -10,7 +10,8 @@ FAST = [
     "event_time_from_epoch", "access_log_etl", "partitions_ready", "csv_metric_split",
     "host_mem_mean_2s", "late_row_audit", "monotone_event_time", "pv_per_user_1m",
     "product_like_sum", "product_like_rows", "tracked_urls", "site_count_20s_stream",
-    "url_count_5s_stream", "text_sink_roundtrip",
+    "url_count_5s_stream", "text_sink_roundtrip", "hourly_partitions_ready",
+    "site_count_20s_sql", "product_like_sum_stream",
 ]
 
 
