@@ -13,8 +13,8 @@ whole stream in one task, so the scan is split into balanced blocks:
    table has exactly n rows, so broadcasting it is bounded by n.
 3. Within each block a running window, then combine with the carry.
 
-The range exchange is shared by both branches (Spark reuses it), and a
-lost task recomputes its block from the same range bounds.
+The blocked frame is checkpointed (reliably, to ``spark.checkpoint.dir``)
+so both branches read one block assignment.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rill.session import shared_dir
+
 # Fixed value: the host's closing rule compares the window's last
 # millisecond (end - 1 ms) with the watermark.
 HOST_WINDOW_MAX_OFFSET = "INTERVAL 1 MILLISECOND"
@@ -53,8 +55,15 @@ def running_max(
     """
     n = _blocks(df, blocks)
     keys = list(partition_cols)
-    ranged = df.repartitionByRange(n, *keys, *order_cols).withColumn(
-        "__blk", F.spark_partition_id()
+    shared_dir(df.sparkSession)
+    # The block id is the range partition id. Both branches below must see
+    # the same assignment, and two range exchanges sample independently, so
+    # the assignment is written once to the shared checkpoint folder (which
+    # also cuts lineage: a lost executor re-reads blocks, never re-samples).
+    ranged = (
+        df.repartitionByRange(n, *keys, *order_cols)
+        .withColumn("__blk", F.spark_partition_id())
+        .checkpoint(eager=True)
     )
 
     block_max = ranged.groupBy(*keys, "__blk").agg(F.max(value_col).alias("__bmax"))
