@@ -62,3 +62,20 @@ def record_json(*cols, keep_nulls: bool = False) -> Column:
     """Several named columns -> one JSON object text."""
     opts = {"ignoreNullFields": "false"} if keep_nulls else {}
     return F.to_json(F.struct(*[as_col(c) for c in cols]), opts)
+
+
+def require_fields(df: DataFrame, fields: list[str] | tuple[str, ...]) -> DataFrame:
+    """Fail the job when a parsed message lacks a declared field.
+
+    ``from_json`` fills missing fields with NULL; a source declared with
+    fail-on-missing-field turns that into an error. Runs inside the same
+    projection (no extra pass).
+    """
+    missing = F.concat_ws(
+        ",", *[F.when(F.col(f).isNull(), F.lit(f)) for f in fields]
+    )
+    check = F.when(missing == "", F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("message is missing field(s): "), missing))
+    )
+    return df.where(check)
+

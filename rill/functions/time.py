@@ -71,3 +71,13 @@ def to_stream_time(ts) -> Column:
 def to_table_time(ts) -> Column:
     """TIMESTAMP -> zone-less, the type of event times at rest."""
     return as_col(ts).cast("timestamp_ntz")
+
+
+def processing_time() -> Column:
+    """Processing-time column: the micro-batch (or query) start time.
+
+    Constant within a micro-batch; results that use it are not repeatable,
+    so it stays out of checked outputs.
+    """
+    return F.current_timestamp()
+

@@ -170,6 +170,13 @@ ORACLE.update({
         FROM c WHERE window_end <= (SELECT max(et) FROM m) - INTERVAL 2 SECOND
     """,
     "access_log_hive_stream": ORACLE["access_log_etl"],
+    "product_like_files": ORACLE["product_like_rows"],
+    "url_count_2s": f"""
+        SELECT event_type AS url, count(*) AS cnt,
+               {bucket(f"{MS} * 1000", SEC_2)} AS window_start,
+               {bucket(f"{MS} * 1000", SEC_2, end=True)} AS window_end
+        FROM events GROUP BY 1, 3, 4
+    """,
     "site_count_20s_sql": ORACLE["site_count_20s"],
     "product_like_sum_stream": ORACLE["product_like_sum"],
     "access_log_committed": f"""

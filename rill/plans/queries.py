@@ -40,6 +40,11 @@ def site_count_20s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.site_counts(replay.access_log_text_records(_events(spark, sf_dir)))
 
 
+# A3 T4 -- per-url counts over 2 s windows (the pairwise-reduce count)
+def url_count_2s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.url_counts(replay.metric_records(_events(spark, sf_dir)), size=schemas.HOST_MEM_WINDOW)
+
+
 # F2 U2 -- per-url daily counts rendered as {"f0":url,"f1":count}
 def url_count_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = jobs.url_counts(replay.metric_records(_events(spark, sf_dir)), size=DAY_WINDOW)
@@ -182,6 +187,17 @@ def product_like_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("amount", F.col("amount").cast("double"))
 
 
+# K9 P4 -- filtered rows through a file-system table (CSV), read back
+def product_like_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rill.session import scratch_path
+    from rill.streaming.sinks import write_files
+
+    rows = product_like_rows(spark, sf_dir)
+    path = scratch_path(spark, "product_like_files")
+    write_files(rows, path, fmt="csv")
+    return spark.read.schema(rows.schema).option("header", "true").csv(path)
+
+
 # S7 J4 -- the tracked-URL dimension (parquet stand-in for the JDBC table)
 def tracked_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     conform(spark)
@@ -191,6 +207,7 @@ def tracked_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 BATCH_QUERIES = {
     "site_count_20s": site_count_20s,
     "url_count_json": url_count_json,
+    "url_count_2s": url_count_2s,
     "metric_json_parse": metric_json_parse,
     "event_time_from_string": event_time_from_string,
     "event_time_from_epoch": event_time_from_epoch,
@@ -205,5 +222,6 @@ BATCH_QUERIES = {
     "pv_per_user_1m": pv_per_user_1m,
     "product_like_sum": product_like_sum,
     "product_like_rows": product_like_rows,
+    "product_like_files": product_like_files,
     "tracked_urls": tracked_urls,
 }

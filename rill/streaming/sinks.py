@@ -93,6 +93,17 @@ def to_text(
     return to_files(df, path, checkpoint, fmt="text", trigger=trigger, available_now=available_now)
 
 
+def write_files(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "append",
+                partition_by: Sequence[str] = ()) -> None:
+    """Batch file-table sink (parquet, csv, json, text)."""
+    writer = df.write.mode(mode).format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", "true")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
+
+
 class BatchLog:
     """Last committed micro-batch id of a foreachBatch sink."""
 

@@ -11,7 +11,7 @@ FAST = [
     "host_mem_mean_2s", "late_row_audit", "monotone_event_time", "pv_per_user_1m",
     "product_like_sum", "product_like_rows", "tracked_urls", "site_count_20s_stream",
     "url_count_5s_stream", "text_sink_roundtrip", "hourly_partitions_ready",
-    "site_count_20s_sql", "product_like_sum_stream",
+    "site_count_20s_sql", "product_like_sum_stream", "url_count_2s", "product_like_files",
 ]
 
 

@@ -76,3 +76,23 @@ def test_event_millis_zero_without_comma(spark):
     df = _values(spark, ["nocomma", "42,h,1"])
     got = [r[0] for r in df.orderBy("id").select(csvf.line_event_millis("value")).collect()]
     assert got == [0, 42]
+
+
+def test_fail_on_missing_field(spark):
+    from rill.functions.json import require_fields
+
+    df = _values(spark, ['{"name":"a","url":"u"}', '{"name":"b"}'])
+    parsed = parse_messages(df, schemas.METRIC)
+    assert require_fields(parsed.where("name = 'a'"), ["name", "url"]).count() == 1
+    with pytest.raises(PySparkException):
+        require_fields(parsed, ["name", "url"]).collect()
+
+
+def test_processing_time_and_schema(spark, capsys):
+    from rill.functions.time import processing_time
+    from rill.plans.catalog import print_schema
+
+    df = _values(spark, ["x"]).withColumn("procTime", processing_time())
+    assert dict(df.dtypes)["procTime"] == "timestamp"
+    print_schema(df)
+    assert "procTime" in capsys.readouterr().out
