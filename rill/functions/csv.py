@@ -4,11 +4,14 @@ Splitting follows the producer's contract: trailing empty items are
 dropped, integers are plain signed digit strings (no spaces). In strict
 mode a line with too few items or a non-integer number fails the job;
 lenient mode yields NULL instead.
+
+The line is split once per row in its own projection and the checks read
+the resulting columns, so no regex runs more than once per row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rill.functions.columns import as_col
@@ -29,40 +32,60 @@ def split_items(value) -> Column:
     return F.split(F.regexp_replace(as_col(value), ",+$", ""), SEPARATOR)
 
 
-def item(items: Column, index: int, *, lenient: bool = False, what: str = "item") -> Column:
-    """Item ``index`` of a split line; strict mode fails on a short line."""
-    got = F.get(items, index)
+def present(text, *, lenient: bool = False, what: str = "item") -> Column:
+    """The item itself; strict mode fails when the line was too short."""
+    t = as_col(text)
     if lenient:
-        return got
-    return F.when(got.isNotNull(), got).otherwise(
-        F.raise_error(F.lit(f"metric line has no {what} (item {index})"))
-    )
+        return t
+    return F.when(t.isNull(), F.raise_error(F.lit(f"metric line has no {what}"))).otherwise(t)
 
 
 def parse_long(text, *, lenient: bool = False, what: str = "number") -> Column:
-    """Signed digit string -> BIGINT, rejecting spaces and other text."""
+    """Signed digit string -> BIGINT, rejecting spaces and other text.
+
+    ``text`` should be a column reference (it is read several times).
+    """
     t = as_col(text)
     ok = t.rlike(INTEGER_TEXT)
-    parsed = F.when(ok, t.try_cast("bigint"))
     if lenient:
-        return parsed
+        return F.when(ok, t.try_cast("bigint"))
     bad = F.raise_error(F.concat(F.lit(f"not a valid {what}: "), F.coalesce(t, F.lit("NULL"))))
-    return F.when(t.isNull(), F.lit(None).cast("bigint")).when(
-        ok & parsed.isNotNull(), parsed
+    return F.when(t.isNull(), F.raise_error(F.lit(f"metric line has no {what}"))).when(
+        ok, t.cast("bigint")
     ).otherwise(bad)
 
 
-def host_and_mem(value, *, lenient: bool = False) -> tuple[Column, Column]:
-    """(host STRING, mem BIGINT) from items 1 and 2."""
-    items = split_items(value)
-    host = item(items, 1, lenient=lenient, what="host")
-    mem = parse_long(item(items, 2, lenient=lenient, what="mem"), lenient=lenient, what="mem")
-    return host, mem
-
-
 def line_event_millis(value, *, lenient: bool = False) -> Column:
-    """Item 0 as epoch milliseconds; 0 when the line has no separator."""
-    items = split_items(value)
+    """Item 0 as epoch milliseconds; 0 when the line has no separator.
+
+    Column form for a single use; ``parse_lines`` is the staged form.
+    """
+    first = F.get(split_items(value), 0)
     return F.when(
-        has_separator(value), parse_long(F.get(items, 0), lenient=lenient, what="timestamp")
+        has_separator(value), parse_long(first, lenient=lenient, what="timestamp")
     ).otherwise(F.lit(0).cast("bigint"))
+
+
+def parse_lines(
+    lines: DataFrame, *, value_col: str = "value", lenient: bool = False,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Lines with a separator -> (host, mem, event_ms); others drop.
+
+    Three projections: split once, pick items, validate and convert.
+    """
+    split = lines.where(has_separator(value_col)).select(
+        *keep, split_items(value_col).alias("__items")
+    )
+    items = split.select(
+        *keep,
+        F.get("__items", 0).alias("__t0"),
+        F.get("__items", 1).alias("__t1"),
+        F.get("__items", 2).alias("__t2"),
+    )
+    return items.select(
+        *keep,
+        present("__t1", lenient=lenient, what="host").alias("host"),
+        parse_long("__t2", lenient=lenient, what="mem").alias("mem"),
+        parse_long("__t0", lenient=lenient, what="timestamp").alias("event_ms"),
+    )

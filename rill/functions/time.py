@@ -7,6 +7,9 @@ between the two run under the UTC session zone (see ``rill.session``).
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,3 +84,20 @@ def processing_time() -> Column:
     """
     return F.current_timestamp()
 
+
+# Duration units accepted in delays and window sizes.
+_UNITS = {
+    "ms": 0.001, "millisecond": 0.001, "milliseconds": 0.001,
+    "s": 1, "sec": 1, "second": 1, "seconds": 1,
+    "min": 60, "minute": 60, "minutes": 60,
+    "h": 3600, "hour": 3600, "hours": 3600,
+    "d": 86400, "day": 86400, "days": 86400,
+}
+
+
+def parse_duration(text: str) -> dt.timedelta:
+    """'1 min' / '1 h' / '15 seconds' -> timedelta."""
+    m = re.fullmatch(r"\s*(\d+(?:\.\d+)?)\s*([A-Za-z]+)\s*", text)
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"unsupported duration: {text!r}")
+    return dt.timedelta(seconds=float(m.group(1)) * _UNITS[m.group(2).lower()])

@@ -121,13 +121,7 @@ def hourly_order_rows(orders: DataFrame, *, delay: str | None = None) -> DataFra
 
 def host_mem(lines: DataFrame, *, lenient: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """CSV metric lines -> (host, mem, event_ms); lines without a comma drop."""
-    host, mem = csvf.host_and_mem("value", lenient=lenient)
-    return lines.where(csvf.has_separator("value")).select(
-        *keep,
-        host.alias("host"),
-        mem.alias("mem"),
-        csvf.line_event_millis("value", lenient=lenient).alias("event_ms"),
-    )
+    return csvf.parse_lines(lines, lenient=lenient, keep=keep)
 
 
 def host_mem_mean(

@@ -29,6 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rill.functions.time import parse_duration
 from rill.operators.layout import spread_for_partitioned_write
 from rill.plans.catalog import table_location, table_properties
 from rill.streaming import fs
@@ -45,24 +46,9 @@ POLICY_SUCCESS_FILE = "success-file"
 SUCCESS_FILE_NAME = "_SUCCESS"
 
 _PLACEHOLDER = re.compile(r"\$([A-Za-z_][A-Za-z0-9_]*)")
-_UNITS = {
-    "ms": 0.001, "millisecond": 0.001, "milliseconds": 0.001,
-    "s": 1, "sec": 1, "second": 1, "seconds": 1,
-    "min": 60, "minute": 60, "minutes": 60,
-    "h": 3600, "hour": 3600, "hours": 3600,
-    "d": 86400, "day": 86400, "days": 86400,
-}
 _ADD_CHUNK = 500
 
 
-def parse_duration(text: str) -> dt.timedelta:
-    """'1 min' / '1 h' / '15 seconds' -> timedelta."""
-    m = re.fullmatch(r"\s*(\d+(?:\.\d+)?)\s*([A-Za-z]+)\s*", text)
-    if not m or m.group(2).lower() not in _UNITS:
-        raise ValueError(f"unsupported duration: {text!r}")
-    return dt.timedelta(seconds=float(m.group(1)) * _UNITS[m.group(2).lower()])
-
-
 def partition_time_of(pattern: str, values: dict[str, str]) -> dt.datetime:
     text = _PLACEHOLDER.sub(lambda m: str(values[m.group(1)]), pattern)
     return dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
