@@ -8,7 +8,6 @@ checkpoints and scratch tables.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -98,12 +97,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique location under the shared folder."""
     return f"{shared_dir(spark)}/rill/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side code can read local paths."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)

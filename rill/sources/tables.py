@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
+from rill.streaming import fs
+
 # The table names of the test-data layout.
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -38,7 +38,7 @@ def stream_table(
     """
     path = table_path(sf_dir, name)
     schema = spark.read.parquet(path).schema  # footer read only
-    if os.path.isdir(path) or "://" in path and not path.startswith("file:"):
+    if fs.is_dir(spark, path):
         source = path
     else:
         source = f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"

@@ -96,3 +96,16 @@ def test_processing_time_and_schema(spark, capsys):
     assert dict(df.dtypes)["procTime"] == "timestamp"
     print_schema(df)
     assert "procTime" in capsys.readouterr().out
+
+
+def test_file_topic_source(spark, tmp_dir):
+    """Recorded messages as text files go through the same parse."""
+    from rill.sources.messages import read_messages
+
+    with open(f"{tmp_dir}/part-0.txt", "w") as f:
+        f.write(FULL + "\n" + '{"name":"x","url":"v","timestamp":5}\n')
+    batch = read_messages(spark, "text", stream=False, path=tmp_dir)
+    rows = parse_messages(batch, schemas.METRIC).orderBy("name").collect()
+    assert [(r["name"], r["url"]) for r in rows] == [("mem", "u"), ("x", "v")]
+    stream = read_messages(spark, "text", stream=True, path=tmp_dir)
+    assert stream.isStreaming and "value" in stream.columns
