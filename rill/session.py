@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 SESSION_TIME_ZONE = "UTC"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(
@@ -21,12 +22,15 @@ def build_session(
     app_name: str = "rill",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    rocksdb_state: bool = False,
 ) -> SparkSession:
     """Create (or reuse) a session with the settings the operators expect.
 
     ``master`` is only set when given, so a cluster submit keeps its own.
-    Shuffle partitions default to 2x the default parallelism on local
-    masters; on a cluster set them to roughly input_bytes / 128 MiB.
+    On a cluster set ``shuffle_partitions`` to roughly shuffle bytes /
+    128 MiB (it also fixes the number of state-store partitions of a new
+    streaming checkpoint). ``rocksdb_state`` keeps streaming state in
+    RocksDB instead of executor heap, for large key x window state.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -43,6 +47,10 @@ def build_session(
         # no-data micro-batches let the watermark close the last windows
         "spark.sql.streaming.noDataMicroBatches.enabled": "true",
     }
+    if rocksdb_state:
+        # large streaming state: off-heap RocksDB, changelog checkpoints
+        settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+        settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
