@@ -17,9 +17,10 @@ from rill.functions.columns import as_col
 def is_json_object(value) -> Column:
     """True iff the text is a syntactically valid JSON object.
 
-    False or NULL for non-JSON text, JSON scalars, arrays and NULL input.
+    False for non-JSON text, JSON scalars, arrays and NULL input. Reads the
+    object's top-level keys only; no value is materialised.
     """
-    return F.schema_of_variant(F.try_parse_json(as_col(value))).startswith("OBJECT")
+    return F.json_object_keys(as_col(value)).isNotNull()
 
 
 def parse_json(value, schema: str, *, lenient: bool = False) -> Column:
