@@ -186,3 +186,6 @@ ORACLE.update({
               < (SELECT max({SEC_TS}) FROM events) - INTERVAL 15 SECOND
     """,
 })
+
+# the table sink holds exactly what the file sink holds
+ORACLE["site_count_20s_table"] = ORACLE["site_count_20s_stream"]

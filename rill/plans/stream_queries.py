@@ -57,6 +57,19 @@ def site_count_20s_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_to_parquet(sjobs.site_count_frame(topic), "site_count_20s_stream")
 
 
+# J2 K2 C1 C3 -- site counts appended to the access-count table
+def site_count_20s_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = replay.access_log_text_topic(_events_stream(spark, sf_dir))
+    base = scratch_path(spark, "access_count")
+    catalog.create_database(spark, SINK_DATABASE)
+    name = f"access_count_{base.rsplit('-', 1)[-1]}"
+    ddl = catalog.table_ddl(name, schemas.ACCESS_COUNT, database=SINK_DATABASE, location=f"{base}/table")
+    catalog.create_if_absent(spark, name, ddl, database=SINK_DATABASE)
+    table = catalog.qualified(SINK_DATABASE, name)
+    run(sjobs.site_count_job(topic, table, f"{base}/checkpoint", available_now=True))
+    return spark.table(table)
+
+
 # J1 S1 W1 W7 T1 A2 P5 F1 -- url counts from JSON metrics, 5 s windows, 2 s delay
 def url_count_5s_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = replay.metric_topic(_events_stream(spark, sf_dir))
@@ -128,6 +141,7 @@ def access_log_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "site_count_20s_stream": site_count_20s_stream,
+    "site_count_20s_table": site_count_20s_table,
     "url_count_5s_stream": url_count_5s_stream,
     "text_sink_roundtrip": text_sink_roundtrip,
     "product_like_sum_stream": product_like_sum_stream,

@@ -44,6 +44,8 @@ def build_session(
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # remove reliable checkpoints (lineage cuts) once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # no-data micro-batches let the watermark close the last windows
         "spark.sql.streaming.noDataMicroBatches.enabled": "true",
     }

@@ -22,15 +22,22 @@ from rill.functions.time import epoch_millis_to_seconds
 from rill.operators.projection import select_all
 from rill.plans import jobs
 from rill.streaming.commit import PartitionCommitSink
-from rill.streaming.sinks import for_each_batch, to_console, to_topic
+from rill.streaming.sinks import TableAppendSink, for_each_batch, to_console, to_topic
 
 
 def url_count_frame(
     topic: DataFrame, *, size: str = schemas.URL_COUNT_WINDOW,
     delay: str = schemas.URL_COUNT_DELAY, lenient: bool = False,
+    event_time: str = "payload",
 ) -> DataFrame:
-    metrics = parse_messages(topic, schemas.METRIC, lenient=lenient)
-    return jobs.url_counts(metrics, size=size, delay=delay)
+    """Metric topic -> url counts. ``event_time='record'`` windows on the
+    topic record time instead of the payload's epoch-ms field."""
+    keep: tuple[str, ...] = ()
+    if event_time == "record":
+        topic = topic.withColumnRenamed("timestamp", "record_time")
+        keep = ("record_time",)
+    metrics = parse_messages(topic, schemas.METRIC, lenient=lenient, keep=keep)
+    return jobs.url_counts(metrics, size=size, delay=delay, event_time=event_time)
 
 
 def url_summary_frame(topic: DataFrame, **kw) -> DataFrame:
@@ -53,6 +60,16 @@ def site_count_frame(
     return jobs.site_counts(records, size=size, delay=delay, lenient=lenient)
 
 
+def site_count_job(
+    topic: DataFrame, table: str, checkpoint: str, *,
+    trigger: str = "20 seconds", available_now: bool = False,
+):
+    """Site counts appended to the (unpartitioned) access-count table."""
+    sink = TableAppendSink(table, checkpoint)
+    return for_each_batch(site_count_frame(topic), sink, checkpoint,
+                          trigger=trigger, available_now=available_now)
+
+
 def access_log_frame(
     topic: DataFrame, *, delay: str = schemas.ACCESS_LOG_DELAY, lenient: bool = True,
     apply_filter: bool = True,

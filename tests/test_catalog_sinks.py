@@ -135,3 +135,20 @@ def test_console_and_topic_writers(spark, tmp_dir, capsys):
     writer = to_topic(replay.metric_topic(stream), "summary_url", "broker:9092", f"{tmp_dir}/ck")
     # the topic sink cannot be started here (no connector on the classpath)
     assert writer is not None
+
+
+def test_record_time_clock(spark, tmp_dir):
+    """Windows on the topic record time instead of the payload time."""
+    src = f"{tmp_dir}/in"
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    _write_batch(src, "b0", [_event(0, t(1)), _event(1, t(2)), _event(2, t(30))])
+    # record time = event time + 10 s, payload time = event time
+    topic = replay.topic_record(
+        _stream(spark, src), replay.record_json(*replay.metric_columns()),
+        record_time=F.col("ts") + F.expr("INTERVAL 10 SECONDS"),
+    )
+    out, ck = f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    frame = sjobs.url_count_frame(topic, size="20 seconds", delay="0 seconds", event_time="record")
+    run(to_files(frame, out, ck, available_now=True))
+    got = {(r["window_start"].second, r["cnt"]) for r in spark.read.parquet(out).collect()}
+    assert got == {(0, 2)}  # records at 11 s and 12 s; the 40 s one is still open
