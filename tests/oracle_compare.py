@@ -52,18 +52,25 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     con = con or duck(sf_dir)
     t0 = time.time()
     sdf = queries()[name](spark, sf_dir)
-    got = sdf.toPandas()
+    got_arrow = sdf.toArrow()
+    got = got_arrow.to_pandas()
     t1 = time.time()
     sql = oracle_sql().get(name)
     res = {"name": name, "spark_rows": len(got), "spark_sec": round(t1 - t0, 2)}
     if sql is None:
         res["status"] = "no-oracle"
         return res
-    want = con.execute(sql).df()
+    want_arrow = con.sql(sql).to_arrow_table()
+    want = want_arrow.to_pandas()
     res["oracle_rows"] = len(want)
     if sorted(got.columns) != sorted(want.columns):
         res["status"] = f"columns differ: {sorted(got.columns)} vs {sorted(want.columns)}"
         return res
+    g_types = {f.name: str(f.type) for f in got_arrow.schema}
+    w_types = {f.name: str(f.type) for f in want_arrow.schema}
+    if g_types != w_types:
+        res["status"] = f"types differ: {g_types} vs {w_types}"
+        return res
     g, w = _normalise(got), _normalise(want)
     if len(g) != len(w):
         res["status"] = "row count differs"
