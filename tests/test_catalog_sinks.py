@@ -12,7 +12,7 @@ from rill.plans import catalog
 from rill.plans.stream_queries import MINUTE_COMMIT_PROPERTIES
 from rill.streaming import jobs as sjobs
 from rill.streaming.runner import dropped_by_watermark, run
-from rill.streaming.sinks import TableAppendSink, for_each_batch, to_console, to_files, to_topic
+from rill.streaming.sinks import TableAppendSink, for_each_batch, to_files, to_topic
 from rill.sources import replay
 
 

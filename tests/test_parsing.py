@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from rill import schemas
 from rill.functions import csv as csvf

@@ -38,7 +38,6 @@ def test_running_max_matches_brute_force(spark, seed, hot, blocks, parts, inclus
         partition_cols=parts, inclusive=inclusive, blocks=blocks,
     ).toPandas().set_index("id")["m"]
     pdf = pd.DataFrame(rows, columns=["id", "ts", "arrival", "p"]).sort_values(["arrival", "id"])
-    keys = list(parts) or [lambda _: 0]
     grp = pdf.groupby(list(parts)) if parts else pdf.groupby(lambda _: 0)
     want = grp["ts"].cummax() if inclusive else grp["ts"].transform(lambda s: s.cummax().shift(1))
     for i in pdf["id"]:

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from rill import schemas
 from rill.functions.time import epoch_millis_to_seconds, from_text, partition_values
