@@ -107,16 +107,26 @@ def access_log_rows(
     return insert_by_position(out, schemas.ACCESS_LOG_TABLE)
 
 
-def hourly_order_rows(orders: DataFrame, *, delay: str | None = None) -> DataFrame:
-    """Order records -> hourly order table rows (``dt``, ``hour`` partitions)."""
+def hourly_order_rows(
+    orders: DataFrame, *, delay: str | None = None, keep_time: bool = False
+) -> DataFrame:
+    """Order records -> hourly order table rows (``dt``, ``hour`` partitions).
+
+    ``keep_time`` carries ``log_ts`` after the table columns (for a sink
+    that needs event time but writes only the table layout).
+    """
     df = orders
     if delay:
         df = with_watermark(df, "log_ts", delay)
-    out = df.select(
-        "user_id", "order_amount",
+    cols = [
+        F.col("user_id"), F.col("order_amount"),
         F.date_format("log_ts", "yyyy-MM-dd"), F.date_format("log_ts", "HH"),
-    )
-    return insert_by_position(out, schemas.HOURLY_ORDER_TABLE)
+    ]
+    layout = schemas.HOURLY_ORDER_TABLE
+    if keep_time:
+        cols.append(F.col("log_ts").cast("timestamp_ntz"))
+        layout += ", log_ts TIMESTAMP_NTZ"
+    return insert_by_position(df.select(*cols), layout)
 
 
 def host_mem(lines: DataFrame, *, lenient: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -189,3 +189,11 @@ ORACLE.update({
 
 # the table sink holds exactly what the file sink holds
 ORACLE["site_count_20s_table"] = ORACLE["site_count_20s_stream"]
+
+ORACLE["hourly_order_committed"] = """
+    SELECT CAST(user_id AS VARCHAR) AS user_id, value AS order_amount,
+           strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS "hour"
+    FROM events
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR
+          < (SELECT max(ts) FROM events) - INTERVAL 5 SECOND
+"""

@@ -139,6 +139,31 @@ def access_log_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+HOUR_COMMIT_PROPERTIES = {
+    PROP_TRIGGER: TRIGGER_PARTITION_TIME,
+    PROP_DELAY: "1 h",
+    PROP_POLICY: f"{POLICY_METASTORE},{POLICY_SUCCESS_FILE}",
+    PROP_PATTERN: schemas.HOUR_PARTITION_PATTERN,
+}
+
+
+# K5 S4 W3 -- order messages into the hourly table, committed per hour
+def hourly_order_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = replay.order_topic(_events_stream(spark, sf_dir))
+    base = scratch_path(spark, "hourly_order")
+    catalog.create_database(spark, SINK_DATABASE)
+    name = f"hourly_order_{base.rsplit('-', 1)[-1]}"
+    ddl = catalog.table_ddl(
+        name, schemas.HOURLY_ORDER_TABLE, database=SINK_DATABASE,
+        partition_cols=schemas.HOURLY_ORDER_PARTITIONS, properties=HOUR_COMMIT_PROPERTIES,
+        location=f"{base}/table",
+    )
+    catalog.create_if_absent(spark, name, ddl, database=SINK_DATABASE)
+    table = catalog.qualified(SINK_DATABASE, name)
+    run(sjobs.hourly_order_job(topic, table, f"{base}/checkpoint", available_now=True))
+    return spark.table(table)
+
+
 STREAM_QUERIES = {
     "site_count_20s_stream": site_count_20s_stream,
     "site_count_20s_table": site_count_20s_table,
@@ -147,4 +172,5 @@ STREAM_QUERIES = {
     "product_like_sum_stream": product_like_sum_stream,
     "access_log_hive_stream": access_log_hive_stream,
     "access_log_committed": access_log_committed,
+    "hourly_order_committed": hourly_order_committed,
 }

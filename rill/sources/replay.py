@@ -155,6 +155,10 @@ def access_log_text_topic(events: DataFrame) -> DataFrame:
     return topic_record(events, record_json(*access_log_text_columns()))
 
 
+def order_topic(events: DataFrame) -> DataFrame:
+    return topic_record(events, record_json(*order_columns()))
+
+
 def csv_metric_topic(events: DataFrame) -> DataFrame:
     return topic_record(events, csv_metric_line())
 

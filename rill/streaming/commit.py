@@ -73,7 +73,12 @@ def _path(values: dict[str, str], cols: Sequence[str]) -> str:
 
 
 class PartitionCommitSink:
-    """foreachBatch sink: write files, then commit partitions by time."""
+    """foreachBatch sink: write files, then commit partitions by time.
+
+    ``row_filter`` keeps rows out of the table while they still move the
+    watermark; ``aux_cols`` (e.g. an event-time column the table layout
+    lacks) are read for bookkeeping and dropped before writing.
+    """
 
     def __init__(
         self,
@@ -87,8 +92,10 @@ class PartitionCommitSink:
         state_dir: str,
         policies: Sequence[str] = (POLICY_METASTORE, POLICY_SUCCESS_FILE),
         row_filter: Column | None = None,
+        aux_cols: Sequence[str] = (),
     ):
         self.table = table
+        self.aux_cols = list(aux_cols)
         self.partition_cols = list(partition_cols)
         self.pattern = pattern
         self.commit_delay = parse_duration(commit_delay)
@@ -103,6 +110,7 @@ class PartitionCommitSink:
         cls, spark: SparkSession, table: str, *, partition_cols: Sequence[str],
         event_time: Column, watermark_delay: str, state_dir: str,
         row_filter: Column | None = None,
+        aux_cols: Sequence[str] = (),
     ) -> "PartitionCommitSink":
         """Read trigger, delay, policies and pattern from the table's properties."""
         props = table_properties(spark, table)
@@ -119,6 +127,7 @@ class PartitionCommitSink:
             state_dir=state_dir,
             policies=props.get(PROP_POLICY, POLICY_METASTORE).split(","),
             row_filter=row_filter,
+            aux_cols=aux_cols,
         )
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
@@ -142,7 +151,7 @@ class PartitionCommitSink:
                 tuple(r[c] for c in self.partition_cols): r["__n"] for r in stats if r["__keep"]
             }
             if counts:
-                kept = flagged.where("__keep").drop("__keep")
+                kept = flagged.where("__keep").drop("__keep", *self.aux_cols)
                 (
                     spread_for_partitioned_write(kept, self.partition_cols, counts)
                     .write.mode("append").partitionBy(*self.partition_cols)

@@ -15,6 +15,7 @@ pointed at any sink; the recipes themselves live in ``rill.plans.jobs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rill import schemas
 from rill.functions.json import parse_messages
@@ -98,6 +99,24 @@ def access_log_job(
     return for_each_batch(frame, sink, checkpoint, trigger=trigger, available_now=available_now)
 
 
+def hourly_order_job(
+    topic: DataFrame, table: str, checkpoint: str, *,
+    trigger: str = "20 seconds", available_now: bool = False,
+):
+    """Order messages into the hourly (dt, hour) table with its commit rule."""
+    orders = parse_messages(topic, schemas.ORDER)
+    frame = jobs.hourly_order_rows(orders, delay=schemas.ORDER_DELAY, keep_time=True)
+    sink = PartitionCommitSink.from_table(
+        frame.sparkSession, table,
+        partition_cols=schemas.HOURLY_ORDER_PARTITIONS,
+        event_time=F.col("log_ts"),
+        watermark_delay=schemas.ORDER_DELAY,
+        state_dir=checkpoint,
+        aux_cols=("log_ts",),
+    )
+    return for_each_batch(frame, sink, checkpoint, trigger=trigger, available_now=available_now)
+
+
 def tail_job(stream: DataFrame, *, available_now: bool = False):
     """Print every row of a stream (append mode)."""
     return to_console(select_all(stream), available_now=available_now)
