@@ -11,7 +11,9 @@ whole stream in one task, so the scan is split into balanced blocks:
 2. One maximum per block (partial + final aggregate; n rows), and the
    maximum over all earlier blocks via a window over those n rows. This
    table has exactly n rows, so broadcasting it is bounded by n.
-3. Within each block a running window, then combine with the carry.
+3. Within each block a running window (rows range-partitioned on the
+   block id, so each task holds about one block), then combine with the
+   carry.
 
 The blocked frame is checkpointed (reliably, to ``spark.checkpoint.dir``)
 so both branches read one block assignment.
@@ -78,7 +80,11 @@ def running_max(
         .orderBy(*order_cols)
         .rowsBetween(Window.unboundedPreceding, upto)
     )
-    local = ranged.withColumn("__local", F.max(value_col).over(within))
+    # one block per task: range bounds over the n block ids fall on the ids
+    # themselves, where hashing n ids onto n tasks would stack several
+    # blocks on some tasks. Range partitioning also satisfies the window.
+    per_block = ranged.repartitionByRange(n, *keys, "__blk")
+    local = per_block.withColumn("__local", F.max(value_col).over(within))
     out = local.join(carry, [*keys, "__blk"], "left")
     return out.withColumn(out_col, F.greatest("__local", "__carry")).drop(
         "__blk", "__local", "__carry"
