@@ -1,9 +1,11 @@
 """Stream sinks: topic, console, text/file, table and JDBC.
 
-File, text and table sinks are exactly-once: the file sink through its
-manifest, the foreachBatch sinks by recording the last committed batch id
-next to the query checkpoint and skipping replays of it. The topic sink
-is at-least-once (the Kafka producer cannot take part in Spark's commit).
+The file and text sinks are exactly-once through Spark's manifest. The
+foreachBatch sinks record the last committed batch id next to the query
+checkpoint and skip replays of it; only a crash after a batch's write
+committed but before its id was recorded re-appends that batch. The topic
+sink is at-least-once (the Kafka producer cannot take part in Spark's
+commit).
 """
 
 from __future__ import annotations
