@@ -164,8 +164,11 @@ class PartitionCommitSink:
         max_seen = state.get("max_event_time")
         max_seen = dt.datetime.fromisoformat(max_seen) if max_seen else None
         for row in stats:
-            if row["__keep"]:
-                pending.add(tuple(row[c] for c in self.partition_cols))
+            key = tuple(row[c] for c in self.partition_cols)
+            # a partition without values (NULL event time) has no partition
+            # time, so the time rule can never publish it
+            if row["__keep"] and all(v is not None for v in key):
+                pending.add(key)
             if row["__max"] is not None and (max_seen is None or row["__max"] > max_seen):
                 max_seen = row["__max"]
         watermark = max_seen - self.watermark_delay if max_seen else None

@@ -152,3 +152,21 @@ def test_record_time_clock(spark, tmp_dir):
     run(to_files(frame, out, ck, available_now=True))
     got = {(r["window_start"].second, r["cnt"]) for r in spark.read.parquet(out).collect()}
     assert got == {(0, 2)}  # records at 11 s and 12 s; the 40 s one is still open
+
+
+def test_commit_sink_null_event_time(spark, tmp_dir):
+    """A message without a time lands in no publishable partition; the job
+    goes on and still commits the partitions the watermark passed."""
+    src = f"{tmp_dir}/in"
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    _write_batch(src, "b0", [_event(0, t(5)), _event(1, None), _event(2, t(200))])
+    catalog.create_database(spark, "rill_t")
+    name = "commit_null"
+    catalog.drop_if_exists(spark, name, database="rill_t")
+    spark.sql(catalog.table_ddl(name, schemas.ACCESS_LOG_TABLE, database="rill_t",
+                                partition_cols=schemas.ACCESS_LOG_PARTITIONS, location=f"{tmp_dir}/table",
+                                properties=MINUTE_COMMIT_PROPERTIES))
+    table = catalog.qualified("rill_t", name)
+    run(sjobs.access_log_job(replay.access_log_topic(_stream(spark, src)), table, f"{tmp_dir}/ck",
+                             available_now=True))
+    assert [r["ts_minute"] for r in spark.table(table).collect()] == ["00"]
