@@ -21,6 +21,7 @@ from rill import schemas
 from rill.functions.json import parse_messages
 from rill.functions.time import epoch_millis_to_seconds
 from rill.operators.projection import select_all
+from rill.plans.catalog import print_schema
 from rill.plans import jobs
 from rill.streaming.commit import PartitionCommitSink
 from rill.streaming.sinks import TableAppendSink, for_each_batch, to_console, to_topic
@@ -118,5 +119,6 @@ def hourly_order_job(
 
 
 def tail_job(stream: DataFrame, *, available_now: bool = False):
-    """Print every row of a stream (append mode)."""
+    """Print the stream's schema, then every row (append mode)."""
+    print_schema(stream)
     return to_console(select_all(stream), available_now=available_now)
