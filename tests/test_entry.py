@@ -39,3 +39,22 @@ def test_query_matches_oracle(spark, con, name):
 
     res = compare(spark, name, SF_SMALL, con)
     assert res["status"] == "match", res
+
+
+def test_stream_equals_batch_on_closed_windows(spark):
+    """Streaming with availableNow equals the batch query restricted to the
+    windows the final watermark closed (window_end <= max time - delay)."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from rill.sources import replay
+    from rill.sources.tables import read_table
+    from rill.functions.time import from_text
+
+    batch = entry_mod.queries()["site_count_20s"](spark, SF_SMALL)
+    stream = entry_mod.queries()["site_count_20s_stream"](spark, SF_SMALL)
+    recs = replay.access_log_text_records(read_table(spark, SF_SMALL, "events"))
+    wm = recs.select(F.max(from_text("logTime")) - F.expr("INTERVAL 15 SECONDS")).collect()[0][0]
+    closed = batch.where(F.col("end_time") <= F.lit(wm))
+    assert closed.count() == stream.count()
+    assert closed.exceptAll(stream).count() == 0 and stream.exceptAll(closed).count() == 0
