@@ -99,3 +99,15 @@ def test_partition_readiness_frame(spark):
         event_time=F.col("et"), watermark_delay="15 seconds", commit_delay="1 minute",
     ).collect()}
     assert out == {"00": True, "05": False}
+
+
+def test_closing_rules_differ_on_the_last_millisecond(spark):
+    """Watermark 19.9995 s: the host closes [0,20) (19.999 <= wm), Spark
+    does not yet (20 <= wm is false)."""
+    t = lambda s: BASE + dt.timedelta(seconds=s)
+    rows = [(0, t(21.9995), t(1), 0), (1, t(5), t(2), 0)]  # second row arrives after wm = 19.9995
+    df = _frame(spark, rows)
+    kw = dict(time_col="ts", order_cols=["arrival", "id"], window="20 seconds", delay="2 seconds", id_cols=["id"])
+    host = {r["id"]: r["is_late"] for r in late_row_audit(df, **kw).collect()}
+    sprk = {r["id"]: r["is_late"] for r in late_row_audit(df, closing_rule="spark", **kw).collect()}
+    assert host[1] is True and sprk[1] is False
