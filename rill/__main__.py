@@ -1,21 +1,24 @@
-"""Run a streaming job: ``python -m rill <job> [options]``.
-
-Jobs: ``url-summary`` (metric topic -> url counts -> topic or folder),
-``site-counts`` (text access logs -> access-count table), ``access-log``
-(access logs -> minute-partitioned table with partition commit) and
-``tail`` (print a message stream). Sources are a Kafka topic
-(``--bootstrap`` + ``--topic``) or a folder of recorded messages
-(``--path`` + ``--format``). Checkpoints default to a folder under the
-session's ``spark.checkpoint.dir``.
+"""Run a job: ``python -m rill <job> [options]``.
+
+Streaming jobs: ``url-summary`` (metric topic -> url counts -> topic or
+folder), ``site-counts`` (text access logs -> access-count table),
+``access-log`` (access logs -> minute-partitioned table with partition
+commit) and ``tail`` (print a message stream). Batch job:
+``tracked-urls`` (the URL dimension from a JDBC table or a parquet
+folder). Sources are a Kafka topic (``--bootstrap`` + ``--topic``) or a
+folder of recorded messages (``--path`` + ``--format``). Checkpoints
+default to a folder under the session's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 
 from rill import schemas
 from rill.plans import catalog
 from rill.session import build_session, scratch_path
+from rill.sources.jdbc import URL_SLA_TABLE, read_url_dimension, url_dimension
 from rill.sources.messages import EARLIEST, LATEST, kafka_options, read_messages
 from rill.streaming import jobs as sjobs
 from rill.streaming.commit import (
@@ -31,6 +34,7 @@ JOB_DEFAULTS = {
     "site-counts": {"trigger": "20 seconds", "start": LATEST},
     "access-log": {"trigger": "20 seconds", "start": LATEST},
     "tail": {"trigger": None, "start": LATEST},
+    "tracked-urls": {"trigger": None, "start": LATEST},
 }
 
 
@@ -50,6 +54,11 @@ def _args(argv=None) -> argparse.Namespace:
     p.add_argument("--trigger", help="processing-time trigger, e.g. '20 seconds'")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--hive", action="store_true", help="use the Hive metastore catalog")
+    p.add_argument("--jdbc-url", help="tracked-urls: JDBC URL of the URL table")
+    p.add_argument("--jdbc-table", default=URL_SLA_TABLE)
+    p.add_argument("--jdbc-user-env", default="JDBC_USER", help="env var holding the user")
+    p.add_argument("--jdbc-password-env", default="JDBC_PASSWORD", help="env var holding the password")
+    p.add_argument("--with-sla", action="store_true")
     p.add_argument("--master")
     return p.parse_args(argv)
 
@@ -71,10 +80,29 @@ def _table(spark, a, name: str, ddl: str, **kw) -> str:
     return catalog.qualified(a.database, name)
 
 
+def tracked_urls(spark, a) -> None:
+    """Batch: read the URL dimension, write it to --sink-path or show it."""
+    if a.jdbc_url:
+        props = {k: os.environ[v] for k, v in (("user", a.jdbc_user_env), ("password", a.jdbc_password_env))
+                 if v in os.environ}
+        urls = read_url_dimension(spark, a.jdbc_url, props, table=a.jdbc_table, with_sla=a.with_sla)
+    elif a.path:
+        urls = url_dimension(spark.read.format(a.format).load(a.path), with_sla=a.with_sla)
+    else:
+        raise SystemExit("tracked-urls needs --jdbc-url or --path")
+    if a.sink_path:
+        urls.write.mode("overwrite").parquet(a.sink_path)
+    else:
+        urls.show(truncate=False)
+
+
 def main(argv=None) -> None:
     a = _args(argv)
     conf = {"spark.sql.catalogImplementation": "hive"} if a.hive else None
     spark = build_session(a.master, app_name=f"rill-{a.job}", conf=conf)
+    if a.job == "tracked-urls":
+        tracked_urls(spark, a)
+        return
     defaults = JOB_DEFAULTS[a.job]
     trigger = a.trigger or defaults["trigger"]
     checkpoint = a.checkpoint or scratch_path(spark, f"{a.job}-checkpoint")

@@ -28,3 +28,11 @@ def test_url_summary_job_from_files(spark, tmp_dir):
           "--checkpoint", f"{tmp_dir}/ck", "--available-now"])
     lines = [r[0] for r in spark.read.text(f"{tmp_dir}/out").collect()]
     assert lines and all(l.startswith('{"f0":"') for l in lines)
+
+
+def test_tracked_urls_from_parquet(spark, tmp_dir):
+    main(["tracked-urls", "--path", f"{SF_SMALL}/pages.parquet", "--format", "parquet",
+          "--sink-path", f"{tmp_dir}/urls"])
+    got = spark.read.parquet(f"{tmp_dir}/urls")
+    assert got.columns == ["url"]
+    assert got.count() == read_table(spark, SF_SMALL, "pages").count()
