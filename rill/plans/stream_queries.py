@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rill import schemas
 from rill.operators.windows import window_bounds_to_table_time
 from rill.plans import catalog
-from rill.session import conform, scratch_path
+from rill.session import conform, scratch_path, shared_dir
 from rill.sources import replay
 from rill.sources.tables import stream_table
 from rill.streaming import jobs as sjobs
@@ -39,6 +39,14 @@ MINUTE_COMMIT_PROPERTIES = {
 }
 
 
+def _sink_database(spark: SparkSession) -> None:
+    """The sink database, located in the shared folder (never the
+    process's working directory, where a default warehouse would go)."""
+    catalog.create_database(
+        spark, SINK_DATABASE, location=f"{shared_dir(spark)}/rill/{SINK_DATABASE}.db"
+    )
+
+
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     conform(spark)
     return stream_table(spark, sf_dir, "events")
@@ -61,7 +69,7 @@ def site_count_20s_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def site_count_20s_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = replay.access_log_text_topic(_events_stream(spark, sf_dir))
     base = scratch_path(spark, "access_count")
-    catalog.create_database(spark, SINK_DATABASE)
+    _sink_database(spark)
     name = f"access_count_{base.rsplit('-', 1)[-1]}"
     ddl = catalog.table_ddl(name, schemas.ACCESS_COUNT, database=SINK_DATABASE, location=f"{base}/table")
     catalog.create_if_absent(spark, name, ddl, database=SINK_DATABASE)
@@ -110,7 +118,7 @@ def product_like_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sink_table(spark: SparkSession, label: str, properties=None) -> tuple[str, str]:
     """Create a fresh partitioned access-log table; returns (name, folder)."""
     base = scratch_path(spark, label)
-    catalog.create_database(spark, SINK_DATABASE)
+    _sink_database(spark)
     name = f"{label}_{base.rsplit('-', 1)[-1]}"
     ddl = catalog.table_ddl(
         name, schemas.ACCESS_LOG_TABLE, database=SINK_DATABASE,
@@ -151,7 +159,7 @@ HOUR_COMMIT_PROPERTIES = {
 def hourly_order_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = replay.order_topic(_events_stream(spark, sf_dir))
     base = scratch_path(spark, "hourly_order")
-    catalog.create_database(spark, SINK_DATABASE)
+    _sink_database(spark)
     name = f"hourly_order_{base.rsplit('-', 1)[-1]}"
     ddl = catalog.table_ddl(
         name, schemas.HOURLY_ORDER_TABLE, database=SINK_DATABASE,
