@@ -17,6 +17,7 @@ from rill.plans import catalog
 from rill.session import conform, scratch_path, shared_dir
 from rill.sources import replay
 from rill.sources.tables import stream_table
+from rill.streaming import fs
 from rill.streaming import jobs as sjobs
 from rill.streaming.commit import (
     POLICY_METASTORE, POLICY_SUCCESS_FILE, PROP_DELAY, PROP_PATTERN, PROP_POLICY,
@@ -68,12 +69,7 @@ def site_count_20s_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # J2 K2 C1 C3 -- site counts appended to the access-count table
 def site_count_20s_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = replay.access_log_text_topic(_events_stream(spark, sf_dir))
-    base = scratch_path(spark, "access_count")
-    _sink_database(spark)
-    name = f"access_count_{base.rsplit('-', 1)[-1]}"
-    ddl = catalog.table_ddl(name, schemas.ACCESS_COUNT, database=SINK_DATABASE, location=f"{base}/table")
-    catalog.create_if_absent(spark, name, ddl, database=SINK_DATABASE)
-    table = catalog.qualified(SINK_DATABASE, name)
+    table, base = _sink_table(spark, "access_count", schemas.ACCESS_COUNT)
     run(sjobs.site_count_job(topic, table, f"{base}/checkpoint", available_now=True))
     return spark.table(table)
 
@@ -115,15 +111,18 @@ def product_like_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sink_table(spark: SparkSession, label: str, properties=None) -> tuple[str, str]:
-    """Create a fresh partitioned access-log table; returns (name, folder)."""
+def _sink_table(
+    spark: SparkSession, label: str, columns_ddl: str, *,
+    partition_cols=(), properties=None,
+) -> tuple[str, str]:
+    """Create a fresh sink table under the shared folder; (name, folder)."""
     base = scratch_path(spark, label)
     _sink_database(spark)
+    fs.mkdirs(spark, f"{base}/table")
     name = f"{label}_{base.rsplit('-', 1)[-1]}"
     ddl = catalog.table_ddl(
-        name, schemas.ACCESS_LOG_TABLE, database=SINK_DATABASE,
-        partition_cols=schemas.ACCESS_LOG_PARTITIONS, properties=properties,
-        location=f"{base}/table",
+        name, columns_ddl, database=SINK_DATABASE, partition_cols=partition_cols,
+        properties=properties, location=f"{base}/table",
     )
     catalog.create_if_absent(spark, name, ddl, database=SINK_DATABASE)
     return catalog.qualified(SINK_DATABASE, name), base
@@ -132,7 +131,9 @@ def _sink_table(spark: SparkSession, label: str, properties=None) -> tuple[str,
 # J3 K3 S3 C1 C2 C3 C6 -- access-log ETL appended to a partitioned table
 def access_log_hive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = replay.access_log_topic(_events_stream(spark, sf_dir))
-    table, base = _sink_table(spark, "access_log")
+    table, base = _sink_table(
+        spark, "access_log", schemas.ACCESS_LOG_TABLE, partition_cols=schemas.ACCESS_LOG_PARTITIONS
+    )
     sink = TableAppendSink(table, f"{base}/checkpoint", partition_cols=schemas.ACCESS_LOG_PARTITIONS)
     run(for_each_batch(sjobs.access_log_frame(topic), sink, f"{base}/checkpoint", available_now=True))
     return spark.table(table)
@@ -142,7 +143,10 @@ def access_log_hive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # visible through the table only once their partition is committed
 def access_log_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = replay.access_log_topic(_events_stream(spark, sf_dir))
-    table, base = _sink_table(spark, "access_log_commit", MINUTE_COMMIT_PROPERTIES)
+    table, base = _sink_table(
+        spark, "access_log_commit", schemas.ACCESS_LOG_TABLE,
+        partition_cols=schemas.ACCESS_LOG_PARTITIONS, properties=MINUTE_COMMIT_PROPERTIES,
+    )
     run(sjobs.access_log_job(topic, table, f"{base}/checkpoint", available_now=True))
     return spark.table(table)
 
@@ -158,16 +162,10 @@ HOUR_COMMIT_PROPERTIES = {
 # K5 S4 W3 -- order messages into the hourly table, committed per hour
 def hourly_order_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = replay.order_topic(_events_stream(spark, sf_dir))
-    base = scratch_path(spark, "hourly_order")
-    _sink_database(spark)
-    name = f"hourly_order_{base.rsplit('-', 1)[-1]}"
-    ddl = catalog.table_ddl(
-        name, schemas.HOURLY_ORDER_TABLE, database=SINK_DATABASE,
+    table, base = _sink_table(
+        spark, "hourly_order", schemas.HOURLY_ORDER_TABLE,
         partition_cols=schemas.HOURLY_ORDER_PARTITIONS, properties=HOUR_COMMIT_PROPERTIES,
-        location=f"{base}/table",
     )
-    catalog.create_if_absent(spark, name, ddl, database=SINK_DATABASE)
-    table = catalog.qualified(SINK_DATABASE, name)
     run(sjobs.hourly_order_job(topic, table, f"{base}/checkpoint", available_now=True))
     return spark.table(table)
 
