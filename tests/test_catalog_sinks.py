@@ -170,3 +170,34 @@ def test_commit_sink_null_event_time(spark, tmp_dir):
     run(sjobs.access_log_job(replay.access_log_topic(_stream(spark, src)), table, f"{tmp_dir}/ck",
                              available_now=True))
     assert [r["ts_minute"] for r in spark.table(table).collect()] == ["00"]
+
+
+def test_commit_sink_over_batches_matches_rule(spark, tmp_dir):
+    """Random times in four files (one micro-batch each): the published
+    minutes are exactly those with minute + 1 min < max time - 15 s."""
+    import random
+
+    rnd = random.Random(5)
+    src = f"{tmp_dir}/in"
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    times = []
+    for b in range(4):
+        batch = [rnd.randint(0, 1800) for _ in range(40)]
+        times += batch
+        _write_batch(src, f"b{b}", [_event(b * 100 + i, t(s)) for i, s in enumerate(batch)])
+    catalog.create_database(spark, "rill_t")
+    name = "commit_random"
+    catalog.drop_if_exists(spark, name, database="rill_t")
+    spark.sql(catalog.table_ddl(name, schemas.ACCESS_LOG_TABLE, database="rill_t",
+                                partition_cols=schemas.ACCESS_LOG_PARTITIONS, location=f"{tmp_dir}/table",
+                                properties=MINUTE_COMMIT_PROPERTIES))
+    table = catalog.qualified("rill_t", name)
+    run(sjobs.access_log_job(replay.access_log_topic(_stream(spark, src)), table, f"{tmp_dir}/ck",
+                             available_now=True))
+    watermark = t(max(times)) - dt.timedelta(seconds=15)
+    minutes = {s // 60 for s in times}
+    want = {m for m in minutes if t(m * 60) + dt.timedelta(minutes=1) < watermark}
+    got = {int(r["ts_hour"]) * 60 + int(r["ts_minute"]) for r in spark.table(table).select("ts_hour", "ts_minute").distinct().collect()}
+    assert got == want
+    rows_want = sum(1 for s in times if s // 60 in want)
+    assert spark.table(table).count() == rows_want
