@@ -1,10 +1,11 @@
 """Tumbling event-time window aggregations, one function for batch and stream.
 
-``groupBy(window(t, size), key)`` plans as partial aggregation -> one hash
-exchange on (window, key) -> final aggregation, so a hot key is collapsed
-map-side before the shuffle and the state/shuffle size is one row per
-(window, key), never the buffered window contents. On a streaming frame
-with a watermark the same plan runs incrementally with state per group.
+Grouping by (window, key) plans as partial aggregation -> one hash exchange
+on (window, key) -> final aggregation. A hot key is collapsed map-side
+before the shuffle, and the state and shuffle hold one row per
+(window, key), never the buffered window contents. Streaming frames group
+by ``window()`` so the watermark can close groups; batch frames group by
+the epoch-aligned bucket start directly (see ``aggregate_by_window``).
 """
 
 from __future__ import annotations
