@@ -3,7 +3,7 @@
 Writing a partitioned table wants each partition folder written by few
 tasks (few files) while no task gets a hot partition alone. Given the row
 count per partition (a small aggregate the sinks compute anyway), rows are
-hash-distributed on the partition values over ``n`` tasks, and every
+range-distributed on the partition values over ``n`` tasks, and every
 partition holding more than ``1/n`` of the rows is split into as many
 pieces as it has shares, by a hash of the whole row. The hash is
 deterministic, so a retried task rebuilds the same pieces.
@@ -53,4 +53,7 @@ def spread_for_partitioned_write(
                 match = match & F.col(c).eqNullSafe(F.lit(v))
             pieces = F.when(match, F.lit(k)) if pieces is None else pieces.when(match, F.lit(k))
         salt = F.pmod(row_hash, pieces.otherwise(F.lit(1)))
-    return df.repartition(n, *[F.col(c) for c in partition_cols], salt)
+    # range, not hash: hashing k salt pieces onto n tasks stacks several
+    # pieces on some tasks; sampled range bounds over (partition, piece)
+    # put pieces on consecutive tasks and keep cold partitions contiguous
+    return df.repartitionByRange(n, *[F.col(c) for c in partition_cols], salt)

@@ -18,3 +18,12 @@ def test_hot_partition_is_split(spark):
     cold_tasks = placed.where("p != 'hot'").groupBy("p").agg(F.countDistinct("task").alias("t"))
     assert cold_tasks.agg(F.max("t")).collect()[0][0] == 1   # each cold partition in one task
     assert spread.count() == df.count()                # nothing dropped or duplicated
+
+
+def test_single_partition_holding_every_row(spark):
+    df = spark.range(8000).select(F.lit("only").alias("p"), F.col("id").alias("v"))
+    spread = spread_for_partitioned_write(df, ["p"], {("only",): 8000}, tasks=8)
+    per_task = spread.groupBy(F.spark_partition_id().alias("t")).count().collect()
+    assert len(per_task) >= 6                      # spread over most of the 8 tasks
+    assert max(r["count"] for r in per_task) <= 8000 * 0.3
+    assert spread.count() == 8000
