@@ -5,13 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rill.llm import bpe, mixing, secrets, simhash, toxicity
+from rill.llm import bpe, licences, mainpaths, mixing, quality, secrets, segments, simhash, tokenfiles, toxicity
 from rill.llm.common import table
+from rill.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,10 +40,22 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op8_mainpaths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainpaths.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -48,6 +66,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written to the shared folder, then read back through each shard's index."""
+    folder = scratch_path(spark, "tokens")
+    manifest = tokenfiles.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_BPE))
+    return tokenfiles.read(manifest, folder, tokenfiles.crc32).withColumnRenamed("value", "ids_crc32")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -55,12 +80,32 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
+    "op5_topk": op5_topk,
+    "op6_licences": op6_licences,
     "op7_bpe": op7_bpe,
+    "op8_mainpaths": op8_mainpaths,
     "op9_secrets": op9_secrets,
+    "op10_tokenfiles": op10_tokenfiles,
     "pipeline": pipeline,
 }
 
-ORACLE: dict[str, str] = {}
+#: SQL of the queries that it can express; the others are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op5_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
