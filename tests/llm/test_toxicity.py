@@ -1,0 +1,65 @@
+import random
+import zlib
+
+from rill.llm import queries, toxicity
+from tests_llm_rows import ODD
+
+
+def corpus():
+    random.seed(6)
+    plain, bad = [f"plain{i}" for i in range(300)], ["grubby", "nasty", "vile"]
+    docs, labels = [], []
+    for i in range(900):
+        words = random.choices(plain, k=random.randint(5, 120))
+        toxic = i % 4 == 0
+        if toxic:
+            words += random.choices(bad + [f"zarg{k}" for k in range(40)], k=3)
+            random.shuffle(words)
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    return docs, labels
+
+
+def fitted(spark, make_docs):
+    docs, labels = corpus()
+    table = make_docs(docs)
+    return table, toxicity.fit(table, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")), dict((i, t) for i, _, t in labels)
+
+
+def test_learns_words_and_beginnings_from_the_training_part(spark, make_docs):
+    table, lexicon, truth = fitted(spark, make_docs)
+    terms = {t.strip() for t in lexicon.terms}
+    assert {"grubby", "nasty", "vile"} <= terms and any("zarg".startswith(t[:4]) for t in terms)
+    held = [r for r in toxicity.score(table, lexicon).collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert len(held) > 100 and sum((r.score >= 0.5) == bool(truth[r.doc_id]) for r in held) / len(held) > 0.97
+
+
+def test_folding_and_exceptions():
+    lexicon = toxicity.Lexicon({" idiot ": 5.0, " clown ": 5.0, " vile ": 4.0}, power=0.1, slope=1.0, offset=-2.0)
+    m = lexicon.matcher()
+    hit = lambda t: m.evidence(t)[1]
+    assert hit("You 1d10t!") == 1 and hit("іdіоt") == 1 and hit("IDIOT, v1le") == 2  # digits and Cyrillic letters
+    assert hit("a clown fish swims") == 0 and hit("a clown, fish and clown") == 1 + (0 if hit("clown, fish") == 0 else 1)
+    assert hit("idiotic") == 0 and hit("") == 0 and hit(None) == 0
+    short, long_ = m.score("vile")[0], m.score("vile " + "calm " * 5000)[0]
+    assert 0 < long_ < short < 1
+
+
+def test_odd_rows_get_defined_scores(spark, make_docs):
+    _, lexicon, _ = fitted(spark, make_docs)
+    got = toxicity.score(make_docs(ODD), lexicon).collect()
+    assert len(got) == len(ODD) and all(0 <= r.score < 0.5 for r in got)
+    assert toxicity.score(make_docs([]), lexicon).collect() == []
+    kept = toxicity.keep_clean(make_docs(ODD + [(99, "grubby nasty vile")]), lexicon)
+    assert kept.columns == make_docs([]).columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in ODD)
+
+
+def test_no_labels_gives_an_empty_lexicon(spark, make_docs, tmp_dir):
+    empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.fit(make_docs(ODD), empty).terms == {}
+    odd = spark.createDataFrame([(None, 1, 1), (1, None, None), (2, 1, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    make_docs(ODD).write.parquet(f"{tmp_dir}/documents.parquet")
+    odd.write.parquet(f"{tmp_dir}/labels.parquet")
+    rows = queries.op4_toxicity(spark, tmp_dir).collect()
+    assert len(rows) == len(ODD) and {r.predicted for r in rows} == {0}
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
