@@ -51,7 +51,7 @@ def parse_long(text, *, lenient: bool = False, what: str = "number") -> Column:
         return F.when(ok, t.try_cast("bigint"))
     bad = F.raise_error(F.concat(F.lit(f"not a valid {what}: "), F.coalesce(t, F.lit("NULL"))))
     return F.when(t.isNull(), F.raise_error(F.lit(f"metric line has no {what}"))).when(
-        ok, t.cast("bigint")
+        ok, F.coalesce(t.try_cast("bigint"), bad.cast("bigint"))
     ).otherwise(bad)
 
 

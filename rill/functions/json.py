@@ -10,9 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rill.functions.columns import as_col
 
+# A message that may be an object: its first character past white space.
+_OBJECT_START = r"^\s*\{"
+
 
 def is_json_object(value) -> Column:
     """True iff the text is a syntactically valid JSON object.
@@ -24,9 +28,13 @@ def is_json_object(value) -> Column:
 
 
 def parse_json(value, schema: str, *, lenient: bool = False) -> Column:
-    """JSON text -> struct of the declared schema."""
-    mode = "PERMISSIVE" if lenient else "FAILFAST"
-    return F.from_json(as_col(value), schema, {"mode": mode})
+    """JSON text -> struct of the declared schema.
+
+    Lenient parsing passes no options (PERMISSIVE is the default); strict
+    parsing must fail on any malformed message, so it is never pruned.
+    """
+    options = {} if lenient else {"mode": "FAILFAST"}
+    return F.from_json(as_col(value), schema, options)
 
 
 def parse_messages(
@@ -40,14 +48,28 @@ def parse_messages(
     """Parse a column of JSON messages into top-level columns.
 
     ``keep`` names source columns (e.g. topic partition / offset / record
-    time) carried next to the parsed fields. Column pruning reaches the
-    parser: fields not selected later are not materialised.
+    time) carried next to the parsed fields.
+
+    Each message is parsed once, whole. The parse sits in a generator
+    (``inline`` of a one-element array), through which neither the lenient
+    check nor a later filter on a parsed field is pushed; as a projection
+    it would be copied into those filters and run again. The lenient check
+    reads the parsed struct; only a message that did not parse cleanly is
+    looked at a second time, to tell partly bad objects (kept) from text
+    that is no object (dropped).
     """
-    src = df
-    if lenient:
-        src = src.where(is_json_object(value_col))
-    parsed = src.select(*keep, parse_json(value_col, schema, lenient=lenient).alias("__msg"))
-    return parsed.select(*keep, "__msg.*")
+    fields = [f"`{f.name}`" for f in T.StructType.fromDDL(schema).fields]
+    if not lenient:
+        return df.select(*keep, F.inline(F.array(parse_json(value_col, schema)))).select(*keep, *fields)
+    corrupt = df.sparkSession.conf.get("spark.sql.columnNameOfCorruptRecord")
+    text = F.col(value_col)
+
+    def is_object(message: Column) -> Column:
+        clean = message[corrupt].isNull() & text.rlike(_OBJECT_START)
+        return clean | (message[corrupt].isNotNull() & is_json_object(text))
+
+    parsed = F.array(parse_json(value_col, f"{schema}, `{corrupt}` STRING", lenient=True))
+    return df.select(*keep, F.inline(F.filter(parsed, is_object))).select(*keep, *fields)
 
 
 def tuple_json(f0, f1, *, keep_nulls: bool = False) -> Column:

@@ -25,12 +25,12 @@ MINUTE_FORMAT = "mm"
 def from_text(value, fmt: str = TIMESTAMP_TEXT_FORMAT, *, lenient: bool = False) -> Column:
     """Text -> zone-less timestamp. Strict fails on unparseable text."""
     v = as_col(value)
-    if lenient:
-        return F.try_to_timestamp(v, F.lit(fmt)).cast("timestamp_ntz")
     parsed = F.try_to_timestamp(v, F.lit(fmt)).cast("timestamp_ntz")
-    return F.when(v.isNull() | parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.concat(F.lit("unparseable event time: "), v))
-    )
+    if lenient:
+        return parsed
+    # the text is parsed once; only a NULL result looks at it again
+    bad = F.raise_error(F.concat(F.lit("unparseable event time: "), v)).cast("timestamp_ntz")
+    return F.coalesce(parsed, F.when(v.isNotNull(), bad))
 
 
 def epoch_millis_to_seconds(value) -> Column:
@@ -101,3 +101,8 @@ def parse_duration(text: str) -> dt.timedelta:
     if not m or m.group(2).lower() not in _UNITS:
         raise ValueError(f"unsupported duration: {text!r}")
     return dt.timedelta(seconds=float(m.group(1)) * _UNITS[m.group(2).lower()])
+
+
+def interval(text: str) -> Column:
+    """'1 min' / '1 h' / '15 seconds' -> a day-time interval literal."""
+    return F.expr(f"INTERVAL '{parse_duration(text).total_seconds():.6f}' SECOND")

@@ -1,59 +1,28 @@
 """Row placement for partitioned file writes.
 
 Writing a partitioned table wants each partition folder written by few
-tasks (few files) while no task gets a hot partition alone. Given the row
-count per partition (a small aggregate the sinks compute anyway), rows are
-range-distributed on the partition values over ``n`` tasks, and every
-partition holding more than ``1/n`` of the rows is split into as many
-pieces as it has shares, by a hash of the whole row. The hash is
-deterministic, so a retried task rebuilds the same pieces.
+tasks (few files) while no task gets a hot partition alone. The rebalance
+hint asks adaptive execution for exactly that: rows are hashed on the
+partition values, small shuffle partitions are merged and large ones are
+split by measured size. The plan does not depend on the data.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def write_parallelism(df: DataFrame, requested: int | None = None) -> int:
-    if requested:
-        return requested
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def spread_for_partitioned_write(
-    df: DataFrame,
-    partition_cols: Sequence[str],
-    rows_per_partition: Mapping[tuple, int],
-    *,
-    tasks: int | None = None,
-) -> DataFrame:
-    """Repartition ``df`` so the partitioned write is balanced.
-
-    ``rows_per_partition`` maps partition-value tuples to row counts; only
-    the partitions above the fair share (at most ``tasks`` of them) are
-    named in the plan.
-    """
-    n = write_parallelism(df, tasks)
-    total = sum(rows_per_partition.values())
-    if total == 0:
-        return df
-    share = max(1, math.ceil(total / n))
-    hot = {k: math.ceil(v / share) for k, v in rows_per_partition.items() if v > share}
-    salt = F.lit(0)
-    if hot:
-        row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-        pieces = None
-        for key, k in hot.items():
-            match = F.lit(True)
-            for c, v in zip(partition_cols, key):
-                match = match & F.col(c).eqNullSafe(F.lit(v))
-            pieces = F.when(match, F.lit(k)) if pieces is None else pieces.when(match, F.lit(k))
-        salt = F.pmod(row_hash, pieces.otherwise(F.lit(1)))
-    # range, not hash: hashing k salt pieces onto n tasks stacks several
-    # pieces on some tasks; sampled range bounds over (partition, piece)
-    # put pieces on consecutive tasks and keep cold partitions contiguous
-    return df.repartitionByRange(n, *[F.col(c) for c in partition_cols], salt)
+
+# Small merges still leave this many bytes apart, so that a batch of many
+# tiny partition folders is written by all cores and not by one task.
+_LEAST_MERGED = "16k"
+
+
+def rebalanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """``df`` dealt out for a write partitioned by ``partition_cols``."""
+    return df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
+
+
+def keep_small_merges_parallel(spark) -> None:
+    """For the session of one stream: file creation, not bytes, bounds its small batches."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", _LEAST_MERGED)

@@ -11,9 +11,10 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rill.functions.time import interval
 from rill.schemas import TIMESTAMP_TEXT_FORMAT
 
 _PLACEHOLDER = re.compile(r"\$([A-Za-z_][A-Za-z0-9_]*)")
@@ -40,11 +41,8 @@ def partition_time(pattern: str, values: dict[str, Column] | None = None) -> Col
         pos = m.end()
     if pos < len(pattern):
         parts.append(F.lit(pattern[pos:]))
-    return F.to_timestamp_ntz(F.concat(*parts), F.lit(TIMESTAMP_TEXT_FORMAT))
-
-
-def interval(text: str) -> Column:
-    return F.expr(f"INTERVAL {text}")
+    # a year beyond the pattern gives NULL: such a partition is never ready
+    return F.try_to_timestamp(F.concat(*parts), F.lit(TIMESTAMP_TEXT_FORMAT)).cast("timestamp_ntz")
 
 
 def is_ready(ptime: Column, watermark: Column, commit_delay: str) -> Column:
@@ -60,21 +58,26 @@ def partition_readiness(
     event_time: Column,
     watermark_delay: str,
     commit_delay: str,
-    watermark_source: DataFrame | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
-    """Distinct partitions of ``rows`` with their partition time and flag.
+    """Distinct partitions of the kept ``rows`` with partition time and flag.
 
-    The watermark is ``max(event_time) - watermark_delay`` over
-    ``watermark_source`` (default: ``rows``), computed as a scalar
-    subquery: one partial max per task, no join. The partition list is a
-    distinct aggregate whose size is bounded by time span / grain.
+    The watermark is ``max(event_time) - watermark_delay`` over all rows;
+    ``keep`` (default: every row) says which rows are written, and so which
+    partitions exist. The source is scanned once: one aggregate per
+    partition, then the maximum over that small result, whose size is
+    bounded by time span / grain.
     """
-    src = watermark_source if watermark_source is not None else rows
-    watermark = src.select(F.max(event_time) - interval(watermark_delay)).scalar()
-    parts = rows.select(*partition_cols).distinct()
+    kept = F.count_if(F.coalesce(keep, F.lit(False)) if keep is not None else F.lit(True))
+    parts = rows.groupBy(*partition_cols).agg(F.max(event_time).alias("__max"), kept.alias("__kept"))
+    watermark = F.max("__max").over(Window.partitionBy()) - interval(watermark_delay)
     ptime = partition_time(pattern)
-    return parts.select(
-        *partition_cols,
-        ptime.alias("partition_time"),
-        is_ready(ptime, watermark, commit_delay).alias("ready"),
+    return (
+        parts.withColumn("__watermark", watermark)
+        .where(F.col("__kept") > 0)
+        .select(
+            *partition_cols,
+            ptime.alias("partition_time"),
+            is_ready(ptime, F.col("__watermark"), commit_delay).alias("ready"),
+        )
     )

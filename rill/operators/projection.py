@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rill.functions.columns import as_col
-
 
 def select_all(df: DataFrame) -> DataFrame:
     """``SELECT *`` from a stream or table."""
@@ -18,13 +16,13 @@ def target_schema(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
-def insert_by_position(df: DataFrame, target_ddl: str) -> DataFrame:
-    """Match columns to a target layout by position, as ``INSERT INTO`` does.
+def insert_by_position(df: DataFrame, target: str | StructType) -> DataFrame:
+    """Match columns to a target layout (DDL or schema) by position, as ``INSERT INTO`` does.
 
     The i-th input column becomes the i-th target column (name and type),
     whatever its own name was.
     """
-    target = target_schema(target_ddl)
+    target = target_schema(target) if isinstance(target, str) else target
     if len(df.columns) != len(target.fields):
         raise ValueError(
             f"insert needs {len(target.fields)} columns, got {len(df.columns)}: {df.columns}"
@@ -44,7 +42,3 @@ def keep_positive(df: DataFrame, column: str) -> DataFrame:
 def keep_like(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """``WHERE column LIKE pattern``."""
     return df.where(F.col(column).like(pattern))
-
-
-def keep_where(df: DataFrame, condition: Column | str) -> DataFrame:
-    return df.where(condition if isinstance(condition, str) else as_col(condition))

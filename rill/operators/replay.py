@@ -2,21 +2,21 @@
 
 A periodic or punctuated watermark is a running maximum of event time in
 arrival order. A plain ``max() OVER (ORDER BY arrival)`` would sort the
-whole stream in one task, so the scan is split into balanced blocks:
-
-1. ``repartitionByRange`` on the arrival order. Spark samples the keys,
-   so blocks are balanced even when one key or one instant holds a third
-   of the rows (the order key ends in a unique id, so ties are split).
-   The block id is the partition id; block i precedes block i+1.
-2. One maximum per block (partial + final aggregate; n rows), and the
-   maximum over all earlier blocks via a window over those n rows. This
-   table has exactly n rows, so broadcasting it is bounded by n.
-3. Within each block a running window (rows range-partitioned on the
-   block id, so each task holds about one block), then combine with the
-   carry.
-
-The blocked frame is checkpointed (reliably, to ``spark.checkpoint.dir``)
-so both branches read one block assignment.
+whole stream in one task, so the scan is split into blocks:
+
+1. Bounds on the whole order key cut the order into about equal blocks.
+   They come from the rows with the smallest key hashes, a sample that is
+   a pure function of the data; the key ends in a unique id, so rows of
+   one instant are split too. A row's block is found by bisection over
+   the literal bounds. Sampling sets balance only, never results.
+2. One maximum per block (partial + final aggregate; one row per block),
+   and the maximum over all earlier blocks via a window over those rows.
+   This table has one row per block, so broadcasting it is bounded.
+3. Within each block a running window, combined with the carry: the one
+   shuffle of the rows.
+
+Both branches compute the same block from the row alone, so nothing has
+to be written in between, and a lost executor recomputes its blocks.
 """
 
 from __future__ import annotations
@@ -26,17 +26,65 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rill.session import shared_dir
+from rill.functions.time import interval
 
 # Fixed value: the host's closing rule compares the window's last
 # millisecond (end - 1 ms) with the watermark.
 HOST_WINDOW_MAX_OFFSET = "INTERVAL 1 MILLISECOND"
 
 
+# Sampled order keys per block: block sizes vary by about a tenth.
+_KEYS_PER_BLOCK = 64
+
+
 def _blocks(df: DataFrame, blocks: int | None) -> int:
+    """Two blocks per shuffle task by default, so that hashing blocks to tasks evens out."""
     if blocks:
         return blocks
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _order_key(df: DataFrame, order_cols: Sequence[str]) -> Column:
+    """The order columns as one comparable struct; times as epoch microseconds."""
+    kinds = dict(df.dtypes)
+    parts = [
+        F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.col(c) for c in order_cols
+    ]
+    return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
+
+
+def _bounds(df: DataFrame, key: Column, n: int) -> list[tuple]:
+    """At most n - 1 order keys that cut the rows into about equal blocks.
+
+    The driver sees ``_KEYS_PER_BLOCK`` keys per block, whatever the input.
+    """
+    hashed = df.select(key.alias("k")).select("k", F.xxhash64("k").alias("h"))
+    sample = sorted(tuple(r["k"]) for r in hashed.orderBy("h", "k").limit(n * _KEYS_PER_BLOCK).collect())
+    cuts = [sample[len(sample) * i // n] for i in range(1, n)] if sample else []
+    return sorted(set(cuts))
+
+
+def _block_of(key: Column, bounds: list[tuple], key_type) -> Column:
+    """Number of bounds up to the key: bisection over a literal array."""
+    if not bounds:
+        return F.lit(0)
+    names = key_type.names
+    table = F.array(*[
+        F.struct(*[F.lit(v).cast(f.dataType).alias(n) for n, f, v in zip(names, key_type.fields, b)]) for b in bounds
+    ])
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        above = (s["lo"] < s["hi"]) & (F.get(table, mid) <= s["key"])
+        return F.struct(
+            F.when(above, mid + 1).otherwise(s["lo"]).alias("lo"),
+            F.when(above | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"),
+            s["key"].alias("key"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"), key.alias("key"))
+    return F.aggregate(steps, start, halve, lambda s: s["lo"])
 
 
 def running_max(
@@ -57,22 +105,15 @@ def running_max(
     """
     n = _blocks(df, blocks)
     keys = list(partition_cols)
-    shared_dir(df.sparkSession)
-    # The block id is the range partition id. Both branches below must see
-    # the same assignment, and two range exchanges sample independently, so
-    # the assignment is written once to the shared checkpoint folder (which
-    # also cuts lineage: a lost executor re-reads blocks, never re-samples).
-    ranged = (
-        df.repartitionByRange(n, *keys, *order_cols)
-        .withColumn("__blk", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    key = _order_key(df, order_cols)
+    key_type = df.select(key.alias("k")).schema["k"].dataType
+    blocked = df.withColumn("__blk", _block_of(key, _bounds(df, key, n), key_type))
 
-    block_max = ranged.groupBy(*keys, "__blk").agg(F.max(value_col).alias("__bmax"))
+    block_max = blocked.groupBy(*keys, "__blk").agg(F.max(value_col).alias("__bmax"))
     earlier = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
     carry = block_max.select(*keys, "__blk", F.max("__bmax").over(earlier).alias("__carry"))
     if not keys:
-        carry = F.broadcast(carry)  # exactly n rows
+        carry = F.broadcast(carry)  # one row per block
 
     upto = 0 if inclusive else -1
     within = (
@@ -80,21 +121,13 @@ def running_max(
         .orderBy(*order_cols)
         .rowsBetween(Window.unboundedPreceding, upto)
     )
-    # one block per task: range bounds over the n block ids fall on the ids
-    # themselves, where hashing n ids onto n tasks would stack several
-    # blocks on some tasks. Range partitioning also satisfies the window.
-    per_block = ranged.repartitionByRange(n, *keys, "__blk")
-    local = per_block.withColumn("__local", F.max(value_col).over(within))
+    local = blocked.withColumn("__local", F.max(value_col).over(within))
     out = local.join(carry, [*keys, "__blk"], "left")
     return out.withColumn(out_col, F.greatest("__local", "__carry")).drop(
         "__blk", "__local", "__carry"
     )
 
 
-def _interval(delay: str) -> Column:
-    return F.expr(f"INTERVAL {delay}")
-
-
 def late_row_audit(
     df: DataFrame,
     *,
@@ -127,7 +160,7 @@ def late_row_audit(
         *id_cols, *partition_cols, time_col,
         w.start.alias("window_start"),
         w.end.alias("window_end"),
-        (F.col("__seen") - _interval(delay)).alias("watermark"),
+        (F.col("__seen") - interval(delay)).alias("watermark"),
     )
     last = F.col("window_end")
     if closing_rule == "host":
@@ -156,5 +189,5 @@ def monotone_event_time(
     )
     return mono.select(
         *id_cols, *partition_cols, time_col, "monotone_ts",
-        (F.col("monotone_ts") - _interval(delay)).alias("watermark"),
+        (F.col("monotone_ts") - interval(delay)).alias("watermark"),
     )

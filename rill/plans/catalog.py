@@ -82,6 +82,30 @@ def table_location(spark: SparkSession, table: str) -> str:
     raise ValueError(f"table {table} has no location")
 
 
+_ADD_CHUNK = 500
+
+
+def partition_spec(values: Mapping[str, str | None], cols: Sequence[str]) -> str:
+    quoted = ("NULL" if values[c] is None else "'" + values[c].replace("\\", "\\\\").replace("'", "\\'") + "'" for c in cols)
+    return ", ".join(f"`{c}` = {v}" for c, v in zip(cols, quoted))
+
+
+def add_partitions(
+    spark: SparkSession, table: str, cols: Sequence[str], partitions: Sequence[Mapping[str, str | None]]
+) -> None:
+    """``ALTER TABLE .. ADD IF NOT EXISTS PARTITION`` for each, in chunks."""
+    for i in range(0, len(partitions), _ADD_CHUNK):
+        specs = " ".join(f"PARTITION ({partition_spec(p, cols)})" for p in partitions[i:i + _ADD_CHUNK])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+
+
+def refresh(table: str, *sessions: SparkSession | None) -> None:
+    """Drop cached file lists of ``table`` in each given session."""
+    for spark in sessions:
+        if spark is not None:
+            spark.sql(f"REFRESH TABLE {table}")
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Expose a (streaming) frame to SQL under ``name``."""
     df.createOrReplaceTempView(name)

@@ -81,16 +81,16 @@ def access_log_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # K4 K5 N6 -- which minute partitions the commit policy may publish
 def partitions_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the watermark is declared on the source, before the row filter
     records = replay.access_log_records(_events(spark, sf_dir))
     return partition_readiness(
-        jobs.access_log_rows(records),
+        jobs.access_log_rows(records, apply_filter=False),
         partition_cols=schemas.ACCESS_LOG_PARTITIONS,
         pattern=schemas.MINUTE_PARTITION_PATTERN,
         event_time=epoch_millis_to_seconds("ts"),
         watermark_delay=schemas.ACCESS_LOG_DELAY,
         commit_delay=schemas.MINUTE_COMMIT_DELAY,
-        # the watermark is declared on the source, before the row filter
-        watermark_source=records,
+        keep=jobs.access_log_keep(),
     )
 
 
@@ -98,13 +98,12 @@ def partitions_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hourly_partitions_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = replay.order_records(_events(spark, sf_dir))
     return partition_readiness(
-        jobs.hourly_order_rows(orders),
+        jobs.hourly_order_rows(orders, keep_time=True),
         partition_cols=schemas.HOURLY_ORDER_PARTITIONS,
         pattern=schemas.HOUR_PARTITION_PATTERN,
         event_time=F.col("log_ts"),
         watermark_delay=schemas.ORDER_DELAY,
         commit_delay=schemas.HOUR_COMMIT_DELAY,
-        watermark_source=orders,
     )
 
 

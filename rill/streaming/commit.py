@@ -1,39 +1,43 @@
 """Partitioned table sink with a partition-time commit step.
 
-Each micro-batch is written as Parquet files under the table's partition
-paths. Because the table tracks partitions in the catalog, those files
-are invisible to readers until the partition is added. After the write,
-every pending partition whose time plus the commit delay is behind the
-watermark is published:
+Each micro-batch is staged and moved under the table's partition paths
+exactly once (``rill.streaming.staging``). Because the table tracks
+partitions in the catalog, those files are invisible to readers until the
+partition is added. After the write, every pending partition whose time
+plus the commit delay is behind the watermark is published:
 
 * ``metastore`` policy: ``ALTER TABLE ... ADD IF NOT EXISTS PARTITION``
 * ``success-file`` policy: an empty ``_SUCCESS`` marker in its folder
 
 The watermark is the largest event time written so far minus the
-watermark delay. Bookkeeping (last batch id, watermark, pending
-partitions) is a small JSON file beside the query checkpoint; a replayed
-batch id is skipped, and re-adding a partition or rewriting its marker
-is idempotent. A partition that gets late rows after its commit simply
-receives more files.
-
-Only per-partition metadata reaches the driver: the pending list is
-bounded by (watermark lag + delay) / partition grain, not by data size.
+watermark delay, in epoch microseconds throughout: a message with an
+absurd time moves it as the rule says and stops nothing. Its partition,
+like one without a time, has no partition time and stays unpublished; its
+rows are on disk. Rows without an event time are counted in the state
+(``null_event_times``).
+
+State (batch id, watermark, pending partitions) is one small file per
+batch beside the query checkpoint. Re-adding a partition or rewriting its
+marker is idempotent. A partition that gets late rows after its commit
+receives more files; the session that started the query sees them at
+once, other sessions refresh the table.
+
+Only partition names reach the driver: the pending list is bounded by
+(watermark lag + delay) / partition grain, plus one name per junk time.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rill.functions.time import parse_duration
-from rill.operators.layout import spread_for_partitioned_write
-from rill.plans.catalog import table_location, table_properties
+from rill.operators.partition_commit import partition_time
+from rill.plans.catalog import add_partitions, refresh, table_location, table_properties
 from rill.streaming import fs
-from rill.streaming.sinks import BatchLog
+from rill.streaming.staging import BatchLog, StagedBatch, partitions_of
 
 # Table property keys and policy names of the commit step.
 PROP_TRIGGER = "sink.partition-commit.trigger"
@@ -45,27 +49,20 @@ POLICY_METASTORE = "metastore"
 POLICY_SUCCESS_FILE = "success-file"
 SUCCESS_FILE_NAME = "_SUCCESS"
 
-_PLACEHOLDER = re.compile(r"\$([A-Za-z_][A-Za-z0-9_]*)")
-_ADD_CHUNK = 500
-
-
-def partition_time_of(pattern: str, values: dict[str, str]) -> dt.datetime:
-    text = _PLACEHOLDER.sub(lambda m: str(values[m.group(1)]), pattern)
-    return dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
+def micros(duration: str) -> int:
+    return round(parse_duration(duration).total_seconds() * 1_000_000)
 
 
 def ready_partitions(
-    pending: list[dict[str, str]], pattern: str, watermark: dt.datetime | None,
-    commit_delay: dt.timedelta,
+    spark: SparkSession, pending: list[dict[str, str]], pattern: str, watermark: int | None, commit_delay: int,
 ) -> list[dict[str, str]]:
-    """Pending partitions with ``partition_time + delay < watermark``."""
-    if watermark is None:
+    """Pending partitions with ``partition_time + delay < watermark``, all in epoch microseconds."""
+    if watermark is None or not pending:
         return []
-    return [p for p in pending if partition_time_of(pattern, p) + commit_delay < watermark]
-
-
-def _spec(values: dict[str, str], cols: Sequence[str]) -> str:
-    return ", ".join(f"`{c}` = '{values[c]}'" for c in cols)
+    cols = list(pending[0])
+    frame = spark.createDataFrame([tuple(p[c] for c in cols) for p in pending], ", ".join(f"`{c}` STRING" for c in cols))
+    times = frame.select(*cols, F.unix_micros(partition_time(pattern).cast("timestamp")).alias("__t")).collect()
+    return [{c: r[c] for c in cols} for r in times if r["__t"] is not None and r["__t"] + commit_delay < watermark]
 
 
 def _path(values: dict[str, str], cols: Sequence[str]) -> str:
@@ -80,6 +77,8 @@ class PartitionCommitSink:
     lacks) are read for bookkeeping and dropped before writing.
     """
 
+    caller: SparkSession | None = None
+
     def __init__(
         self,
         table: str,
@@ -98,12 +97,13 @@ class PartitionCommitSink:
         self.aux_cols = list(aux_cols)
         self.partition_cols = list(partition_cols)
         self.pattern = pattern
-        self.commit_delay = parse_duration(commit_delay)
-        self.watermark_delay = parse_duration(watermark_delay)
+        self.commit_delay = micros(commit_delay)
+        self.watermark_delay = micros(watermark_delay)
         self.event_time = event_time
         self.policies = [p.strip() for p in policies]
         self.row_filter = row_filter
-        self.log = BatchLog(state_dir, "commit-state.json")
+        self.state_dir = state_dir
+        self.log = BatchLog(state_dir, "commit-state")
 
     @classmethod
     def from_table(
@@ -136,64 +136,47 @@ class PartitionCommitSink:
         if BatchLog.done(state, batch_id):
             return
         location = table_location(spark, self.table)
-        keep = self.row_filter if self.row_filter is not None else F.lit(True)
-        flagged = batch_df.withColumn("__keep", F.coalesce(keep, F.lit(False)))
-        flagged.persist()
-        try:
-            # per (partition, kept) max event time: one small aggregate; the
-            # watermark sees every row, pending partitions only kept rows
-            stats = (
-                flagged.groupBy(*self.partition_cols, "__keep")
-                .agg(F.max(self.event_time).alias("__max"), F.count(F.lit(1)).alias("__n"))
-                .collect()
-            )
-            counts = {
-                tuple(r[c] for c in self.partition_cols): r["__n"] for r in stats if r["__keep"]
-            }
-            if counts:
-                kept = flagged.where("__keep").drop("__keep", *self.aux_cols)
-                (
-                    spread_for_partitioned_write(kept, self.partition_cols, counts)
-                    .write.mode("append").partitionBy(*self.partition_cols)
-                    .parquet(location)
-                )
-        finally:
-            flagged.unpersist()
-
-        pending = {tuple(p[c] for c in self.partition_cols) for p in state.get("pending", [])}
-        max_seen = state.get("max_event_time")
-        max_seen = dt.datetime.fromisoformat(max_seen) if max_seen else None
-        for row in stats:
-            key = tuple(row[c] for c in self.partition_cols)
-            # a partition without values (NULL event time) has no partition
-            # time, so the time rule can never publish it
-            if row["__keep"] and all(v is not None for v in key):
-                pending.add(key)
-            if row["__max"] is not None and (max_seen is None or row["__max"] > max_seen):
-                max_seen = row["__max"]
-        watermark = max_seen - self.watermark_delay if max_seen else None
+        batch = StagedBatch(spark, self.state_dir, batch_id, location)
+        # the watermark sees every row, pending partitions only kept rows
+        record = batch.write(
+            batch_df, self.partition_cols, keep=self.row_filter, drop=self.aux_cols,
+            measures={
+                "max": F.max(F.unix_micros(self.event_time.cast("timestamp"))),
+                "nulls": F.count_if(self.event_time.isNull()),
+            },
+        )
+        batch.publish(record)
+
+        written = partitions_of(record["files"])
+        # a partition without values (NULL event time) has no partition
+        # time, so the time rule can never publish it
+        pending = {tuple(p[c] for c in self.partition_cols) for p in [*state.get("pending", []), *written]
+                   if all(p[c] is not None for c in self.partition_cols)}
+        seen = [m for m in (state.get("max_event_micros"), record["measures"]["max"]) if m is not None]
+        most = max(seen, default=None)
         pending_list = [dict(zip(self.partition_cols, p)) for p in sorted(pending)]
-        ready = ready_partitions(pending_list, self.pattern, watermark, self.commit_delay)
+        watermark = None if most is None else most - self.watermark_delay
+        ready = ready_partitions(spark, pending_list, self.pattern, watermark, self.commit_delay)
         self._commit(spark, location, ready)
+        if written:
+            refresh(self.table, spark, self.caller)
 
         ready_keys = {tuple(p[c] for c in self.partition_cols) for p in ready}
-        state = {
+        self.log.save(spark, {
             "batch": batch_id,
-            "max_event_time": max_seen.isoformat() if max_seen else None,
+            "max_event_micros": most,
+            "null_event_times": state.get("null_event_times", 0) + record["measures"]["nulls"],
             "pending": [p for p in pending_list if tuple(p[c] for c in self.partition_cols) not in ready_keys],
             "committed": state.get("committed", 0) + len(ready),
-        }
-        self.log.save(spark, state)
+        })
+        batch.clean()
 
     def _commit(self, spark: SparkSession, location: str, ready: list[dict[str, str]]) -> None:
         if not ready:
             return
         if POLICY_METASTORE in self.policies:
-            for i in range(0, len(ready), _ADD_CHUNK):
-                chunk = ready[i:i + _ADD_CHUNK]
-                specs = " ".join(f"PARTITION ({_spec(p, self.partition_cols)})" for p in chunk)
-                spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {specs}")
-            spark.sql(f"REFRESH TABLE {self.table}")
+            add_partitions(spark, self.table, self.partition_cols, ready)
+            refresh(self.table, spark, self.caller)
         if POLICY_SUCCESS_FILE in self.policies:
             base = location.rstrip("/")
             fs.touch_all(

@@ -1,12 +1,13 @@
 """Tiny driver-side file operations on the shared file system.
 
-Used only for sink bookkeeping (committed batch id, pending partitions,
-success markers): a few bytes per micro-batch. Goes through the Hadoop
+Used only for sink bookkeeping (batch state, pending partitions, success
+markers) and for moving a batch's finished files into its table. Goes through the Hadoop
 FileSystem API of the session, so HDFS / S3 / ABFS paths work alike.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -48,9 +49,13 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write via a temporary file and rename, so readers see old or new."""
+    """Write under a temporary name, then rename: readers see all or nothing.
+
+    ``path`` should be new (state files carry a batch id); an existing one
+    is replaced. A failed rename is an error.
+    """
     fs, p = _fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    tmp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
@@ -58,7 +63,50 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
     if fs.exists(p):
         fs.delete(p, False)
-    fs.rename(tmp, p)
+    if not fs.rename(tmp, p):
+        raise OSError(f"could not rename {tmp} to {path}")
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder; none if it does not exist."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a folder, relative to it; names starting with _ or . are left out."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    base = fs.getFileStatus(p).getPath().toUri().getPath().rstrip("/") + "/"
+    out, found = [], fs.listFiles(p, True)
+    while found.hasNext():
+        name = found.next().getPath().toUri().getPath()[len(base):]
+        if not any(part[0] in "_." for part in name.split("/")):
+            out.append(name)
+    return sorted(out)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def in_parallel(call, items: list, *, threads: int = 16) -> None:
+    """File-system calls are latency-bound, so a few driver threads overlap
+    them (each gets its own gateway connection)."""
+    if len(items) <= 1:
+        for item in items:
+            call(item)
+        return
+    with ThreadPoolExecutor(max_workers=min(threads, len(items))) as pool:
+        list(pool.map(call, items))
 
 
 def touch(spark: SparkSession, path: str) -> None:
@@ -67,15 +115,9 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def touch_all(spark: SparkSession, paths: list[str], *, threads: int = 16) -> None:
-    """Create many markers; file-system calls are latency-bound, so a few
-    driver threads overlap them (each gets its own gateway connection)."""
-    if len(paths) <= 1:
-        for p in paths:
-            touch(spark, p)
-        return
-    with ThreadPoolExecutor(max_workers=min(threads, len(paths))) as pool:
-        list(pool.map(lambda p: touch(spark, p), paths))
+def touch_all(spark: SparkSession, paths: list[str]) -> None:
+    """Create many markers."""
+    in_parallel(lambda p: touch(spark, p), paths)
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:

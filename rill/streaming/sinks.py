@@ -1,24 +1,22 @@
 """Stream sinks: topic, console, text/file, table and JDBC.
 
-The file and text sinks are exactly-once through Spark's manifest. The
-foreachBatch sinks record the last committed batch id next to the query
-checkpoint and skip replays of it; only a crash after a batch's write
-committed but before its id was recorded re-appends that batch. The topic
-sink is at-least-once (the Kafka producer cannot take part in Spark's
-commit).
+The file and text sinks are exactly-once through Spark's manifest, the
+table sinks through staged batches (``rill.streaming.staging``). The JDBC
+and topic sinks are at-least-once: a crash after a batch's write and
+before its id is recorded sends that batch again.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from rill.operators.layout import spread_for_partitioned_write
-from rill.streaming import fs
+from rill.operators.projection import insert_by_position
+from rill.plans.catalog import add_partitions, refresh, table_location
+from rill.streaming.staging import BatchLog, StagedBatch, partitions_of
 
 
 def _trigger(writer: DataStreamWriter, trigger: str | None, available_now: bool) -> DataStreamWriter:
@@ -53,15 +51,26 @@ def to_topic(
     return _trigger(writer, trigger, available_now)
 
 
-def to_console(
-    df: DataFrame, *, output_mode: str = "append", truncate: bool = False,
-    num_rows: int = 20, trigger: str | None = None, available_now: bool = False,
-) -> DataStreamWriter:
-    """Print each micro-batch (a debugging sink)."""
-    writer = (
-        df.writeStream.format("console").outputMode(output_mode)
-        .option("truncate", str(truncate).lower()).option("numRows", str(num_rows))
-    )
+class PrintSink:
+    """foreachBatch: print every row of each micro-batch.
+
+    Rows come to the driver one partition at a time.
+    """
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        print_rows(batch_df)
+
+
+def print_rows(df: DataFrame) -> None:
+    """One line per row, all rows."""
+    for row in df.toLocalIterator():
+        print("\t".join("NULL" if v is None else str(v) for v in row))
+
+
+def to_console(df: DataFrame, *, output_mode: str = "append", trigger: str | None = None,
+               available_now: bool = False) -> DataStreamWriter:
+    """Print every row of each micro-batch."""
+    writer = df.writeStream.foreachBatch(PrintSink()).outputMode(output_mode)
     return _trigger(writer, trigger, available_now)
 
 
@@ -106,35 +115,21 @@ def write_files(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     writer.save(path)
 
 
-class BatchLog:
-    """Last committed micro-batch id of a foreachBatch sink."""
-
-    def __init__(self, state_dir: str, name: str = "sink-state.json"):
-        self.path = f"{state_dir.rstrip('/')}/{name}"
-
-    def load(self, spark) -> dict:
-        text = fs.read_text(spark, self.path)
-        return json.loads(text) if text else {"batch": None}
-
-    def save(self, spark, state: dict) -> None:
-        fs.write_text(spark, self.path, json.dumps(state))
-
-    @staticmethod
-    def done(state: dict, batch_id: int) -> bool:
-        return state.get("batch") is not None and batch_id <= state["batch"]
-
-
 class TableAppendSink:
-    """foreachBatch: append each micro-batch to a catalog table.
+    """foreachBatch: append each micro-batch to a catalog table, exactly once.
 
-    Partitioned tables get dynamic partitions from the trailing columns
-    (by position, as ``INSERT INTO``); partitions are visible at once.
-    Rows are spread on the partition values first (``rill.operators.layout``)
-    so each partition gets few files and a hot partition is split.
+    Columns go in by position (as ``INSERT INTO``), so partitioned tables
+    get dynamic partitions from the trailing columns. Rows are rebalanced on
+    the partition values first, so each partition gets few files and a hot
+    one is split. The session that started the query sees new rows at once;
+    other sessions refresh the table.
     """
 
+    caller: SparkSession | None = None
+
     def __init__(self, table: str, state_dir: str, *, partition_cols: Sequence[str] = ()):
         self.table = table
+        self.state_dir = state_dir
         self.partition_cols = list(partition_cols)
         self.log = BatchLog(state_dir)
 
@@ -143,26 +138,16 @@ class TableAppendSink:
         state = self.log.load(spark)
         if BatchLog.done(state, batch_id):
             return
-        if not self.partition_cols:
-            batch_df.write.insertInto(self.table)
-        else:
-            spark.conf.set("hive.exec.dynamic.partition", "true")
-            spark.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
-            batch_df.persist()
-            try:
-                counts = {
-                    tuple(r[c] for c in self.partition_cols): r["__n"]
-                    for r in batch_df.groupBy(*self.partition_cols)
-                    .agg(F.count(F.lit(1)).alias("__n")).collect()
-                }
-                if counts:
-                    spread_for_partitioned_write(
-                        batch_df, self.partition_cols, counts
-                    ).write.insertInto(self.table)
-            finally:
-                batch_df.unpersist()
-        state["batch"] = batch_id
-        self.log.save(spark, state)
+        rows = insert_by_position(batch_df, spark.table(self.table).schema)
+        batch = StagedBatch(spark, self.state_dir, batch_id, table_location(spark, self.table))
+        record = batch.write(rows, self.partition_cols)
+        batch.publish(record)
+        if self.partition_cols:
+            add_partitions(spark, self.table, self.partition_cols, partitions_of(record["files"]))
+        if record["files"]:
+            refresh(self.table, spark, self.caller)
+        self.log.save(spark, {**state, "batch": batch_id})
+        batch.clean()
 
 
 class JdbcAppendSink:
@@ -191,8 +176,9 @@ class JdbcAppendSink:
 
 
 class CompleteResultSink:
-    """foreachBatch for complete/update output: each micro-batch carries the
-    whole (small, aggregated) result, so it replaces the folder."""
+    """foreachBatch for complete output: each micro-batch carries the whole
+    (small, aggregated) result, so it replaces the folder. Update output
+    carries changed groups only and is refused by ``for_each_batch``."""
 
     def __init__(self, path: str, fmt: str = "parquet"):
         self.path, self.fmt = path, fmt
@@ -205,6 +191,10 @@ def for_each_batch(
     df: DataFrame, sink, checkpoint: str, *, output_mode: str = "append",
     trigger: str | None = None, available_now: bool = False,
 ) -> DataStreamWriter:
+    if isinstance(sink, CompleteResultSink) and output_mode != "complete":
+        raise ValueError(f"CompleteResultSink needs output mode 'complete', got {output_mode!r}")
+    if hasattr(sink, "caller"):
+        sink.caller = df.sparkSession
     writer = (
         df.writeStream.foreachBatch(sink).outputMode(output_mode)
         .option("checkpointLocation", checkpoint)

@@ -1,29 +1,41 @@
-"""Partitioned-write placement: a hot partition is split, cold ones stay whole."""
+"""Partitioned-write placement: the plan ignores the data, hot partitions are split."""
 
 from pyspark.sql import functions as F
 
-from rill.operators.layout import spread_for_partitioned_write
-
-
-def test_hot_partition_is_split(spark):
-    # one partition value holds a third of all rows
-    rows = [("hot", i) for i in range(3000)] + [(f"p{i % 60}", i) for i in range(6000)]
-    df = spark.createDataFrame(rows, "p STRING, v BIGINT")
-    counts = {(r["p"],): r["n"] for r in df.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
-    spread = spread_for_partitioned_write(df, ["p"], counts, tasks=8)
-    placed = spread.withColumn("task", F.spark_partition_id())
-    per_task_hot = placed.where("p = 'hot'").groupBy("task").count().collect()
-    assert len(per_task_hot) >= 2                      # hot partition spread over several tasks
-    assert max(r["count"] for r in per_task_hot) <= 3000 * 0.75
-    cold_tasks = placed.where("p != 'hot'").groupBy("p").agg(F.countDistinct("task").alias("t"))
-    assert cold_tasks.agg(F.max("t")).collect()[0][0] == 1   # each cold partition in one task
-    assert spread.count() == df.count()                # nothing dropped or duplicated
-
-
-def test_single_partition_holding_every_row(spark):
-    df = spark.range(8000).select(F.lit("only").alias("p"), F.col("id").alias("v"))
-    spread = spread_for_partitioned_write(df, ["p"], {("only",): 8000}, tasks=8)
-    per_task = spread.groupBy(F.spark_partition_id().alias("t")).count().collect()
-    assert len(per_task) >= 6                      # spread over most of the 8 tasks
-    assert max(r["count"] for r in per_task) <= 8000 * 0.3
-    assert spread.count() == 8000
+from rill.operators.layout import rebalanced
+
+
+def _files(spark, df, folder, tasks, advisory):
+    """Rows per (partition, file) of a partitioned write: a task writes one file to each of its partitions."""
+    keys = {
+        "spark.sql.shuffle.partitions": str(tasks), "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        rebalanced(df, ["p"]).write.partitionBy("p").parquet(folder)
+        return spark.read.schema("v STRING, p STRING").parquet(folder).groupBy("p", F.input_file_name().alias("f")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_hot_partition_is_split_over_tasks(spark, tmp_dir):
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("id") % 600)).alias("p"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    rows = _files(spark, df, f"{tmp_dir}/t", 8, "1m")
+    hot = [r["count"] for r in rows if r["p"] == "hot"]
+    assert len(hot) >= 4 and sum(hot) == 180_000 and max(hot) < 90_000
+    assert sum(r["count"] for r in rows) == 200_000
+
+
+def test_many_equal_partitions_need_no_branch_per_key(spark, tmp_dir):
+    df = spark.range(144_000).select((F.col("id") % 1440).cast("string").alias("p"), F.col("id").cast("string").alias("v"))
+    plan = rebalanced(df, ["p"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE" not in plan and len(plan) < 600
+    rows = _files(spark, df.where("p < 200"), f"{tmp_dir}/t", 2000, "64k")
+    assert len({r["p"] for r in rows}) == 200 and len(rows) < 2 * 200 and sum(r["count"] for r in rows) == 20_000

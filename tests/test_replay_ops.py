@@ -8,7 +8,7 @@ import pytest
 
 from rill.operators.partition_commit import is_ready, partition_readiness, partition_time
 from rill.operators.replay import late_row_audit, monotone_event_time, running_max
-from rill.streaming.commit import parse_duration, ready_partitions
+from rill.streaming.commit import micros, ready_partitions
 
 BASE = dt.datetime(2024, 1, 1)
 
@@ -72,9 +72,10 @@ def test_monotone_event_time(spark):
 def test_partition_commit_rule(spark):
     parts = [("2024-01-01", "00", m) for m in ("00", "01", "02")]
     wm = dt.datetime(2024, 1, 1, 0, 2, 0, 1000)
+    wm_micros = int(wm.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000 + wm.microsecond
     py = ready_partitions(
-        [dict(zip(("ts_date", "ts_hour", "ts_minute"), p)) for p in parts],
-        "$ts_date $ts_hour:$ts_minute:00", wm, parse_duration("1 min"),
+        spark, [dict(zip(("ts_date", "ts_hour", "ts_minute"), p)) for p in [*parts, ("+55969-01-01", "00", "00")]],
+        "$ts_date $ts_hour:$ts_minute:00", wm_micros, micros("1 min"),
     )
     assert [p["ts_minute"] for p in py] == ["00", "01"]
     from pyspark.sql import functions as F
