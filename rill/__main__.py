@@ -3,11 +3,13 @@
 Streaming jobs: ``url-summary`` (metric topic -> url counts -> topic or
 folder), ``site-counts`` (text access logs -> access-count table),
 ``access-log`` (access logs -> minute-partitioned table with partition
+commit), ``hourly-order`` (orders -> hour-partitioned table with partition
 commit) and ``tail`` (print a message stream). Batch job:
 ``tracked-urls`` (the URL dimension from a JDBC table or a parquet
 folder). Sources are a Kafka topic (``--bootstrap`` + ``--topic``) or a
-folder of recorded messages (``--path`` + ``--format``). Checkpoints
-default to a folder under the session's ``spark.checkpoint.dir``.
+folder of recorded messages (``--path`` + ``--format``). The default
+checkpoint is fixed by the job and its sink, under ``spark.checkpoint.dir``
+(``--shared-dir``), so a job started again goes on where it stopped.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import os
 
 from rill import schemas
 from rill.plans import catalog
-from rill.session import build_session, scratch_path
+from rill.session import build_session, job_checkpoint
 from rill.sources.jdbc import URL_SLA_TABLE, read_url_dimension, url_dimension
 from rill.sources.messages import EARLIEST, LATEST, kafka_options, read_messages
 from rill.streaming import jobs as sjobs
@@ -26,13 +28,14 @@ from rill.streaming.commit import (
     PROP_TRIGGER, TRIGGER_PARTITION_TIME,
 )
 from rill.streaming.runner import run
-from rill.streaming.sinks import to_files
+from rill.streaming.sinks import print_rows, to_files
 
 # Trigger intervals and start positions of the jobs.
 JOB_DEFAULTS = {
     "url-summary": {"trigger": "5 seconds", "start": EARLIEST},
     "site-counts": {"trigger": "20 seconds", "start": LATEST},
     "access-log": {"trigger": "20 seconds", "start": LATEST},
+    "hourly-order": {"trigger": "20 seconds", "start": LATEST},
     "tail": {"trigger": None, "start": LATEST},
     "tracked-urls": {"trigger": None, "start": LATEST},
 }
@@ -59,17 +62,26 @@ def _args(argv=None) -> argparse.Namespace:
     p.add_argument("--jdbc-user-env", default="JDBC_USER", help="env var holding the user")
     p.add_argument("--jdbc-password-env", default="JDBC_PASSWORD", help="env var holding the password")
     p.add_argument("--with-sla", action="store_true")
+    p.add_argument("--jdbc-partition-column", help="numeric column to split the JDBC read on")
+    p.add_argument("--jdbc-lower", type=int)
+    p.add_argument("--jdbc-upper", type=int)
+    p.add_argument("--jdbc-partitions", type=int)
+    p.add_argument("--max-per-trigger", type=int, help="files (or topic records) per micro-batch; default: no limit")
+    p.add_argument("--rocksdb", action="store_true", help="keep streaming state in RocksDB, off the executor heap")
+    p.add_argument("--shared-dir", help="sets spark.checkpoint.dir")
     p.add_argument("--master")
     return p.parse_args(argv)
 
 
 def _source(spark, a, start: str):
     if a.path:
-        return read_messages(spark, a.format, stream=True, path=a.path)
+        limit = {"maxFilesPerTrigger": str(a.max_per_trigger)} if a.max_per_trigger else {}
+        return read_messages(spark, a.format, stream=True, path=a.path, **limit)
     if not (a.bootstrap and a.topic):
         raise SystemExit("give --path, or --bootstrap and --topic")
     return read_messages(spark, "kafka", stream=True, **kafka_options(
-        a.bootstrap, a.topic, group_id=a.group_id, starting_offsets=start))
+        a.bootstrap, a.topic, group_id=a.group_id, starting_offsets=start,
+        max_offsets_per_trigger=a.max_per_trigger))
 
 
 def _table(spark, a, name: str, ddl: str, **kw) -> str:
@@ -81,11 +93,13 @@ def _table(spark, a, name: str, ddl: str, **kw) -> str:
 
 
 def tracked_urls(spark, a) -> None:
-    """Batch: read the URL dimension, write it to --sink-path or show it."""
+    """Batch: read the URL dimension, write it to --sink-path or print all of it."""
     if a.jdbc_url:
         props = {k: os.environ[v] for k, v in (("user", a.jdbc_user_env), ("password", a.jdbc_password_env))
                  if v in os.environ}
-        urls = read_url_dimension(spark, a.jdbc_url, props, table=a.jdbc_table, with_sla=a.with_sla)
+        urls = read_url_dimension(spark, a.jdbc_url, props, table=a.jdbc_table, with_sla=a.with_sla,
+                                  partition_column=a.jdbc_partition_column, lower_bound=a.jdbc_lower,
+                                  upper_bound=a.jdbc_upper, num_partitions=a.jdbc_partitions)
     elif a.path:
         urls = url_dimension(spark.read.format(a.format).load(a.path), with_sla=a.with_sla)
     else:
@@ -93,32 +107,36 @@ def tracked_urls(spark, a) -> None:
     if a.sink_path:
         urls.write.mode("overwrite").parquet(a.sink_path)
     else:
-        urls.show(truncate=False)
+        print_rows(urls)
 
 
 def main(argv=None) -> None:
     a = _args(argv)
-    conf = {"spark.sql.catalogImplementation": "hive"} if a.hive else None
-    spark = build_session(a.master, app_name=f"rill-{a.job}", conf=conf)
+    conf = {"spark.sql.catalogImplementation": "hive"} if a.hive else {}
+    if a.shared_dir:
+        conf["spark.checkpoint.dir"] = a.shared_dir
+    spark = build_session(a.master, app_name=f"rill-{a.job}", conf=conf, rocksdb_state=a.rocksdb)
     if a.job == "tracked-urls":
         tracked_urls(spark, a)
         return
     defaults = JOB_DEFAULTS[a.job]
     trigger = a.trigger or defaults["trigger"]
-    checkpoint = a.checkpoint or scratch_path(spark, f"{a.job}-checkpoint")
+    checkpoint = lambda sink: a.checkpoint or job_checkpoint(spark, a.job, sink)
     topic = _source(spark, a, defaults["start"])
     opts = {"trigger": trigger, "available_now": a.available_now}
 
     if a.job == "url-summary":
         if a.sink_path:
-            writer = to_files(sjobs.url_summary_frame(topic), a.sink_path, checkpoint, fmt="text", **opts)
+            writer = to_files(sjobs.url_summary_frame(topic), a.sink_path, checkpoint(a.sink_path),
+                              fmt="text", **opts)
         elif a.sink_topic and a.bootstrap:
-            writer = sjobs.url_summary_job(topic, a.sink_topic, a.bootstrap, checkpoint, trigger=trigger)
+            writer = sjobs.url_summary_job(topic, a.sink_topic, a.bootstrap,
+                                           checkpoint(f"{a.bootstrap}/{a.sink_topic}"), **opts)
         else:
             raise SystemExit("url-summary needs --sink-path, or --sink-topic with --bootstrap")
     elif a.job == "site-counts":
         table = _table(spark, a, a.table or "access_count", schemas.ACCESS_COUNT)
-        writer = sjobs.site_count_job(topic, table, checkpoint, **opts)
+        writer = sjobs.site_count_job(topic, table, checkpoint(table), **opts)
     elif a.job == "access-log":
         table = _table(
             spark, a, a.table or "access_log", schemas.ACCESS_LOG_TABLE,
@@ -130,7 +148,19 @@ def main(argv=None) -> None:
                 PROP_PATTERN: schemas.MINUTE_PARTITION_PATTERN,
             },
         )
-        writer = sjobs.access_log_job(topic, table, checkpoint, **opts)
+        writer = sjobs.access_log_job(topic, table, checkpoint(table), **opts)
+    elif a.job == "hourly-order":
+        table = _table(
+            spark, a, a.table or "hourly_order", schemas.HOURLY_ORDER_TABLE,
+            partition_cols=schemas.HOURLY_ORDER_PARTITIONS,
+            properties={
+                PROP_TRIGGER: TRIGGER_PARTITION_TIME,
+                PROP_DELAY: "1 h",
+                PROP_POLICY: f"{POLICY_METASTORE},{POLICY_SUCCESS_FILE}",
+                PROP_PATTERN: schemas.HOUR_PARTITION_PATTERN,
+            },
+        )
+        writer = sjobs.hourly_order_job(topic, table, checkpoint(table), **opts)
     else:
         writer = sjobs.tail_job(topic, available_now=a.available_now)
     run(writer, name=f"rill-{a.job}")

@@ -12,14 +12,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rill.functions.time import parse_duration, to_stream_time
 
 
+# Name of the observed metric that counts rows without an event time.
+NULL_TIMES = "null_event_times"
+
+
+def observe_null_times(df: DataFrame, time_col: str, observation: str | Observation = NULL_TIMES) -> DataFrame:
+    """Count rows whose event time is NULL: they belong to no window.
+
+    A stream reports the count of each micro-batch under ``observation`` in
+    its progress (``rill.streaming.runner.null_event_times``); in batch pass
+    an ``Observation`` and read its ``null_event_times`` after the action.
+    """
+    return df.observe(observation, F.count_if(F.col(time_col).isNull()).alias(NULL_TIMES))
+
+
 def with_watermark(df: DataFrame, time_col: str, delay: str) -> DataFrame:
-    """Declare a bounded-delay watermark; casts zone-less times first."""
+    """Declare a bounded-delay watermark; casts zone-less times first.
+
+    A stream also counts the rows without a time (``observe_null_times``).
+    """
+    if df.isStreaming:
+        df = observe_null_times(df, time_col)
     if dict(df.dtypes)[time_col] == "timestamp_ntz":
         df = df.withColumn(time_col, to_stream_time(time_col))
     return df.withWatermark(time_col, delay)
@@ -43,7 +62,7 @@ def aggregate_by_window(
     """Aggregate per (tumbling window, keys); window bounds as two columns.
 
     Windows are aligned to the epoch. Rows with a NULL event time belong
-    to no window and are not counted.
+    to no window and are not counted; ``observe_null_times`` counts them.
 
     Streaming frames group by ``window()`` (the key the watermark tracks).
     Batch frames group by the bucket start computed directly,

@@ -152,13 +152,18 @@ def page_views(
     *,
     size: str = schemas.PV_WINDOW,
     delay: str | None = None,
+    computed_time: bool = False,
 ) -> DataFrame:
     """User-log records -> (dt, pv, uv) per user per window.
 
+    ``computed_time`` windows on the time computed from ``itemId`` (epoch
+    milliseconds, whole seconds kept) instead of ``ts``.
+
     ``pv`` counts non-NULL categories; ``uv`` is the user id itself, as
     the declared output defines it (not a distinct count).
     """
-    df = user_log.select("userId", "categoryId", F.col("ts").alias("event_time"))
+    time = epoch_millis_to_seconds("itemId") if computed_time else F.col("ts")
+    df = user_log.select("userId", "categoryId", time.alias("event_time"))
     if delay:
         df = with_watermark(df, "event_time", delay)
     agg = count_column_by_window(df, "event_time", size, ["userId"], "categoryId", count_col="pv")

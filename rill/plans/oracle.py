@@ -197,3 +197,18 @@ ORACLE["hourly_order_committed"] = """
     WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR
           < (SELECT max(ts) FROM events) - INTERVAL 5 SECOND
 """
+
+ORACLE["order_copy_stream"] = """
+    SELECT CAST(user_id AS VARCHAR) AS user_id, value AS order_amount,
+           strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS "hour"
+    FROM events WHERE value > 0
+"""
+
+# the computed time keeps whole seconds; windows closed by max - 1 ms
+ORACLE["pv_per_user_1m_stream"] = f"""
+    SELECT {bucket(f"epoch_us({SEC_TS})", MINUTE)} AS dt, count({MERCH}) AS pv, user_id AS uv
+    FROM events
+    GROUP BY 1, 3
+    HAVING {bucket(f"epoch_us(max({SEC_TS}))", MINUTE, end=True)}
+           <= (SELECT max({SEC_TS}) FROM events) - INTERVAL 1 MILLISECOND
+"""

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rill import schemas
 from rill.operators.windows import window_bounds_to_table_time
-from rill.plans import catalog
+from rill.plans import catalog, jobs
 from rill.session import conform, scratch_path, shared_dir
 from rill.sources import replay
-from rill.sources.tables import stream_table
+from rill.sources.tables import read_table, stream_table
 from rill.streaming import fs
 from rill.streaming import jobs as sjobs
 from rill.streaming.commit import (
@@ -170,7 +170,38 @@ def hourly_order_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+# C2 C6 K2 -- orders of a table in one database streamed into a table of another
+ORDERS_DATABASE = "order_logs"
+ORDERS_SELECT = "SELECT user_id, order_amount, dt, `hour` FROM source_rows WHERE order_amount > 0"
+
+
+def order_copy_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conform(spark)
+    base = scratch_path(spark, "order_source")
+    catalog.create_database(
+        spark, ORDERS_DATABASE, location=f"{shared_dir(spark)}/rill/{ORDERS_DATABASE}.db"
+    )
+    name = f"orders_{base.rsplit('-', 1)[-1]}"
+    ddl = catalog.table_ddl(name, schemas.HOURLY_ORDER_TABLE, database=ORDERS_DATABASE, location=f"{base}/table")
+    catalog.create_if_absent(spark, name, ddl, database=ORDERS_DATABASE)
+    orders = jobs.hourly_order_rows(replay.order_records(read_table(spark, sf_dir, "events")))
+    orders.write.insertInto(catalog.qualified(ORDERS_DATABASE, name))
+    table, sink = _sink_table(spark, "order_copy", schemas.HOURLY_ORDER_TABLE)
+    run(sjobs.table_to_table_job(
+        spark, f"{ORDERS_DATABASE}.{name}", table, ORDERS_SELECT, f"{sink}/checkpoint", available_now=True
+    ))
+    return spark.table(table)
+
+
+# S5 W3 A5 -- page views per user and minute of the computed time, as a stream
+def pv_per_user_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = replay.user_log_topic(_events_stream(spark, sf_dir))
+    return _run_to_parquet(sjobs.page_view_frame(topic), "pv_per_user_1m_stream")
+
+
 STREAM_QUERIES = {
+    "order_copy_stream": order_copy_stream,
+    "pv_per_user_1m_stream": pv_per_user_1m_stream,
     "site_count_20s_stream": site_count_20s_stream,
     "site_count_20s_table": site_count_20s_table,
     "url_count_5s_stream": url_count_5s_stream,

@@ -24,24 +24,12 @@ ACCESS_LOG_TEXT = (
     "logTime STRING, message STRING, eventType STRING, userId STRING, siteId STRING"
 )
 
-# Web-server log message fields.
-APACHE_LOG = "message STRING, referrer STRING, response STRING, tags STRING, verb STRING"
-
 # Order stream (table declared with a 5 s watermark on log_ts).
 ORDER = "user_id STRING, order_amount DOUBLE, log_ts TIMESTAMP_NTZ"
 
 # User behaviour stream.
 USER_LOG = "userId BIGINT, itemId BIGINT, categoryId BIGINT, behavior STRING, ts TIMESTAMP_NTZ"
 
-# URL dimension table (sla type is not declared upstream).
-URL_SLA = "url STRING, sla DOUBLE"
-
-# Shape of a topic record (what a Kafka source returns).
-TOPIC_RECORD = (
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
-    "timestamp TIMESTAMP, timestampType INT"
-)
-
 # --- table layouts -----------------------------------------------------------
 # Declared TIMESTAMP columns are zone-less wall clock, hence TIMESTAMP_NTZ.
 
@@ -55,10 +43,6 @@ ACCESS_LOG_TABLE = (
     "column_type STRING, site_id BIGINT, groupon_id BIGINT, partner_id BIGINT, "
     "merchandise_id BIGINT, ts_date STRING, ts_hour STRING, ts_minute STRING"
 )
-ACCESS_LOG_TABLE_COLUMNS = [
-    "ts", "user_id", "event_type", "from_type", "column_type", "site_id",
-    "groupon_id", "partner_id", "merchandise_id", "ts_date", "ts_hour", "ts_minute",
-]
 ACCESS_LOG_PARTITIONS = ["ts_date", "ts_hour", "ts_minute"]
 
 # Hourly order table.
@@ -80,6 +64,7 @@ URL_COUNT_DELAY = "2 seconds"
 SITE_COUNT_WINDOW = "20 seconds"
 ACCESS_LOG_DELAY = "15 seconds"
 ORDER_DELAY = "5 seconds"
+USER_LOG_DELAY = "1 millisecond"
 HOST_MEM_WINDOW = "2 seconds"
 PV_WINDOW = "1 minute"
 

@@ -8,6 +8,8 @@ checkpoints and scratch tables.
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 
@@ -67,8 +69,9 @@ def build_session(
 def conform(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings results depend on (idempotent).
 
-    Only the session time zone changes results: epoch conversions and
-    LTZ<->NTZ casts are done in it. Everything else is left to the caller.
+    Epoch conversions and LTZ<->NTZ casts are done in the session time zone.
+    Strict checks raise by themselves, whatever the ANSI setting is.
+    Everything else is left to the caller.
     """
     if spark.conf.get("spark.sql.session.timeZone") != SESSION_TIME_ZONE:
         spark.conf.set("spark.sql.session.timeZone", SESSION_TIME_ZONE)
@@ -104,6 +107,30 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def durable_dir(spark: SparkSession) -> str:
+    """Where streaming checkpoints of jobs live, the same in every session.
+
+    Directly under the configured ``spark.checkpoint.dir``. A local session
+    without one uses its warehouse folder, where its tables live too.
+    """
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if configured:
+        return f"{configured.rstrip('/')}/rill/checkpoints"
+    if not _is_local(spark):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; point it at shared storage "
+            "(HDFS/S3/ABFS) so that jobs resume after a restart"
+        )
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_rill_checkpoints"
+
+
+def job_checkpoint(spark: SparkSession, job: str, sink: str) -> str:
+    """The default checkpoint of a job: a function of job and sink name."""
+    readable = re.sub(r"[^A-Za-z0-9]+", "-", sink).strip("-")[-40:]
+    digest = hashlib.sha256(sink.encode()).hexdigest()[:10]
+    return f"{durable_dir(spark)}/{job}/{readable}-{digest}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique location under the shared folder."""
     return f"{shared_dir(spark)}/rill/{label}-{uuid.uuid4().hex[:12]}"

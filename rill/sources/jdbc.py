@@ -41,6 +41,7 @@ def url_dimension(df: DataFrame, *, with_sla: bool = False) -> DataFrame:
 
 def read_url_dimension(
     spark: SparkSession, url: str, properties: dict[str, str] | None = None,
-    *, table: str = URL_SLA_TABLE, with_sla: bool = False,
+    *, table: str = URL_SLA_TABLE, with_sla: bool = False, **partition: str | int | None,
 ) -> DataFrame:
-    return url_dimension(read_jdbc(spark, url, table, properties), with_sla=with_sla)
+    """``partition`` takes the split options of ``read_jdbc``."""
+    return url_dimension(read_jdbc(spark, url, table, properties, **partition), with_sla=with_sla)

@@ -21,6 +21,7 @@ def kafka_options(
     group_id: str | None = None,
     starting_offsets: str = LATEST,
     fail_on_data_loss: bool = True,
+    max_offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
     """Options for ``format('kafka')`` matching a subscribed consumer."""
     opts = {
@@ -31,6 +32,8 @@ def kafka_options(
     }
     if group_id:
         opts["kafka.group.id"] = group_id
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
 
 

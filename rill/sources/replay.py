@@ -82,11 +82,15 @@ def access_log_text_columns() -> list[Column]:
     ]
 
 
-def user_log_columns() -> list[Column]:
-    """User-behaviour fields per event (category = merchandise id)."""
+def user_log_columns(*, timed_items: bool = False) -> list[Column]:
+    """User-behaviour fields per event (category = merchandise id).
+
+    ``timed_items`` puts the event's epoch milliseconds into ``itemId``, from
+    which the stream's computed event time is derived.
+    """
     return [
         F.col("user_id").alias("userId"),
-        F.col("event_id").alias("itemId"),
+        (_ms() if timed_items else F.col("event_id")).alias("itemId"),
         merchandise_id().alias("categoryId"),
         F.col("event_type").alias("behavior"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
@@ -155,6 +159,10 @@ def access_log_text_topic(events: DataFrame) -> DataFrame:
     return topic_record(events, record_json(*access_log_text_columns()))
 
 
+def user_log_topic(events: DataFrame) -> DataFrame:
+    return topic_record(events, record_json(*user_log_columns(timed_items=True)))
+
+
 def order_topic(events: DataFrame) -> DataFrame:
     return topic_record(events, record_json(*order_columns()))
 

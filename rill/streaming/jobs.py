@@ -14,14 +14,14 @@ pointed at any sink; the recipes themselves live in ``rill.plans.jobs``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rill import schemas
 from rill.functions.json import parse_messages
 from rill.functions.time import epoch_millis_to_seconds
 from rill.operators.projection import select_all
-from rill.plans.catalog import print_schema
+from rill.plans.catalog import print_schema, register_view, use_database
 from rill.plans import jobs
 from rill.streaming.commit import PartitionCommitSink
 from rill.streaming.sinks import TableAppendSink, for_each_batch, to_console, to_topic
@@ -48,10 +48,11 @@ def url_summary_frame(topic: DataFrame, **kw) -> DataFrame:
 
 def url_summary_job(
     topic: DataFrame, sink_topic: str, bootstrap_servers: str, checkpoint: str,
-    *, trigger: str = "5 seconds",
+    *, trigger: str = "5 seconds", available_now: bool = False,
 ):
     """Topic-to-topic url counts (writer; call ``rill.streaming.runner.run``)."""
-    return to_topic(url_summary_frame(topic), sink_topic, bootstrap_servers, checkpoint, trigger=trigger)
+    return to_topic(url_summary_frame(topic), sink_topic, bootstrap_servers, checkpoint,
+                    trigger=trigger, available_now=available_now)
 
 
 def site_count_frame(
@@ -118,6 +119,34 @@ def hourly_order_job(
     return for_each_batch(frame, sink, checkpoint, trigger=trigger, available_now=available_now)
 
 
+def page_view_frame(topic: DataFrame) -> DataFrame:
+    """User-log topic -> page views per user and minute of the computed time."""
+    records = parse_messages(topic, schemas.USER_LOG)
+    return jobs.page_views(records, delay=schemas.USER_LOG_DELAY, computed_time=True)
+
+
+def table_to_table_job(
+    spark: SparkSession, source: str, target: str, select: str, checkpoint: str, *,
+    partition_cols=(), trigger: str = "20 seconds", available_now: bool = False,
+):
+    """Stream one catalog table into another, which may be in another database.
+
+    ``source`` is ``database.table``: the database becomes the current one
+    for the time of the read. ``select`` is SQL over the view ``source_rows``;
+    its columns go into ``target`` by position.
+    """
+    database, table = source.split(".")
+    before = spark.catalog.currentDatabase()
+    use_database(spark, database)
+    try:
+        register_view(spark.readStream.table(table), "source_rows")
+        frame = spark.sql(select)
+    finally:
+        use_database(spark, before)
+    sink = TableAppendSink(target, checkpoint, partition_cols=partition_cols)
+    return for_each_batch(frame, sink, checkpoint, trigger=trigger, available_now=available_now)
+
+
 def tail_job(stream: DataFrame, *, available_now: bool = False):
     """Print the stream's schema, then every row (append mode)."""
     print_schema(stream)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from rill.operators.windows import NULL_TIMES
+
 
 def run(writer: DataStreamWriter, *, name: str | None = None, timeout: float | None = None) -> StreamingQuery:
     """Start ``writer`` and block until it stops (``availableNow``) or times out.
@@ -30,3 +32,14 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
             n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
             total += int(n or 0)
     return total
+
+
+def null_event_times(query: StreamingQuery) -> int:
+    """Rows without an event time that the query's micro-batches have seen."""
+    total = 0
+    for progress in query.recentProgress:
+        seen = progress.get("observedMetrics", {}) if isinstance(progress, dict) else progress.observedMetrics
+        row = seen.get(NULL_TIMES)
+        if row is not None:
+            total += int((row[NULL_TIMES] if isinstance(row, dict) else row[0]) or 0)
+    return total

@@ -12,7 +12,8 @@ FAST = [
     "product_like_sum", "product_like_rows", "tracked_urls", "site_count_20s_stream",
     "url_count_5s_stream", "text_sink_roundtrip", "hourly_partitions_ready",
     "site_count_20s_sql", "product_like_sum_stream", "url_count_2s", "product_like_files",
-    "site_count_20s_table",
+    "site_count_20s_table", "order_copy_stream", "pv_per_user_1m_stream",
+    "access_log_hive_stream", "access_log_committed", "hourly_order_committed",
 ]
 
 

@@ -1,0 +1,157 @@
+"""Crashes between the steps of a sink batch: a retry gives the rows of a clean run."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from rill import schemas
+from rill.plans import catalog
+from rill.plans.stream_queries import MINUTE_COMMIT_PROPERTIES
+from rill.streaming import fs
+from rill.streaming import jobs as sjobs
+from rill.streaming.runner import null_event_times, run
+from rill.streaming.sinks import CompleteResultSink, TableAppendSink, for_each_batch, to_files
+from rill.streaming.staging import BatchLog, StagedBatch
+from rill.sources import replay
+from test_catalog_sinks import _event, _stream, _write_batch
+
+import datetime as dt
+
+
+def _at(seconds):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=seconds)
+
+
+def _table(spark, name, folder, *, partitioned=True, properties=None):
+    catalog.create_database(spark, "rill_t")
+    catalog.drop_if_exists(spark, name, database="rill_t")
+    spark.sql(catalog.table_ddl(
+        name, schemas.ACCESS_LOG_TABLE, database="rill_t", location=folder,
+        partition_cols=schemas.ACCESS_LOG_PARTITIONS if partitioned else (), properties=properties,
+    ))
+    return catalog.qualified("rill_t", name)
+
+
+def _crash_once(monkeypatch, where, *, after):
+    """Makes one method fail once, before or after its work."""
+    cls, name = where
+    real, left = getattr(cls, name), [1]
+
+    def wrapped(self, *a, **k):
+        if left[0] and not after:
+            left[0] = 0
+            raise RuntimeError("crash")
+        out = real(self, *a, **k)
+        if left[0]:
+            left[0] = 0
+            raise RuntimeError("crash")
+        return out
+
+    monkeypatch.setattr(cls, name, wrapped)
+
+
+STEPS = [
+    ((StagedBatch, "write"), True), ((StagedBatch, "publish"), False), ((StagedBatch, "publish"), True),
+    ((BatchLog, "save"), False), ((BatchLog, "save"), True), ((StagedBatch, "clean"), False),
+]
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+@pytest.mark.parametrize("where,after", STEPS)
+def test_table_sink_lands_each_batch_once(spark, tmp_dir, monkeypatch, where, after, partitioned):
+    src, ck = f"{tmp_dir}/in", f"{tmp_dir}/ck"
+    _write_batch(src, "b0", [_event(i, _at(20 * i)) for i in range(6)])
+    table = _table(spark, "once", f"{tmp_dir}/table", partitioned=partitioned)
+    cols = schemas.ACCESS_LOG_PARTITIONS if partitioned else ()
+
+    def start():
+        frame = sjobs.access_log_frame(replay.access_log_topic(_stream(spark, src)))
+        run(for_each_batch(frame, TableAppendSink(table, ck, partition_cols=cols), ck, available_now=True))
+
+    _crash_once(monkeypatch, where, after=after)
+    with pytest.raises(Exception, match="crash"):
+        start()
+    start()
+    assert spark.table(table).count() == 6
+    _write_batch(src, "b1", [_event(9, _at(30)), _event(10, _at(500))])  # one old and one new minute
+    start()
+    assert sorted(r["groupon_id"] for r in spark.table(table).collect()) == [0, 1, 2, 3, 4, 5, 9, 10]
+
+
+@pytest.mark.parametrize("where,after", STEPS)
+def test_commit_sink_keeps_its_pending_partitions(spark, tmp_dir, monkeypatch, where, after):
+    src, ck, loc = f"{tmp_dir}/in", f"{tmp_dir}/ck", f"{tmp_dir}/table"
+    _write_batch(src, "b0", [_event(0, _at(5)), _event(1, _at(65)), _event(2, _at(130))])
+    table = _table(spark, "commit_once", loc, properties=MINUTE_COMMIT_PROPERTIES)
+    start = lambda: run(sjobs.access_log_job(replay.access_log_topic(_stream(spark, src)), table, ck, available_now=True))
+    _crash_once(monkeypatch, where, after=after)
+    with pytest.raises(Exception, match="crash"):
+        start()
+    start()
+    assert sorted(r["ts_minute"] for r in spark.table(table).collect()) == ["00"]
+    _write_batch(src, "b1", [_event(3, _at(700))])
+    start()
+    assert sorted(r["ts_minute"] for r in spark.table(table).collect()) == ["00", "01", "02"]
+    assert spark.read.parquet(loc).count() == 4
+
+
+def test_state_survives_a_crash_while_saving(spark, tmp_dir):
+    log = BatchLog(tmp_dir, "state")
+    log.save(spark, {"batch": 0, "pending": ["a"]})
+    fs.write_text(spark, f"{tmp_dir}/state/1.json.abc.tmp", "{")  # a crash before the rename
+    assert log.load(spark) == {"batch": 0, "pending": ["a"]}
+    for b in range(1, 8):
+        log.save(spark, {"batch": b})
+    assert log.load(spark) == {"batch": 7} and len([f for f in os.listdir(f"{tmp_dir}/state") if f.endswith(".json")]) == 3
+
+
+def test_absurd_time_stops_nothing(spark, tmp_dir):
+    """A time in microseconds: the row is on disk, the good partitions are published by the rule."""
+    src, loc, ck = f"{tmp_dir}/in", f"{tmp_dir}/table", f"{tmp_dir}/ck"
+    os.makedirs(src)
+    rows = [{"ts": int(_at(s).replace(tzinfo=dt.timezone.utc).timestamp() * 1000), "userId": 1, "merchandiseId": 1} for s in (1, 2, 70, 130, 190)]
+    rows.append({"ts": rows[0]["ts"] * 1000, "userId": 2, "merchandiseId": 1})
+    spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").coalesce(1).write.mode("overwrite").text(src)
+    table = _table(spark, "absurd", loc, properties=MINUTE_COMMIT_PROPERTIES)
+    stream = spark.readStream.text(src)
+    run(sjobs.access_log_job(stream, table, ck, available_now=True))
+    assert sorted(r["ts_minute"] for r in spark.table(table).collect()) == ["00", "00", "01", "02", "03"]
+    assert spark.read.parquet(loc).where("user_id = 2").count() == 1
+    # late rows of a published minute are visible to the session that started the query
+    spark.createDataFrame([(json.dumps(rows[0]),)], "value string").coalesce(1).write.mode("append").text(src)
+    run(sjobs.access_log_job(spark.readStream.text(src), table, ck, available_now=True))
+    assert spark.table(table).count() == 6
+
+
+def test_null_event_times_are_counted(spark, tmp_dir):
+    from pyspark.sql import Observation
+
+    from rill.operators.windows import count_by_window, observe_null_times
+
+    src = f"{tmp_dir}/in"
+    _write_batch(src, "b0", [_event(0, _at(1)), _event(1, None), _event(2, None), _event(3, _at(60))])
+    frame = sjobs.url_count_frame(replay.metric_topic(_stream(spark, src)))
+    q = run(to_files(frame, f"{tmp_dir}/out", f"{tmp_dir}/ck", available_now=True))
+    assert null_event_times(q) == 2
+    seen = Observation()
+    events = spark.read.parquet(src)
+    counted = count_by_window(observe_null_times(events, "ts", seen), "ts", "20 seconds", ["event_type"])
+    assert counted.agg(F.sum("cnt")).first()[0] == 2 and seen.get["null_event_times"] == 2
+
+
+def test_complete_result_refuses_update_mode(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    _write_batch(src, "b0", [_event(0, _at(1))])
+    counts = _stream(spark, src).groupBy("event_type").count()
+    with pytest.raises(ValueError, match="complete"):
+        for_each_batch(counts, CompleteResultSink(f"{tmp_dir}/out"), f"{tmp_dir}/ck", output_mode="update")
+
+
+def test_console_prints_every_row(spark, tmp_dir, capsys):
+    src = f"{tmp_dir}/in"
+    _write_batch(src, "b0", [_event(i, _at(i)) for i in range(1000)])
+    run(sjobs.tail_job(_stream(spark, src), available_now=True))
+    lines = [x for x in capsys.readouterr().out.splitlines() if "view" in x]
+    assert len(lines) == 1000
