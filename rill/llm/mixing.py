@@ -61,12 +61,10 @@ def compact(docs: DataFrame, seed: int = 17) -> DataFrame:
 
 def shares(rows: DataFrame) -> DataFrame:
     """(source, n_docs, tokens, share) of every source."""
-    sums = rows.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("tokens").alias("tokens"))
-    total = sums.agg(F.sum("tokens").alias("all_tokens"))  # one row
-    return sums.crossJoin(F.broadcast(total)).select(
-        "source", "n_docs", "tokens",
-        F.when(F.col("all_tokens") > 0, F.col("tokens") / F.col("all_tokens")).otherwise(F.lit(0.0)).alias("share"),
-    )
+    sums = reliable(rows.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("tokens").alias("tokens")))
+    total = sums.agg(F.sum("tokens")).first()[0] or 0  # one number
+    share = F.col("tokens") / F.lit(float(total)) if total else F.lit(0.0)
+    return sums.withColumn("share", share)
 
 
 def _curve(sources: DataFrame, alphas: list[float]) -> dict[float, dict]:
@@ -121,18 +119,19 @@ def plan(rows: DataFrame, target: Target = Target()) -> DataFrame:
     """One row per source: weight, quota, whole passes and the cut of the last pass."""
     sources = reliable(shares(rows))
     alpha = solve(sources, target)
-    total = sources.where("share > 0").agg(
-        F.sum(F.pow("share", F.lit(alpha)).cast("decimal(28,18)")).cast("double").alias("z"),
-        F.min(F.pow("share", F.lit(alpha)) / F.col("tokens")).alias("least"), F.sum("tokens").alias("all_tokens"),
-    )  # one row
-    budget = F.lit(float(target.budget)) if target.budget is not None else F.col("z") / F.col("least")
+    power = F.pow("share", F.lit(alpha))
+    sums = sources.where("share > 0").agg(  # two numbers
+        F.sum(power.cast("decimal(28,18)")).cast("double").alias("z"), F.min(power / F.col("tokens")).alias("least")
+    ).first()
+    z = sums["z"] or 1.0
+    budget = float(target.budget) if target.budget is not None else z / sums["least"] if sums["least"] else 0.0
+    used = F.col("tokens") > 0
     quotas = (
-        sources.crossJoin(F.broadcast(total))
-        .withColumn("weight", F.when(F.col("share") > 0, F.pow("share", F.lit(alpha)) / F.col("z")).otherwise(F.lit(0.0)))
-        .withColumn("mix_tokens", F.coalesce(F.round(budget), F.lit(0.0)).cast("long"))
-        .withColumn("quota", F.round(F.col("weight") * F.coalesce(budget, F.lit(0.0))).cast("long"))
-        .withColumn("passes", F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(F.lit(1)).cast("int"))
-        .withColumn("rest", F.when(F.col("tokens") > 0, F.col("quota") - F.col("passes") * F.col("tokens")).otherwise(F.lit(0)).cast("long"))
+        sources.withColumn("weight", F.when(F.col("share") > 0, power / z).otherwise(F.lit(0.0)))
+        .withColumn("mix_tokens", F.lit(round(budget)).cast("long"))
+        .withColumn("quota", F.round(F.col("weight") * budget).cast("long"))
+        .withColumn("passes", F.when(used, F.floor(F.col("quota") / F.col("tokens"))).otherwise(F.lit(1)).cast("int"))
+        .withColumn("rest", F.when(used, F.col("quota") - F.col("passes") * F.col("tokens")).otherwise(F.lit(0)).cast("long"))
         .select("source", "n_docs", "tokens", "share", "weight", F.lit(alpha).alias("alpha"), "mix_tokens", "quota", "passes", "rest")
     )
     quotas = reliable(quotas)
