@@ -1,7 +1,7 @@
 """Main text of web pages by consensus host paths.
 
-Pass one scores each page's containers: the deepest container that holds most
-of the page's text outside boilerplate gets the page's vote under its path of
+Pass one scores each page's containers: the smallest container that holds most
+of the page's text outside boilerplate (or the article around it) gets the page's vote under its path of
 tags and classes, generalised by replacing digits. Spark sums the votes per
 host and path. Pass two reads every page again and extracts its text from the
 containers on the host's winning paths; a page without any of them falls back
@@ -53,6 +53,7 @@ PATHS_PER_HOST, LEAST_SHARE = 3, 0.1
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<([!?])[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]{0,4096}"|'[^']{0,4096}')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ARTICLE = re.compile(r">article(?:\.[^>]*)?\Z")
 _MARK_WORD = re.compile(r"[a-z]+")
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 
@@ -200,6 +201,9 @@ def best(page: Page) -> tuple[Node, float] | None:
     if not most:
         return None
     score, node = min(((s, c) for s, c in scored if s >= HOLDS * most), key=lambda x: (x[1].last - x[1].first, -len(x[1].path)))
+    # a container inside an article stands for the article, headline included
+    whole = [(s, c) for s, c in scored if c.first <= node.first and node.last <= c.last and _ARTICLE.search(c.path)]
+    score, node = min(whole, key=lambda x: x[1].last - x[1].first, default=(score, node))
     return node, float(score)
 
 

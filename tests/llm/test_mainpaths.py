@@ -15,6 +15,7 @@ PAGE = (
 
 @pytest.mark.parametrize("main, want", [
     ("<article><h1>A &amp; B</h1><p>One<b>two</b>\n three<br>four.<p>Five</article>", "A & B Onetwo three four. Five"),
+    ("<article class='story'><h1>Head</h1><div class='copy'><p>Long enough text of the story.</p></div></article>", "Head Long enough text of the story."),
     ("<div class='post-12 body'><p>Alpha beta</p><div class=share>Share me</div><p>Gamma</div>", "Alpha beta Gamma"),
     ("<article><p><b>Bold never closed.<br><p>Next one.</p><p>Last &#233;&eacute; &am</p></article>", "Bold never closed. Next one. Last éé &am"),
     ("<article><p>a < b and c > d</p><p title='x > y'>quoted</p><style>p{}</style></article>", "a < b and c > d quoted"),
