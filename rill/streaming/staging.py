@@ -89,32 +89,39 @@ class StagedBatch:
         writer = rebalanced(rows, partition_cols).write.mode("overwrite")
         (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(self.folder)
         values = dict(seen.get)
-        files = fs.list_files(self.spark, self.folder) if values.pop("__rows") else []
+        files = fs.list_files(self.spark, self.folder, len(partition_cols)) if values.pop("__rows") else []
         record = {"files": files, "measures": values}
         fs.write_text(self.spark, self.record, json.dumps(record))
         return record
 
     def publish(self, record: dict) -> None:
-        """Move the staged files that are still there."""
-        by_folder: dict[str, list[str]] = {}
+        """Move the staged files that are still there.
+
+        From the top: a folder the table has none of moves as a whole, else
+        its parts do. What a crashed run has moved is not there any more.
+        """
+        if record["files"]:
+            fs.mkdirs(self.spark, self.location)
+        inside: dict[str, set[str]] = {}
         for name in record["files"]:
-            folder, _, file = name.rpartition("/")
-            by_folder.setdefault(folder, []).append(file)
-
-        def move(folder: str) -> None:
-            source = f"{self.folder}/{folder}".rstrip("/")
-            target = f"{self.location}/{folder}".rstrip("/")
-            if not fs.exists(self.spark, source):
-                return
-            if folder and not fs.exists(self.spark, target):
-                fs.mkdirs(self.spark, target.rpartition("/")[0])
-                fs.rename(self.spark, source, target)
-                return
-            for file in by_folder[folder]:
-                if fs.exists(self.spark, f"{source}/{file}"):
-                    fs.rename(self.spark, f"{source}/{file}", f"{target}/{file}")
-
-        fs.in_parallel(move, sorted(by_folder))
+            steps = name.split("/")
+            for n in range(1, len(steps)):
+                inside.setdefault("/".join(steps[:n]), set()).add("/".join(steps[:n + 1]))
+        level = sorted({name.split("/")[0] for name in record["files"]})
+        while level:
+            below: list[str] = []
+
+            def move(name: str, below: list[str] = below) -> None:
+                source, target = f"{self.folder}/{name}", f"{self.location}/{name}"
+                if not fs.exists(self.spark, source):
+                    return
+                if name in inside and fs.exists(self.spark, target):
+                    below.extend(inside[name])
+                else:
+                    fs.rename(self.spark, source, target)
+
+            fs.in_parallel(move, level)
+            level = sorted(below)
 
     def clean(self) -> None:
         """After the batch state is saved: what is left of the staging."""
