@@ -11,8 +11,8 @@ is wrong if, at some point of undoing the later merge of the two, the pieces
 at the seam form an earlier merge. Only tokens that encode to themselves can
 be last tokens.
 
-Words already encoded come from a bounded cache of two generations, kept by
-the Python worker across tasks; no text is shuffled and nothing is broadcast.
+Words already encoded come from a bounded cache, kept by the Python worker
+across tasks; no text is shuffled and nothing is broadcast.
 
 Defined results: null and empty texts have no ids and decode to the empty
 text; repeated rows repeat; null ids stay null; an empty table gives an empty
@@ -24,9 +24,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
@@ -35,8 +36,8 @@ from rill.llm.common import WordCache, map_rows, schema
 # The splitting pattern of byte-level BPE and its white space.
 SPACE = r"\t-\r \x85\xa0  -     　"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words in one cache generation of a worker.
-CACHE_WORDS = 300_000
+#: Words that a worker's cache holds before it starts afresh.
+CACHE_WORDS = 500_000
 #: Rows whose distinct words share one trie.
 SLICE = 512
 
@@ -106,6 +107,7 @@ class PrefixBpe:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         by_id = {i: t for t, i in ids.items()} | {i: t.encode() for t, i in special.items()}
         self.token_of_id = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+        self.dtype = np.dtype(np.uint16 if len(by_id) <= 1 << 16 else np.uint32)
         self.decimal = [str(i) for i in range(len(self.token_of_id))]
         self.splitter = Splitter(special)
         self._fits: dict[int, bool] = {}
@@ -118,7 +120,7 @@ class PrefixBpe:
             if len(t) >= 3:
                 ends.setdefault(t[-3:], set()).add(len(t))
         self.sizes = {e: sorted(n | {1, 2}, reverse=True) for e, n in ends.items()}
-        self.cache = WordCache(CACHE_WORDS)
+        self.cache = WordCache(CACHE_WORDS, self.encode_words)
 
     def _own(self, r: int) -> bool:
         a, b = self.halves[r]
@@ -152,20 +154,21 @@ class PrefixBpe:
         key = a << 20 | b
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > 400_000:
                 self._fits.clear()
             known = self._fits[key] = self._seam(a, b, 1 << 30)
         return known
 
-    def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of distinct words: trie, depth-first last tokens, chains read back.
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Packed ids of distinct words: trie, depth-first last tokens, chains read back.
 
         The trie is held in preorder: the words sorted by bytes, each sharing
         a path with the one before. ``last`` is the state of the path walked:
         the last token of each prefix. Stepping to the next word goes back to
         the node both share and on down the new branch.
         """
-        out: dict[str, tuple[int, ...]] = {}
+        out: dict[str, bytes] = {}
+        pack = self.dtype.char
         token, known, fits, sizes = self.token, self._fits, self.fits, self.sizes
         lengths, ids, few = self.lengths, self.id, (2, 1)
         last, path = [0], b""
@@ -194,24 +197,18 @@ class PrefixBpe:
                 found.append(ids[t])
                 at -= lengths[t]
             found.reverse()
-            out[w] = tuple(found)
+            out[w] = array(pack, found).tobytes()
         return out
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text."""
         split = [self.splitter.pieces(t) if t else [] for t in texts]
-        need = {w for pieces in split for p in pieces if isinstance(p, list) for w in p}
-        missing = self.cache.missing(need)
-        if missing:
-            self.cache.young.update(self.encode_words(missing))
-        known, out = self.cache.young, []
+        values = iter(self.cache.values([p for pieces in split for p in pieces if isinstance(p, list)]))
+        out = []
         for pieces in split:
             ids: list[int] = []
             for p in pieces:
-                if isinstance(p, int):
-                    ids.append(p)
-                else:
-                    ids.extend(chain.from_iterable(map(known.__getitem__, p)))
+                ids += [p] if isinstance(p, int) else np.frombuffer(b"".join(next(values)), dtype=self.dtype).tolist()
             out.append(ids)
         return out
 

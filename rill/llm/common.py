@@ -83,25 +83,45 @@ def schema(text: str) -> T.StructType:
     return out
 
 
+class _Filling(dict):
+    """Hands out an empty buffer for each unknown word and remembers it."""
+
+    def __init__(self):
+        self.fresh: dict[str, bytearray] = {}
+
+    def __missing__(self, word: str) -> bytearray:
+        place = self[word] = self.fresh[word] = bytearray()
+        return place
+
+
 class WordCache:
-    """Word -> value in two generations, so memory stays bounded.
+    """Word -> bytes, made by ``make(words)`` for the words not seen before.
 
-    When the young generation holds ``limit`` entries it becomes the old one;
-    entries used again move back. At most ``2 * limit`` entries are alive.
+    One look-up per occurrence: an unknown word yields a buffer that is
+    filled once all new words of the slice are made together. The cache
+    starts afresh beyond ``limit`` words and keeps none above ``longest``
+    letters, so memory stays bounded by the limit and one slice; frequent
+    words come back at once.
     """
 
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
-
-    def missing(self, words: set) -> list:
-        """The words without a value; the others are in ``young`` afterwards."""
-        if len(self.young) + len(words) > self.limit:
-            self.old, self.young = self.young, {}
-        out = []
-        for w in words.difference(self.young):
-            v = self.old.get(w)
-            if v is None:
-                out.append(w)
-            else:
-                self.young[w] = v
+    def __init__(self, limit: int, make: Callable[[list[str]], dict[str, bytes]], longest: int = 64):
+        self.limit, self.make, self.longest = limit, make, longest
+        self.known = _Filling()
+
+    def values(self, lists: list[list[str]]) -> list[list[bytes | bytearray]]:
+        """The values of all words of ``lists``, in place."""
+        known = self.known
+        if len(known) > self.limit:
+            known.clear()
+        get = known.__getitem__
+        out = [list(map(get, words)) for words in lists]
+        fresh = known.fresh
+        if fresh:
+            for word, value in self.make(list(fresh)).items():
+                fresh[word][:] = value  # what the lists above hold
+                known[word] = value
+            for word in fresh:
+                if len(word) > self.longest:
+                    del known[word]
+            fresh.clear()
         return out

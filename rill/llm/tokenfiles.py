@@ -48,8 +48,10 @@ from rill.llm.common import WordCache, let_workers_import, map_rows, reliable, s
 MAGIC = b"TOKSHRD1"
 HEADER = struct.Struct("<8sIIQQQI20x")
 END_ID = 2
-#: Words in one cache generation of a worker, and the longest word kept there in bytes.
-CACHE_WORDS, CACHE_WORD_BYTES = 300_000, 64
+#: Pieces that a worker's cache holds before it starts afresh.
+CACHE_WORDS = 500_000
+#: Pieces of plain letters in one string to encode.
+JOINED = 256
 #: Bits of a hash level per key that is still unsettled.
 LEVEL_BITS = 2
 #: Rows encoded together.
@@ -64,11 +66,21 @@ def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     return (pafs.LocalFileSystem(), local) if local.startswith("/") else pafs.FileSystem.from_uri(folder)
 
 
+# The tokenizer's splitting pattern, spelt out for texts in Latin-1 after lower-casing.
+_LETTERS, _NUMBERS, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
+_RUNS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACE}{_LETTERS}{_NUMBERS}]+").findall
+_BEYOND = re.compile("[^\x00-\xff]").search
+_PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+
+
 class Encoder:
-    """Ids as packed bytes, word by word.
+    """Ids as packed bytes, piece by piece.
 
-    White space in ASCII always ends a token here, so a text's ids are those
-    of its words one after another; each distinct word is encoded once.
+    A text in Latin-1 is lower-cased and cut into the tokenizer's own runs;
+    any other text, or one that may hold a special token, is cut at ASCII
+    white space, which always ends a token. Either way a text's ids are those
+    of its pieces one after another, and each distinct piece is encoded once;
+    pieces of plain letters go to the library many to a string.
     """
 
     def __init__(self, path: str):
@@ -79,23 +91,37 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache = WordCache(CACHE_WORDS)
+        self.cache = WordCache(CACHE_WORDS, self._encode)
 
     def packed(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.encode().split() if t else [] for t in texts]
-        need = {w for words in split for w in words}
-        rare = {w for w in need if len(w) > CACHE_WORD_BYTES}
-        missing = self.cache.missing(need - rare)
-        fresh = missing + list(rare)
-        if fresh:
-            found = self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)
-            ids = [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
-            self.cache.young.update(zip(missing, ids))
-            long_words = dict(zip(rare, ids[len(missing):]))
-        known = self.cache.young
-        if not rare:
-            return [b"".join(map(known.__getitem__, words)) for words in split]
-        return [b"".join(long_words[w] if len(w) > CACHE_WORD_BYTES else known[w] for w in words) for words in split]
+        return list(map(b"".join, self.cache.values([_pieces(t) if t else [] for t in texts])))
+
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        plain: list[str] = []
+        others: list[str] = []
+        for w in words:
+            (plain if _PLAIN(w) else others).append(w)
+        for word, e in zip(others, self.tokenizer.encode_batch(others, add_special_tokens=False)):
+            found[word] = np.array(e.ids, dtype=self.dtype).tobytes()
+        groups = [plain[n:n + JOINED] for n in range(0, len(plain), JOINED)]
+        lines = list(map(" ".join, groups))
+        width = self.dtype.itemsize
+        for group, e in zip(groups, self.tokenizer.encode_batch(lines, add_special_tokens=False)):
+            ids, runs = np.array(e.ids, dtype=self.dtype), np.array(e.word_ids)
+            starts = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]])
+            if len(starts) != len(group):
+                raise ValueError("a plain word is not one run of this tokenizer")
+            raw, edges = ids.tobytes(), (np.r_[starts, len(ids)] * width).tolist()
+            found.update(zip(group, [raw[i:j] for i, j in zip(edges, edges[1:])]))
+        return found
+
+
+def _pieces(text: str) -> list[str]:
+    if "<|" in text or _BEYOND(text):
+        # marked with a leading space, which ends up in no token, to tell them from lower-cased runs
+        return [" " + w.decode() for w in text.encode().split()]
+    return _RUNS(text.lower())
 
 
 @lru_cache(maxsize=2)
