@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rill.llm.common import reliable
+from rill.session import scratch_path
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Halvings settled by one aggregate, and aggregates: 25 halvings of [0, 1].
@@ -135,7 +136,10 @@ def plan(rows: DataFrame, target: Target = Target()) -> DataFrame:
         .select("source", "n_docs", "tokens", "share", "weight", F.lit(alpha).alias("alpha"), "mix_tokens", "quota", "passes", "rest")
     )
     quotas = reliable(quotas)
-    return reliable(_with_cuts(rows, quotas, target.seed))
+    # written, so that its size is known: Spark then sends a small plan to the rows instead of dealing rows by source
+    path = scratch_path(rows.sparkSession, "mix-plan")
+    _with_cuts(rows, quotas, target.seed).write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 def pass_key(key: Column, number: Column, seed: int) -> Column:
