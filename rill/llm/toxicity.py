@@ -22,9 +22,10 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rill.llm.common import let_workers_import, map_rows, reliable, schema
+from rill.llm.common import SLICE_ROWS, let_workers_import, map_rows, reliable, schema
 
 # Look-alike letters and digit substitutions, folded before matching.
 LOOK_ALIKES = {
@@ -278,15 +279,15 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
 
 def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5) -> DataFrame:
     """The rows scored below ``threshold``, with all their columns unchanged."""
-    from pyspark.sql.functions import pandas_udf
-
+    at = docs.columns.index("text")
     let_workers_import(docs.sparkSession)
 
-    @pandas_udf("double")
-    def score_of(texts):
-        import pandas as pd
-
+    def run(batches):
         m = lexicon.matcher()
-        return pd.Series([m.score(t)[0] for t in texts], dtype="float64")
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(lo, SLICE_ROWS)
+                keep = [m.score(t)[0] < threshold for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(keep, pa.bool_()))
 
-    return docs.where(score_of(F.col("text")) < threshold)
+    return docs.mapInArrow(run, docs.schema)
