@@ -1,11 +1,12 @@
 """Main text of web pages by consensus host paths.
 
-Pass one scores each page's containers: the smallest container that holds most
-of the page's text outside boilerplate (or the article around it) gets the page's vote under its path of
-tags and classes, generalised by replacing digits. Spark sums the votes per
-host and path. Pass two reads every page again and extracts its text from the
-containers on the host's winning paths; a page without any of them falls back
-on its own best container.
+Pass one scores each page's containers: the smallest container that holds
+nearly all of the page's text outside boilerplate, widened to the ancestors
+that add headlines, text of their own or further sections, gets the page's
+vote under its path of tags and classes, generalised by replacing digits.
+Spark sums the votes per host and path. Pass two reads every page again and
+extracts its text from all containers on the host's winning paths; a page
+without any of them falls back on its own best container.
 
 Votes are sums per (host, path), aggregated before the shuffle, so a host with
 a third of all pages costs one row per task. The winners (a few paths a host)
@@ -47,7 +48,9 @@ MARKS = frozenset(
     "sponsor sponsored subscribe toolbar widget widgets".split()
 )
 #: Share of the page's text that a container must hold to be preferred to a larger one.
-HOLDS = 0.75
+HOLDS = 0.95
+#: Containers that say nothing of what they hold: beside the chosen one they count only with a headline or the same classes.
+PLAIN = frozenset("center div td".split())
 #: Winning paths kept per host, and the least share of the host's votes of each.
 PATHS_PER_HOST, LEAST_SHARE = 3, 0.1
 
@@ -66,14 +69,17 @@ class Node:
     first: int
     last: int = 0
     linked: int = 0
+    own: int = 0  # text outside links and outside the containers inside it
+    parent: Node | None = None
 
 
 @dataclass
 class Page:
-    """Text pieces in page order (None ends a block) and the containers over them."""
+    """Text pieces in page order (None ends a block) and the containers over them, the whole page first."""
 
     pieces: list[str | None] = field(default_factory=list)
-    containers: list[Node] = field(default_factory=list)
+    containers: list[Node] = field(default_factory=lambda: [Node("", 0)])
+    headlines: list[int] = field(default_factory=list)  # where an h1 begins
 
 
 def host_of(url: str | None) -> str:
@@ -97,13 +103,15 @@ def read_page(source: str) -> Page:
     page = Page()
     stack: list[tuple[str, str, Node | None, bool, bool]] = []  # tag, path, container, in boilerplate, in a link
     path, skip, link, at = "", False, False, 0
+    inner = root = page.containers[0]
 
     def close(upto: int) -> None:
-        nonlocal path, skip, link
+        nonlocal path, skip, link, inner
         while len(stack) > upto:
             tag, path, node, skip, link = stack.pop()
             if node is not None:
                 node.last = len(page.pieces)
+                inner = node.parent
             if tag in BLOCK:
                 page.pieces.append(None)
 
@@ -111,11 +119,14 @@ def read_page(source: str) -> Page:
         if piece and not skip:
             piece = entities.unescape(piece)
             page.pieces.append(piece)
+            size = len(piece.strip())
             if link:
-                size = len(piece.strip())
+                root.linked += size
                 for _, _, node, _, _ in stack:
                     if node is not None:
                         node.linked += size
+            else:
+                inner.own += size
 
     while (m := _TAG.search(source, at)) is not None:
         text(source[at:m.start()])
@@ -163,13 +174,16 @@ def read_page(source: str) -> Page:
         if tag in CONTAINER:
             path = f"{path}>{_step(tag, attributes)}"
             if not skip:
-                node = Node(path, len(page.pieces))
+                node = inner = Node(path, len(page.pieces), parent=inner)
                 page.containers.append(node)
+        if tag == "h1" and not skip:
+            page.headlines.append(len(page.pieces))
         stack.append((tag, before[0], node, before[1], before[2]))
     if at < len(source):
         tail = source[at:]
         text(tail[:tail.rfind("<")] if re.search(r"<[A-Za-z/!][^>]*\Z", tail) else tail)
     close(0)
+    root.last = len(page.pieces)
     return page
 
 
@@ -194,29 +208,53 @@ def scores(page: Page) -> list[tuple[float, Node]]:
     return [(max(0, sizes[c.last] - sizes[c.first] - c.linked), c) for c in page.containers]
 
 
+def _widened(page: Page, node: Node, scored: list[tuple[float, Node]]) -> Node:
+    """The outermost container around ``node`` that adds text of the same article.
+
+    That is text directly in it, a container with a headline, one that is more
+    than a plain ``div``, or one with the tag and classes of the part chosen.
+    """
+    beside: dict[int, list[Node]] = {}
+    for s, c in scored:
+        if s and c.parent is not None:
+            beside.setdefault(id(c.parent), []).append(c)
+
+    def belongs(c: Node, part: Node) -> bool:
+        if c.path == part.path or c.path.rpartition(">")[2].partition(".")[0] not in PLAIN:
+            return True
+        return any(c.first <= at < c.last for at in page.headlines)
+
+    chosen = part = node
+    while (around := part.parent) is not None:
+        if around.own or any(c is not part and belongs(c, part) for c in beside.get(id(around), ())):
+            chosen = around
+        part = around
+    return chosen
+
+
 def best(page: Page) -> tuple[Node, float] | None:
-    """The smallest container with ``HOLDS`` of the largest score, and its score."""
+    """The smallest container with ``HOLDS`` of the page's score, widened, and its score."""
     scored = scores(page)
     most = max((s for s, _ in scored), default=0)
     if not most:
         return None
     score, node = min(((s, c) for s, c in scored if s >= HOLDS * most), key=lambda x: (x[1].last - x[1].first, -len(x[1].path)))
+    node = _widened(page, node, scored)
     # a container inside an article stands for the article, headline included
     whole = [(s, c) for s, c in scored if c.first <= node.first and node.last <= c.last and _ARTICLE.search(c.path)]
-    score, node = min(whole, key=lambda x: x[1].last - x[1].first, default=(score, node))
+    score, node = min(whole, key=lambda x: x[1].last - x[1].first, default=(next(s for s, c in scored if c is node), node))
     return node, float(score)
 
 
 def extract(page: Page, paths: list[str] | None) -> str:
-    """Text of the containers on the first path that has any, else of the page's own best container."""
-    for path in paths or ():
-        found, upto, out = [c for c in page.containers if c.path == path], -1, []
-        for c in found:
-            if c.first >= upto:  # a container inside one already taken adds nothing
-                out.append(text_of(page.pieces[c.first:c.last]))
-                upto = c.last
-        if joined := " ".join(filter(None, out)):
-            return joined
+    """Text of all containers on the paths in page order, else of the page's own best container."""
+    wanted, upto, out = frozenset(paths or ()), -1, []
+    for c in page.containers:
+        if c.path in wanted and c.first >= upto:  # a container inside one already taken adds nothing
+            out.append(text_of(page.pieces[c.first:c.last]))
+            upto = c.last
+    if joined := " ".join(filter(None, out)):
+        return joined
     own = best(page)
     return text_of(page.pieces[own[0].first:own[0].last]) if own else text_of(page.pieces)
 
@@ -231,7 +269,7 @@ def votes(pages: DataFrame) -> DataFrame:
             out = []
             for url, source in zip(urls, sources):
                 own = best(read_page(source)) if source else None
-                if own:
+                if own and own[0].path:  # text around all containers has no path to share
                     # whole thousandths, so that sums do not depend on their order
                     out.append((host_of(url), own[0].path, int(1000 * math.log1p(own[1]))))
             return out

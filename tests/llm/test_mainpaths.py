@@ -51,3 +51,24 @@ def test_odd_pages(spark):
     by = {i: t for i, t, _ in got}
     assert by[None] == "text" and by[1] == by[2] == by[6] == "" and by[3] == "no markup at all" and len(by[7]) == 999_999 and by[5] == "deep"
     assert mainpaths.main_texts(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("body", [
+    "<div class=post><h1>Head</h1><p>lead</p><div class=body>{t}</div></div>",
+    "<main><section class=a><p>Head</p><p>lead</p></section><section class=b>{t}</section></main>",
+    "<div class=post><div class=top><h1>Head</h1> <p>lead</p></div><div class=in><div class=body>{t}</div></div></div>",
+    "<h1>Head</h1><p>lead</p><table><tr><td>{t}</td></tr></table>",
+])
+@pytest.mark.parametrize("n", [5, 60])
+def test_text_around_the_largest_part_stays(spark, body, n):
+    """Headline, lead and small sections around a part with four fifths or nearly all of the text."""
+    text = " ".join(["word"] * n)
+    page = "<html><body><nav>Menu</nav>" + body.replace("{t}", f"<p>{text}</p>") + "<footer>f</footer></body></html>"
+    assert mainpaths.extract(mainpaths.read_page(page), None) == f"Head lead {text}"
+    node, _ = mainpaths.best(mainpaths.read_page(page))
+    assert mainpaths.extract(mainpaths.read_page(page), [node.path]) == f"Head lead {text}"
+
+
+def test_articles_split_over_winning_paths():
+    page = mainpaths.read_page("<body><div class=one><p>First part.</p></div><div class=ad>Buy</div><div class=two><p>Second part.</p></div></body>")
+    assert mainpaths.extract(page, [">body>div.one", ">body>div.two"]) == "First part. Second part."
