@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections.abc import Container
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -32,7 +33,7 @@ from rill.session import scratch_path
 
 # Elements without content, of raw text, that end a block, that close themselves, never content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object select".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -40,13 +41,24 @@ BLOCK = frozenset(
 CONTAINER = frozenset("article blockquote body center div main section table tbody td tr".split())
 BOILERPLATE = frozenset("aside button dialog footer form header label menu nav".split())
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "tr": ("tr", "td", "th", "p"), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "option": ("option",)}
-# Words in class, id or role that mark boilerplate.
+# Names in class, id or role that mark boilerplate, alone or at the end of a joined name.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices "
     "pagination pager popup promo promotion related reply replies respond search share sharing sidebar skip social "
     "sponsor sponsored subscribe toolbar widget widgets".split()
 )
+# Those that mark at the beginning of a joined name too; words that turn a name round.
+LEADING = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies disqus "
+    "navbar newsletter popup promo share sharing sidebar social sponsor sponsored widget widgets".split()
+)
+NEGATIONS = frozenset("no not with without has have hide hides hidden".split())
+#: Never boilerplate by their names, and those whose id is often made from their headline.
+UNMARKED = frozenset("html body main article h1 h2 h3 h4 h5 h6 p".split())
+NAMED_BY_HEADLINE = frozenset(["section"])
+#: A marked element with a greater share of the page's text is not boilerplate.
+MOST = 0.75
 #: Share of the page's text that a container must hold to be preferred to a larger one.
 HOLDS = 0.95
 #: Containers that say nothing of what they hold: beside the chosen one they count only with a headline or the same classes.
@@ -92,23 +104,52 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
     return ".".join([tag, *classes])
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in BOILERPLATE:
-        return True
-    return any(w in MARKS for v in attributes.values() for w in _MARK_WORD.findall(v.lower()))
+def _is_marked(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether a name of the element marks boilerplate: ``sidebar``, ``site-footer``, ``ad-slot``, not ``no-sidebar``."""
+    if tag in UNMARKED:
+        return False
+    for key, value in attributes.items():
+        if key == "id" and tag in NAMED_BY_HEADLINE:
+            continue
+        for name in value.lower().split():
+            words = _MARK_WORD.findall(name)
+            if words and (words[-1] in MARKS or words[0] in LEADING) and NEGATIONS.isdisjoint(words):
+                return True
+    return False
 
 
 def read_page(source: str) -> Page:
-    """One tolerant pass over the markup; boilerplate and raw elements leave no text."""
-    page = Page()
-    stack: list[tuple[str, str, Node | None, bool, bool]] = []  # tag, path, container, in boilerplate, in a link
-    path, skip, link, at = "", False, False, 0
+    """The page without boilerplate and raw elements.
+
+    Marked elements that hold most of the text are read again as content, and
+    all of them if nothing else is left.
+    """
+    page, marked, seen = _parse(source, frozenset())
+    if spared := {n for n, size in enumerate(marked) if size > MOST * seen}:
+        page, marked, _ = _parse(source, spared)
+    if any(marked) and not any(p and p.strip() for p in page.pieces):
+        page, _, _ = _parse(source, range(len(marked)))
+    return page
+
+
+def _parse(source: str, spared: Container[int]) -> tuple[Page, list[int], int]:
+    """One tolerant pass over the markup: the page, the text of each marked element, and all text outside links.
+
+    Marked elements are left out unless their number is in ``spared``; text in
+    elements that are boilerplate by their tag never counts.
+    """
+    page, marked, seen = Page(), [], 0
+    # tag, path, container, in boilerplate by tag, in a marked element, in a link, number of the marked element
+    stack: list[tuple[str, str, Node | None, bool, bool, bool, int]] = []
+    path, never, skip, link, at = "", False, False, False, 0
     inner = root = page.containers[0]
 
     def close(upto: int) -> None:
-        nonlocal path, skip, link, inner
+        nonlocal path, never, skip, link, inner
         while len(stack) > upto:
-            tag, path, node, skip, link = stack.pop()
+            tag, path, node, never, skip, link, number = stack.pop()
+            if number >= 0:
+                marked[number] += seen
             if node is not None:
                 node.last = len(page.pieces)
                 inner = node.parent
@@ -116,17 +157,23 @@ def read_page(source: str) -> Page:
                 page.pieces.append(None)
 
     def text(piece: str) -> None:
-        if piece and not skip:
-            piece = entities.unescape(piece)
-            page.pieces.append(piece)
-            size = len(piece.strip())
-            if link:
-                root.linked += size
-                for _, _, node, _, _ in stack:
-                    if node is not None:
-                        node.linked += size
-            else:
-                inner.own += size
+        nonlocal seen
+        if not piece or never:
+            return
+        piece = entities.unescape(piece)
+        size = len(piece.strip())
+        if not link:
+            seen += size
+        if skip:
+            return
+        page.pieces.append(piece)
+        if link:
+            root.linked += size
+            for open_ in stack:
+                if open_[2] is not None:
+                    open_[2].linked += size
+        else:
+            inner.own += size
 
     while (m := _TAG.search(source, at)) is not None:
         text(source[at:m.start()])
@@ -165,26 +212,30 @@ def read_page(source: str) -> Page:
             if stack[n][0] in BLOCK:
                 break
         attributes = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTRIBUTE.findall(m[4] or m[7] or "")}
-        before = (path, skip, link)
+        before, number = (path, never, skip, link), -1
         if tag in BLOCK:
             page.pieces.append(None)
-        skip = skip or (tag not in ("html", "body", "main", "article") and _is_boilerplate(tag, attributes))
+        never = never or tag in BOILERPLATE
+        if attributes and not never and _is_marked(tag, attributes):
+            number = len(marked)
+            marked.append(-seen)
+            skip = skip or number not in spared
         link = link or tag == "a"
         node = None
         if tag in CONTAINER:
             path = f"{path}>{_step(tag, attributes)}"
-            if not skip:
+            if not (never or skip):
                 node = inner = Node(path, len(page.pieces), parent=inner)
                 page.containers.append(node)
-        if tag == "h1" and not skip:
+        if tag == "h1" and not (never or skip):
             page.headlines.append(len(page.pieces))
-        stack.append((tag, before[0], node, before[1], before[2]))
+        stack.append((tag, before[0], node, *before[1:], number))
     if at < len(source):
         tail = source[at:]
         text(tail[:tail.rfind("<")] if re.search(r"<[A-Za-z/!][^>]*\Z", tail) else tail)
     close(0)
     root.last = len(page.pieces)
-    return page
+    return page, marked, seen
 
 
 def text_of(pieces: list[str | None]) -> str:

@@ -72,3 +72,22 @@ def test_text_around_the_largest_part_stays(spark, body, n):
 def test_articles_split_over_winning_paths():
     page = mainpaths.read_page("<body><div class=one><p>First part.</p></div><div class=ad>Buy</div><div class=two><p>Second part.</p></div></body>")
     assert mainpaths.extract(page, [">body>div.one", ">body>div.two"]) == "First part. Second part."
+
+
+@pytest.mark.parametrize("main, want", [
+    ("<div class='content no-sidebar'><h1>Head</h1><p>Text here.</p></div>", "Head Text here."),
+    ("<div class='layout with-comments'><article><p>Text here.</p></article></div>", "Text here."),
+    ("<article><h2 id='related-work'>Related</h2><p id='notice'>Note.</p><section id='search'><h2>Search</h2>Find.</section></article>", "Related Note. Search Find."),
+    ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math>.</p><object data=a>Fallback</object></article>", "So x=1. Fallback"),
+    ("<div class='widget'><p>" + "All of the text. " * 20 + "</p><div class='site-footer'>Foot</div></div>", ("All of the text. " * 20).strip()),
+    ("<article><p>Text here, long enough to outweigh.</p><div class='ad-slot'>Buy</div><ul class='main-nav'><li>Home</ul></article>", "Text here, long enough to outweigh."),
+])
+def test_names_that_only_sound_like_boilerplate(main, want):
+    page = f"<html><body><nav>Menu</nav>{main}<footer>Foot</footer></body></html>"
+    assert mainpaths.extract(mainpaths.read_page(page), None) == want
+
+
+def test_pages_left_empty_are_read_again():
+    read = lambda x: mainpaths.extract(mainpaths.read_page(x), None)
+    assert read("<body><div class=widget><p>One part</p></div><div class=promo><p>Two part</p></div></body>") == "One part Two part"
+    assert read("<body><div class=widget><nav>Menu</nav></div></body>") == ""
