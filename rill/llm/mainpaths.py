@@ -66,8 +66,10 @@ PLAIN = frozenset("center div td".split())
 #: Winning paths kept per host, and the least share of the host's votes of each.
 PATHS_PER_HOST, LEAST_SHARE = 3, 0.1
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<([!?])[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]{0,4096}"|'[^']{0,4096}')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
-_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<([!?])[^>]*>|<(/?)([A-Za-z][^\s/>]*)""", re.S)
+_END_OR_VALUE = re.compile(r""">|=\s*(["'])""")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NAMING = frozenset(["class", "id", "role"])
 _ARTICLE = re.compile(r">article(?:\.[^>]*)?\Z")
 _MARK_WORD = re.compile(r"[a-z]+")
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
@@ -118,6 +120,45 @@ def _is_marked(tag: str, attributes: dict[str, str]) -> bool:
     return False
 
 
+def _tag_end(source: str, at: int, ends: dict[int, int], last: dict[str, int]) -> int:
+    """Where the tag whose attributes begin at ``at`` has its ``>``, outside quoted values of any length; -1 without one.
+
+    A quote that is never closed does not count. ``ends`` remembers the ends
+    found behind quoted values, as tags left open meet the same ones again.
+    """
+    passed, end = [], -1
+    while at <= last[">"]:
+        if at in ends:
+            end = ends[at]
+            break
+        passed.append(at)
+        found = _END_OR_VALUE.search(source, at)
+        if found is None:
+            break
+        quote = found[1]
+        if not quote:
+            end = found.end() - 1
+            break
+        if found.end() > last[quote]:
+            end = source.find(">", found.end())
+            break
+        at = source.index(quote, found.end()) + 1
+    for place in passed:
+        ends[place] = end
+    return end
+
+
+def _attributes(inside: str) -> dict[str, str]:
+    """class, id and role; names inside the values of others do not count."""
+    if not inside or inside.isspace():
+        return {}
+    out: dict[str, str] = {}
+    for a in _ATTRIBUTE.finditer(inside):
+        if (name := a[1].lower()) in _NAMING and (value := a[2] or a[3] or a[4]):
+            out.setdefault(name, value)
+    return out
+
+
 def read_page(source: str) -> Page:
     """The page without boilerplate and raw elements.
 
@@ -175,10 +216,18 @@ def _parse(source: str, spared: Container[int]) -> tuple[Page, list[int], int]:
         else:
             inner.own += size
 
-    while (m := _TAG.search(source, at)) is not None:
+    ends: dict[int, int] = {}
+    last = {c: source.rfind(c) for c in ">\"'"}
+    upto = 0
+    while (m := _TAG.search(source, upto)) is not None:
+        ending, name, inside, upto = m[2], m[3], "", m.end()
+        if name is not None:
+            end = _tag_end(source, upto, ends, last)
+            if end < 0:
+                continue
+            inside, upto = source[upto:end], end + 1
         text(source[at:m.start()])
-        at = m.end()
-        ending, name = m[2] or m[5], m[3] or m[6]
+        at = upto
         if name is None:
             continue
         tag = name.lower()
@@ -195,8 +244,8 @@ def _parse(source: str, spared: Container[int]) -> tuple[Page, list[int], int]:
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-            if not (m[4] or m[7] or "").rstrip().endswith("/"):
-                at = end.end() if end else len(source)
+            if not inside.rstrip().endswith("/"):
+                at = upto = end.end() if end else len(source)
             continue
         if tag == "br":
             text(" ")
@@ -211,7 +260,7 @@ def _parse(source: str, spared: Container[int]) -> tuple[Page, list[int], int]:
                 break
             if stack[n][0] in BLOCK:
                 break
-        attributes = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTRIBUTE.findall(m[4] or m[7] or "")}
+        attributes = _attributes(inside)
         before, number = (path, never, skip, link), -1
         if tag in BLOCK:
             page.pieces.append(None)
@@ -232,7 +281,7 @@ def _parse(source: str, spared: Container[int]) -> tuple[Page, list[int], int]:
         stack.append((tag, before[0], node, *before[1:], number))
     if at < len(source):
         tail = source[at:]
-        text(tail[:tail.rfind("<")] if re.search(r"<[A-Za-z/!][^>]*\Z", tail) else tail)
+        text(tail[:tail.rfind("<")] if re.search(r"<[A-Za-z/!]", tail[tail.rfind(">") + 1:]) else tail)
     close(0)
     root.last = len(page.pieces)
     return page, marked, seen

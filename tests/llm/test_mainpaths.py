@@ -91,3 +91,19 @@ def test_pages_left_empty_are_read_again():
     read = lambda x: mainpaths.extract(mainpaths.read_page(x), None)
     assert read("<body><div class=widget><p>One part</p></div><div class=promo><p>Two part</p></div></body>") == "One part Two part"
     assert read("<body><div class=widget><nav>Menu</nav></div></body>") == ""
+
+
+@pytest.mark.parametrize("n", [10, 5_000, 200_000])
+def test_quoted_values_of_any_length(n):
+    for quote, other in ("\"'", "'\""):
+        value = f"a > <b>{'b' * n}</div><nav class={other}x{other}>"
+        page = f"<body><div data-x={quote}{value}{quote} class='ad'><p>Buy</p></div><article><p data-x={quote}{value}{quote}>Text here, long enough.</p></article></body>"
+        assert mainpaths.extract(mainpaths.read_page(page), None) == "Text here, long enough."
+
+
+def test_quotes_left_open():
+    read = lambda x: mainpaths.extract(mainpaths.read_page(x), None)
+    assert read("<body><p title=\"open>One</p><p>Two</p></body>") == "One Two"
+    assert read("<body><p title=\"closed\"\">One</p><p title=it's>Two</p></body>") == "One Two"
+    for odd in ("<p b=\"", "<p ", "<p b='\"", "<p b=\"'>"):
+        mainpaths.read_page(odd * 50_000)  # in time that grows with the length only
