@@ -40,8 +40,6 @@ EXCEPTIONS = ("clown fish", "clown car", "trash can", "trash bin", "pathetic fal
 PREFIX_MIN, PREFIX_MAX = 4, 6
 #: At most about so many labelled rows of each class are used to learn.
 SAMPLE_PER_CLASS = 6_000
-#: At most so many terms in the lexicon.
-MAX_TERMS = 2_000
 #: Training documents that must hold a term, and its least weight.
 MIN_DOCS, MIN_WEIGHT = 3, 2.0
 #: Chosen terms after which a training document asks for no more.
@@ -167,13 +165,14 @@ def _count_terms():
     return count
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, max_terms: int = MAX_TERMS) -> Lexicon:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Lexicon:
     """Learn a lexicon from the training part of ``labels``.
 
     Spark counts the terms of the sampled rows. Terms that are frequent and
-    telling enough are candidates, given how many were tried; a greedy pass
-    keeps those that mark toxic rows not yet marked often enough, so that the
-    many words of copied documents stay out.
+    telling enough are candidates, given how many were tried; the bounded
+    sample bounds them. A greedy pass over all of them keeps those that mark
+    toxic rows not yet marked often enough, so that the many words of copied
+    documents stay out.
     """
     rows = reliable(sample(docs, labels, per_class).distinct())
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -193,8 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, m
     candidates = (
         counts.withColumn("weight", F.round(weight, 6)).withColumn("gain", F.round(gain, 6))
         .where((F.col("weight") >= MIN_WEIGHT) & (F.col("gain") >= math.log(max(2, tried))))
-        .orderBy(F.desc("gain"), F.desc(F.length("term")), "term").limit(max_terms)
-        .collect()
+        .select("term", "weight").collect()
     )
     weights = {r["term"]: r["weight"] for r in candidates}
     held = map_rows(rows, lambda: lambda texts, flags: [

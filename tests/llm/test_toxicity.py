@@ -63,3 +63,23 @@ def test_no_labels_gives_an_empty_lexicon(spark, make_docs, tmp_dir):
     rows = queries.op4_toxicity(spark, tmp_dir).collect()
     assert len(rows) == len(ODD) and {r.predicted for r in rows} == {0}
     assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+
+
+def test_copied_families_do_not_push_words_out(spark, make_docs):
+    """One family's words beyond the old bound of 2,000 candidates, all of more gain than the toxic word."""
+    random.seed(4)
+    plain = [f"plain{i}" for i in range(300)]
+    family = ["".join(random.choices("bcdfghjklmnpqrstvwxz", k=9)) for _ in range(900)]
+    docs, labels = [], []
+    for i in range(600):
+        if i < 150:
+            words, toxic = [*family[:-1], f"copy{i}"], 1
+        else:
+            words, toxic = random.choices(plain, k=30), int(i % 10 == 0)
+            if toxic:
+                words.insert(5, "grubby")
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    lexicon = toxicity.fit(make_docs(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert any("grubby".startswith(t.strip()) for t in lexicon.terms)
+    assert lexicon.matcher().score("calm grubby words")[0] >= 0.5 > lexicon.matcher().score("calm words")[0]
