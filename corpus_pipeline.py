@@ -27,14 +27,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash class; rows without an id stay.
+    """One row of each SimHash class: that of the smallest id (nulls last), then of the smallest text hash.
 
-    Rows that repeat the kept id go too.
+    Rows are told apart by a key of their own, so repeated ids and rows
+    without an id are judged by their texts.
     """
-    classes = simhash.near_duplicates(docs).select("doc_id", "component_id").distinct()
-    losers = classes.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("llm_id"))
-    kept = docs.join(losers, docs.doc_id == losers.llm_id, "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    path = scratch_path(spark, "rows")
+    docs.withColumn("llm_row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    classes = simhash.near_duplicates(rows.select(F.col("llm_row").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("llm_row"), "component_id"
+    )
+    order = F.struct(F.isnull("doc_id"), F.col("doc_id"), F.xxhash64("text"), F.col("llm_row").alias("llm_row"))
+    firsts = rows.select("llm_row", order.alias("llm_order")).join(classes, "llm_row").groupBy("component_id").agg(
+        F.min("llm_order")["llm_row"].alias("llm_row")
+    )
+    return rows.join(firsts, "llm_row", "left_semi").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

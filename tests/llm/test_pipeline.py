@@ -50,3 +50,17 @@ def test_columns_and_empty_tables(spark, tmp_dir):
 def test_names_and_given_tables(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "secrets", "mixing", "bpe"]
     assert corpus_pipeline.run(spark, SF).count() > 150
+
+
+def test_near_copies_are_judged_by_row(spark, tmp_dir):
+    """Repeated ids with different texts, and copies without an id."""
+    random.seed(11)
+    x, y, z, w = (" ".join(f"{c}{random.randint(0, 999)}" for _ in range(60)) for c in "xyzw")
+    docs = [(3, x, "a"), (7, x, "a"), (7, y, "a"), (8, z, "a"), (8, w, "a"), (8, w, "a"), (None, z, "a")]
+    docs += [(None, "copied without an id " * 9, "a")] * 5
+    write(spark, tmp_dir, docs, [])
+    given = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    out = corpus_pipeline.drop_near_copies(spark, given, tmp_dir)
+    assert out.columns == given.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(3, x), (7, y), (8, z), (8, w), (None, "copied without an id " * 9)], key=str)
