@@ -2,7 +2,7 @@
 
 Texts are lower-cased (A-Z) and cut into words; an automaton over identifier
 tags and notice phrases finds all places where their words stand in a row.
-After an identifier tag the text's own line is read as a license expression:
+After each identifier tag the text's own line, up to the next tag, is read as a license expression:
 a shunting-yard parser orders ``and``, ``or``, ``with`` and parentheses, and
 the evaluation gives the labels and how far the terms restrict reuse: ``and``
 takes the stricter side, ``or`` the milder, ``with`` an exception that softens.
@@ -65,7 +65,7 @@ UNKNOWN, EXCEPTION_FACTOR = 0.5, 0.8
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_TAGGED = re.compile(r"(?:spdx[^a-z0-9\n]{1,3}license[^a-z0-9\n]{1,3}identifier|license[^a-z0-9\n]{1,3}expression)[ \t]*[:=][ \t\"']*([^\n]*)", re.I)
+_TAGGED = re.compile(r"(?:spdx[^a-z0-9\n]{1,3}license[^a-z0-9\n]{1,3}identifier|license[^a-z0-9\n]{1,3}expression)[ \t]*[:=][ \t\"']*", re.I)
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+|\S")
 _STRENGTH = {"or": 1, "and": 2, "with": 3}
 
@@ -186,8 +186,9 @@ def scan(text: str | None) -> dict:
         more.add(label)
         score = max(score, RESTRICTION.get(label, UNKNOWN))
     if tagged:
-        for m in _TAGGED.finditer(text):
-            if (found := evaluate(m[1])) is not None:
+        tags = [m.span() for m in _TAGGED.finditer(text)]
+        for (_, begin), (upto, _) in zip(tags, [*tags[1:], (len(text), 0)]):
+            if (found := evaluate(text[begin:upto].partition("\n")[0])) is not None:
                 more |= {x.replace(",", "") for x in found[0]}
                 score = max(score, found[1])
     return {"n_words": len(words), "starts": starts, "base": base, "labels": base | more, "score": score, "places": places}

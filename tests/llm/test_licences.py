@@ -58,3 +58,10 @@ def test_nothing_to_parse_and_deep_nesting():
 def test_tags_and_notices_add_labels():
     s = licences.scan("// SPDX-License-Identifier: Apache-2.0 OR MIT\nMozilla Public License. Under the MIT license.")
     assert s["base"] == {"mit"} and s["labels"] == {"mit", "apache", "mpl"} and s["score"] == pytest.approx(0.45)
+
+
+def test_every_tag_of_a_line_counts():
+    s = licences.scan("/* SPDX-License-Identifier: MIT */ a(); /* SPDX-License-Identifier: GPL-2.0-only */ b();")
+    assert s["labels"] == {"mit", "gpl"} and s["score"] == pytest.approx(0.75)
+    s = licences.scan("x License-Expression: MIT SPDX-License-Identifier: Apache-2.0 OR MIT\nGPL; license expression = EPL-2.0")
+    assert s["labels"] == {"mit", "apache", "epl"} and s["score"] == pytest.approx(0.45)
