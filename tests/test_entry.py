@@ -32,14 +32,14 @@ def test_every_query_has_oracle():
 
 @pytest.fixture(scope="module")
 def con():
-    from conftest import SF_SMALL
+    from paths_for_tests import SF_SMALL
 
     return duck(SF_SMALL)
 
 
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, con, name):
-    from conftest import SF_SMALL
+    from paths_for_tests import SF_SMALL
 
     res = compare(spark, name, SF_SMALL, con)
     assert res["status"] == "match", res
@@ -50,7 +50,7 @@ def test_stream_equals_batch_on_closed_windows(spark):
     windows the final watermark closed (window_end <= max time - delay)."""
     from pyspark.sql import functions as F
 
-    from conftest import SF_SMALL
+    from paths_for_tests import SF_SMALL
     from rill.sources import replay
     from rill.sources.tables import read_table
     from rill.functions.time import from_text

@@ -1,6 +1,6 @@
 """The job runner on recorded messages (files instead of a topic)."""
 
-from conftest import SF_SMALL
+from paths_for_tests import SF_SMALL
 
 from rill.__main__ import main
 from rill.plans import jobs
@@ -60,7 +60,7 @@ def test_restarted_jobs_resume_from_the_default_checkpoint(spark, tmp_dir):
     import subprocess
     import sys
 
-    from conftest import ROOT
+    from paths_for_tests import ROOT
     from pyspark.sql import functions as F
 
     messages = replay.metric_topic(read_table(spark, SF_SMALL, "events")).select("value", F.col("offset")).orderBy("offset")

@@ -9,7 +9,7 @@ from rill.sources import replay
 from rill.sources.tables import read_table
 from rill.streaming import jobs as sjobs
 
-from conftest import SF_SMALL
+from paths_for_tests import SF_SMALL
 
 
 def optimized(df) -> str:
