@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rill.llm import bpe, licences, mainpaths, mixing, quality, secrets, segments, simhash, tokenfiles, toxicity
+from rill.llm import alignment, bpe, clusters, licences, mainpaths, mixing, quality, secrets, segments, simhash, tokenfiles, toxicity
 from rill.llm.common import table
 from rill.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,16 @@ def op10_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(manifest, folder, tokenfiles.crc32).withColumnRenamed("value", "ids_crc32")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.summaries(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    centroids = clusters.fit(vectors, k=8, rounds=10, dims=64, scale=1024, seed="3")
+    return clusters.with_inertia(clusters.label(vectors, centroids), centroids)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,9 +101,49 @@ QUERIES = {
     "op8_mainpaths": op8_mainpaths,
     "op9_secrets": op9_secrets,
     "op10_tokenfiles": op10_tokenfiles,
+    "op11_alignment": op11_alignment,
+    "op12_clusters": op12_clusters,
     "pipeline": pipeline,
 }
 
+
+def clusters_sql(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024, seed: str = "3") -> str:
+    """Each round as one table of centroids, every vector compared with all of them."""
+    parts = [f"""
+        v AS MATERIALIZED (
+            SELECT vec_id, row_number() OVER () AS row_no, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
+            FROM embeddings
+            WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INTEGER) AS c, x
+            FROM (SELECT sha256('{seed}:' || vec_id) AS h, x FROM v WHERE vec_id IS NOT NULL) ORDER BY h, x LIMIT {k}
+        )"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+            SELECT row_no, min({{'d': d, 'c': c}}) AS best FROM (
+                SELECT row_no, c, list_sum(list_transform(list_zip(v.x, c{r}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::HUGEINT AS d FROM v, c{r}
+            ) GROUP BY row_no
+        )""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+                SELECT c{r}.c, coalesce(m.x, c{r}.x) AS x FROM c{r} LEFT JOIN (
+                    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM (
+                        SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+                            SELECT a{r}.best.c AS c, unnest(v.x) AS x, generate_subscripts(v.x, 1) AS i FROM a{r} JOIN v USING (row_no)
+                        ) GROUP BY c, i
+                    ) GROUP BY c
+                ) m ON m.c = c{r}.c
+            )""")
+    last = rounds
+    return f"""WITH {", ".join(parts)}
+        SELECT v.vec_id, a{last}.best.c AS cluster, CAST(a{last}.best.d AS BIGINT) AS distance,
+            CAST(sum(a{last}.best.d) OVER (PARTITION BY a{last}.best.c) AS BIGINT) AS cluster_inertia,
+            CAST(sum(a{last}.best.d) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(f.x, ',')) AS centroid_sha256
+        FROM a{last} JOIN v USING (row_no) JOIN c{last} f ON f.c = a{last}.best.c
+    """
+
+
 #: SQL of the queries that it can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {
     "op5_topk": """
@@ -108,4 +159,5 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_clusters": clusters_sql(),
 }
