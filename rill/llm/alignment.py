@@ -145,7 +145,10 @@ class Block:
     def __init__(self, row: dict, a: Vocabulary, b: Vocabulary):
         self.doc_ids, self.width = row["doc_ids"], len(b.tokens)
         self.n_a, self.n_b = (np.array(row[c], dtype=np.int64) for c in ("n_a", "n_b"))
-        self.a, self.b = (np.frombuffer(row[c], dtype=v.dtype).astype(np.int64) for c, v in (("a", a), ("b", b)))
+        self.a, self.b = (
+            np.frombuffer(pa.decompress(row[c], int(n.sum()) * v.dtype.itemsize, "zstd"), dtype=v.dtype).astype(np.int64)
+            for c, n, v in (("a", self.n_a, a), ("b", self.n_b, b))
+        )
         self.a_first, self.b_first = (np.concatenate([[0], np.cumsum(n)]) for n in (self.n_a, self.n_b))
         self.a_end, self.b_end = np.cumsum(a.lengths[self.a]), np.cumsum(b.lengths[self.b])
         self.link_a, self.link_b, self.is_cut = lockstep(self.a_end, self.b_end, self.a_first)
@@ -186,7 +189,7 @@ class Block:
 
 
 def encode(docs: DataFrame, byte_bpe: str, pieces: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Blocks of encoded documents, written once: a few thousand documents a row, ids packed."""
+    """Blocks of encoded documents, written once: a few thousand documents a row, ids packed and compressed."""
     let_workers_import(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +198,7 @@ def encode(docs: DataFrame, byte_bpe: str, pieces: str, id_col: str = "doc_id",
 
         def close():
             ids, a, b = zip(*held)
-            packed = (b"".join(x) for x in (a, b))
+            packed = (pa.compress(b"".join(x), "zstd", asbytes=True) for x in (a, b))
             sizes = ([len(x) // v.dtype.itemsize for x in c] for c, v in ((a, both.a), (b, both.b)))
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], type=f.type) for v, f in zip((number, list(ids), *sizes, *packed), BLOCK)], schema=BLOCK

@@ -228,7 +228,7 @@ def starts(rows: DataFrame, k: int, dims: int, scale: int, seed: str) -> list[li
                 some = [(h, v.tolist()) for h, i, v in zip(order, ids, x) if i.is_valid and h <= top[-1]] if top else []
                 first = sorted(first + some)[:k]
         if first:
-            near = lambda v: float(v) if abs(v) < 1 << 1000 else math.copysign(math.inf, v)
+            near = lambda v: float(v) if abs(v) < 1 << 1000 else (math.inf if v > 0 else -math.inf)
             columns = ([h for h, _ in first], [[near(c) for c in v] for _, v in first], [",".join(map(str, v)) for _, v in first])
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["hash", "size", "components"])
 
