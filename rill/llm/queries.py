@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rill.llm import alignment, bpe, clusters, licences, mainpaths, mixing, quality, secrets, segments, simhash, tokenfiles, toxicity
+from rill.llm import alignment, bpe, clusters, licences, mainpaths, mixing, quality, secrets, segments, simhash, subwords, tokenfiles, toxicity
 from rill.llm.common import table
 from rill.session import scratch_path
 
@@ -84,6 +84,16 @@ def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.with_inertia(clusters.label(vectors, centroids), centroids)
 
 
+def op13_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda i: F.crc32(i.cast("string").cast("binary")) % 3 == 1
+    model = subwords.fit(docs, table(spark, sf_dir, "labels"), use=~held_out(F.col("doc_id")))
+    return subwords.scores(docs, model).select(
+        "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_features",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,6 +113,7 @@ QUERIES = {
     "op10_tokenfiles": op10_tokenfiles,
     "op11_alignment": op11_alignment,
     "op12_clusters": op12_clusters,
+    "op13_subwords": op13_subwords,
     "pipeline": pipeline,
 }
 
