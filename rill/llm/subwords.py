@@ -40,7 +40,7 @@ BUCKETS, WIDTH, GRAMS = 1 << 17, 16, (3, 4)
 #: Code points read at a time.
 PIECE = 1 << 18
 #: Bounds of the sample: labelled rows of each class, and code points of all their texts together.
-SAMPLE_PER_CLASS, SAMPLE_CHARS = 4_000, 12_000_000
+SAMPLE_PER_CLASS, SAMPLE_CHARS = 3_000, 8_000_000
 #: Passes over the sample and the first step length, which falls to zero in equal steps.
 EPOCHS, RATE = 8, 4.0
 SEED = 13
