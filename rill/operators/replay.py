@@ -4,87 +4,96 @@ A periodic or punctuated watermark is a running maximum of event time in
 arrival order. A plain ``max() OVER (ORDER BY arrival)`` would sort the
 whole stream in one task, so the scan is split into blocks:
 
-1. Bounds on the whole order key cut the order into about equal blocks.
-   They come from the rows with the smallest key hashes, a sample that is
-   a pure function of the data; the key ends in a unique id, so rows of
-   one instant are split too. A row's block is found by bisection over
-   the literal bounds. Sampling sets balance only, never results.
-2. One maximum per block (partial + final aggregate; one row per block),
-   and the maximum over all earlier blocks via a window over those rows.
-   This table has one row per block, so broadcasting it is bounded.
-3. Within each block a running window, combined with the carry: the one
-   shuffle of the rows.
-
-Both branches compute the same block from the row alone, so nothing has
-to be written in between, and a lost executor recomputes its blocks.
+1. A range exchange on the whole order key deals the rows into blocks in
+   order. The key ends in a unique id, so rows of one instant are split
+   too; adaptive execution merges small blocks. Within a block, rows are
+   sorted and the running maximum is taken batch by batch (Arrow, numpy),
+   which needs no second exchange. The result is written once, with the
+   block number, in the shared folder.
+2. One maximum per block from the written rows, and the maximum over all
+   earlier blocks via a window over those few rows. Broadcasting it is
+   bounded by the number of blocks.
+3. The written rows are combined with the carry.
+
+Range bounds come from Spark's sample and may differ from run to run;
+they set balance only. Since rows and maxima both come from the one
+written table, they always agree, and a lost executor re-reads it. The
+plan does not grow with the number of blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rill.functions.time import interval
+from rill.session import scratch_path
 
 # Fixed value: the host's closing rule compares the window's last
 # millisecond (end - 1 ms) with the watermark.
 HOST_WINDOW_MAX_OFFSET = "INTERVAL 1 MILLISECOND"
 
 
-# Sampled order keys per block: block sizes vary by about a tenth.
-_KEYS_PER_BLOCK = 64
-
-
-def _blocks(df: DataFrame, blocks: int | None) -> int:
-    """Two blocks per shuffle task by default, so that hashing blocks to tasks evens out."""
-    if blocks:
-        return blocks
-    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _order_key(df: DataFrame, order_cols: Sequence[str]) -> Column:
-    """The order columns as one comparable struct; times as epoch microseconds."""
-    kinds = dict(df.dtypes)
-    parts = [
-        F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.col(c) for c in order_cols
-    ]
-    return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
-
-
-def _bounds(df: DataFrame, key: Column, n: int) -> list[tuple]:
-    """At most n - 1 order keys that cut the rows into about equal blocks.
-
-    The driver sees ``_KEYS_PER_BLOCK`` keys per block, whatever the input.
-    """
-    hashed = df.select(key.alias("k")).select("k", F.xxhash64("k").alias("h"))
-    sample = sorted(tuple(r["k"]) for r in hashed.orderBy("h", "k").limit(n * _KEYS_PER_BLOCK).collect())
-    cuts = [sample[len(sample) * i // n] for i in range(1, n)] if sample else []
-    return sorted(set(cuts))
-
-
-def _block_of(key: Column, bounds: list[tuple], key_type) -> Column:
-    """Number of bounds up to the key: bisection over a literal array."""
-    if not bounds:
-        return F.lit(0)
-    names = key_type.names
-    table = F.array(*[
-        F.struct(*[F.lit(v).cast(f.dataType).alias(n) for n, f, v in zip(names, key_type.fields, b)]) for b in bounds
-    ])
-    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        above = (s["lo"] < s["hi"]) & (F.get(table, mid) <= s["key"])
-        return F.struct(
-            F.when(above, mid + 1).otherwise(s["lo"]).alias("lo"),
-            F.when(above | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"),
-            s["key"].alias("key"),
-        )
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"), key.alias("key"))
-    return F.aggregate(steps, start, halve, lambda s: s["lo"])
+def _running(values: pa.Array, before):
+    """Running maxima of one run of rows, NULLs skipped; ``before`` is the maximum so far."""
+    kind = values.type
+    if pa.types.is_timestamp(kind):
+        out, last = _running(values.cast(pa.int64()), before)
+        return out.cast(kind), last
+    if pa.types.is_integer(kind) or pa.types.is_floating(kind):
+        known = values.is_valid().to_numpy(zero_copy_only=False)
+        floor = np.iinfo(np.int64).min if pa.types.is_integer(kind) else -np.inf
+        raw = values.fill_null(0).to_numpy(zero_copy_only=False)
+        raw = np.where(known, raw, floor).astype(np.int64 if pa.types.is_integer(kind) else np.float64)
+        if before is not None:
+            raw[0] = np.maximum(raw[0], before)  # not-a-number is the largest
+        seen = np.logical_or.accumulate(known) | (before is not None)
+        most = np.maximum.accumulate(raw)
+        out = pa.array(most, mask=~seen).cast(kind)
+        return out, (most[-1].item() if seen[-1] else None)
+    largest = lambda a, b: b if a is None else a if b is None else max(a, b)
+    most = list(accumulate(values.to_pylist(), largest, initial=before))[1:]
+    return pa.array(most, type=kind), most[-1]
+
+
+def _key_changes(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
+    """Places in a sorted batch where a new key starts, the first row left out."""
+    changed = np.zeros(max(0, batch.num_rows - 1), dtype=bool)
+    for k in keys:
+        codes = batch.column(k).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        changed |= codes[1:] != codes[:-1]
+    return np.flatnonzero(changed) + 1
+
+
+def _scan_sorted(value_col: str, keys: Sequence[str], inclusive: bool):
+    """mapInArrow function: appends the running maximum of the partition's sorted rows."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, most = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = batch.column(value_col)
+            cuts = [0, *_key_changes(batch, keys).tolist(), batch.num_rows]
+            parts = []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                key = tuple(batch.column(k)[lo].as_py() for k in keys)
+                before = most if key == held_key else None
+                run, most = _running(values.slice(lo, hi - lo), before)
+                held_key = key
+                if not inclusive:
+                    first = pa.array([before], type=pa.int64()).cast(run.type) if pa.types.is_timestamp(run.type) else pa.array([before], type=run.type)
+                    run = pa.concat_arrays([first, run.slice(0, hi - lo - 1)])
+                parts.append(run)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(parts)], names=[*batch.schema.names, "__local"])
+
+    return scan
 
 
 def running_max(
@@ -102,30 +111,33 @@ def running_max(
     ``inclusive=False`` excludes the row itself (the value seen *before*
     it arrived; NULL for the first row). ``partition_cols`` restarts the
     scan per partition (e.g. per topic partition); keep it low-cardinality.
+    The rows are written once while the frame is built: select the columns
+    that are needed first. ``blocks`` fixes their number; by default the
+    shuffle partitions, merged by size.
     """
-    n = _blocks(df, blocks)
+    spark = df.sparkSession
     keys = list(partition_cols)
-    key = _order_key(df, order_cols)
-    key_type = df.select(key.alias("k")).schema["k"].dataType
-    blocked = df.withColumn("__blk", _block_of(key, _bounds(df, key, n), key_type))
-
-    block_max = blocked.groupBy(*keys, "__blk").agg(F.max(value_col).alias("__bmax"))
+    order = [*keys, *order_cols]
+    dealt = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
+    sorted_rows = dealt.sortWithinPartitions(*order).withColumn("__blk", F.spark_partition_id())
+    kinds = T.StructType([*sorted_rows.schema.fields, T.StructField("__local", df.schema[value_col].dataType)])
+    path = scratch_path(spark, "running_max")
+    sorted_rows.mapInArrow(_scan_sorted(value_col, keys, inclusive), kinds).write.parquet(path)
+    written = spark.read.schema(kinds).parquet(path)
+
+    block_max = written.groupBy(*keys, "__blk").agg(F.max(value_col).alias("__bmax"))
     earlier = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = block_max.select(*keys, "__blk", F.max("__bmax").over(earlier).alias("__carry"))
+    carry = block_max.select(
+        *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], F.col("__blk").alias("__carry_blk"),
+        F.max("__bmax").over(earlier).alias("__carry"),
+    )
     if not keys:
         carry = F.broadcast(carry)  # one row per block
-
-    upto = 0 if inclusive else -1
-    within = (
-        Window.partitionBy(*keys, "__blk")
-        .orderBy(*order_cols)
-        .rowsBetween(Window.unboundedPreceding, upto)
-    )
-    local = blocked.withColumn("__local", F.max(value_col).over(within))
-    out = local.join(carry, [*keys, "__blk"], "left")
-    return out.withColumn(out_col, F.greatest("__local", "__carry")).drop(
-        "__blk", "__local", "__carry"
-    )
+    same = F.col("__blk") == F.col("__carry_blk")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"__key_{i}"))
+    out = written.join(carry, same, "left").withColumn(out_col, F.greatest("__local", "__carry"))
+    return out.select(*[c for c in df.columns if c != out_col], out_col)
 
 
 def late_row_audit(
@@ -151,8 +163,9 @@ def late_row_audit(
     """
     if closing_rule not in ("host", "spark"):
         raise ValueError("closing_rule must be 'host' or 'spark'")
+    needed = df.select(*dict.fromkeys([*id_cols, *partition_cols, time_col, *order_cols]))
     seen = running_max(
-        df, time_col, order_cols, out_col="__seen", partition_cols=partition_cols,
+        needed, time_col, order_cols, out_col="__seen", partition_cols=partition_cols,
         inclusive=False, blocks=blocks,
     )
     w = F.window(time_col, window)
@@ -183,8 +196,9 @@ def monotone_event_time(
     An assigner that stamps each row with the largest time seen so far
     never lets time go backwards; the watermark trails it by ``delay``.
     """
+    needed = df.select(*dict.fromkeys([*id_cols, *partition_cols, time_col, *order_cols]))
     mono = running_max(
-        df, time_col, order_cols, out_col="monotone_ts", partition_cols=partition_cols,
+        needed, time_col, order_cols, out_col="monotone_ts", partition_cols=partition_cols,
         inclusive=True, blocks=blocks,
     )
     return mono.select(

@@ -75,3 +75,18 @@ def test_strict_numbers_fail_without_ansi_too(spark):
         assert str(row[0]) == "2024-01-01 01:01:00"
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_replay_plans_do_not_grow_with_the_shuffle_partitions(spark):
+    """Building takes no literal per block: the plan is as long at 2,000 shuffle partitions as at 4."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for name in ("late_row_audit", "monotone_event_time"):
+            sizes = []
+            for n in ("4", "2000"):
+                spark.conf.set("spark.sql.shuffle.partitions", n)
+                plan = optimized(BATCH_QUERIES[name](spark, SF_SMALL))
+                sizes.append(len(re.sub(r"#\d+L?|\S*running_max-\S+", "", plan)))
+            assert abs(sizes[0] - sizes[1]) <= 16, sizes
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

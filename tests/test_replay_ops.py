@@ -112,3 +112,37 @@ def test_closing_rules_differ_on_the_last_millisecond(spark):
     host = {r["id"]: r["is_late"] for r in late_row_audit(df, **kw).collect()}
     sprk = {r["id"]: r["is_late"] for r in late_row_audit(df, closing_rule="spark", **kw).collect()}
     assert host[1] is True and sprk[1] is False
+
+
+@pytest.mark.parametrize("kind", ["DOUBLE", "STRING", "DECIMAL(10,2)", "INT", "DATE"])
+def test_running_max_of_any_type_with_nulls_and_small_batches(spark, kind):
+    """NULL values, NULL keys and order values, not-a-number, a few rows per Arrow batch."""
+    rnd = random.Random(kind)
+    rows = [
+        (i, rnd.choice([None, "a", "b"]), None if rnd.random() < 0.1 else rnd.randint(0, 50), None if rnd.random() < 0.3 else rnd.randint(1, 28))
+        for i in range(300)
+    ]
+    text = {"DATE": "concat('2024-01-', lpad(v, 2, '0'))"}.get(kind, "v")
+    nan = "IF(v = 28, CAST('NaN' AS DOUBLE), CAST(v AS DOUBLE))"
+    df = spark.createDataFrame(rows, "id INT, k STRING, o INT, v INT").selectExpr(
+        "id", "k", "o", f"{nan if kind == 'DOUBLE' else f'CAST({text} AS {kind})'} AS v"
+    )
+    df.createOrReplaceTempView("running_rows")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for inclusive, frame in ((True, "CURRENT ROW"), (False, "1 PRECEDING")):
+            for keys in ((), ("k",)):
+                part = "PARTITION BY k" if keys else ""
+                want = spark.sql(
+                    f"SELECT id, CAST(max(v) OVER ({part} ORDER BY o, id ROWS BETWEEN UNBOUNDED PRECEDING AND {frame}) AS STRING) AS m FROM running_rows"
+                )
+                got = running_max(df, "v", ["o", "id"], out_col="m", partition_cols=keys, inclusive=inclusive, blocks=4)
+                assert sorted(map(str, got.selectExpr("id", "CAST(m AS STRING) AS m").collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_running_max_of_an_empty_frame(spark):
+    df = _frame(spark, [])
+    assert running_max(df, "ts", ["arrival", "id"], out_col="m").collect() == []
