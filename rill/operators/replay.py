@@ -58,7 +58,7 @@ def _running(values: pa.Array, before):
         out = pa.array(most, mask=~seen).cast(kind)
         return out, (most[-1].item() if seen[-1] else None)
     largest = lambda a, b: b if a is None else a if b is None else max(a, b)
-    most = list(accumulate(values.to_pylist(), largest, initial=before))[1:]
+    most = list(accumulate([before, *values.to_pylist()], largest))[1:]
     return pa.array(most, type=kind), most[-1]
 
 
