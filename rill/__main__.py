@@ -1,7 +1,9 @@
 """Run a job: ``python -m rill <job> [options]``.
 
 Streaming jobs: ``url-summary`` (metric topic -> url counts -> topic or
-folder), ``site-counts`` (text access logs -> access-count table),
+folder), ``url-counts`` (the same into a table, late rows into another,
+windows and watermark on one clock or two), ``monotone-time`` (metrics
+stamped with the largest time seen), ``site-counts`` (text access logs -> access-count table),
 ``access-log`` (access logs -> minute-partitioned table with partition
 commit), ``hourly-order`` (orders -> hour-partitioned table with partition
 commit) and ``tail`` (print a message stream). Batch job:
@@ -9,13 +11,16 @@ commit) and ``tail`` (print a message stream). Batch job:
 folder). Sources are a Kafka topic (``--bootstrap`` + ``--topic``) or a
 folder of recorded messages (``--path`` + ``--format``). The default
 checkpoint is fixed by the job and its sink, under ``spark.checkpoint.dir``
-(``--shared-dir``), so a job started again goes on where it stopped.
+(``--shared-dir``), so a job started again goes on where it stopped. When a
+job ends it prints its totals over all its runs: batches, rows read, rows
+without an event time, rows dropped behind the watermark.
 """
 
 from __future__ import annotations
 
 import argparse
 import os
+import sys
 
 from rill import schemas
 from rill.plans import catalog
@@ -27,12 +32,15 @@ from rill.streaming.commit import (
     POLICY_METASTORE, POLICY_SUCCESS_FILE, PROP_DELAY, PROP_PATTERN, PROP_POLICY,
     PROP_TRIGGER, TRIGGER_PARTITION_TIME,
 )
+from rill.streaming.counters import Counters
 from rill.streaming.runner import run
 from rill.streaming.sinks import print_rows, to_files
 
 # Trigger intervals and start positions of the jobs.
 JOB_DEFAULTS = {
     "url-summary": {"trigger": "5 seconds", "start": EARLIEST},
+    "url-counts": {"trigger": "5 seconds", "start": EARLIEST},
+    "monotone-time": {"trigger": "5 seconds", "start": EARLIEST},
     "site-counts": {"trigger": "20 seconds", "start": LATEST},
     "access-log": {"trigger": "20 seconds", "start": LATEST},
     "hourly-order": {"trigger": "20 seconds", "start": LATEST},
@@ -41,6 +49,10 @@ JOB_DEFAULTS = {
 }
 
 
+# What a micro-batch takes at most by default.
+MAX_FILES, MAX_RECORDS = 1_000, 10_000_000
+
+
 def _args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="python -m rill", description=__doc__.splitlines()[0])
     p.add_argument("job", choices=sorted(JOB_DEFAULTS))
@@ -51,6 +63,9 @@ def _args(argv=None) -> argparse.Namespace:
     p.add_argument("--format", default="text", help="format of recorded messages")
     p.add_argument("--sink-topic", help="url-summary: output topic")
     p.add_argument("--sink-path", help="url-summary: output folder (instead of a topic)")
+    p.add_argument("--window-on", choices=("payload", "record"), default="record", help="url-counts: clock of the windows")
+    p.add_argument("--watermark-on", choices=("payload", "record"), default="payload", help="url-counts: clock of the watermark")
+    p.add_argument("--late-table", help="url-counts: table of rows behind the watermark (else they are counted only)")
     p.add_argument("--database", default="access_logs")
     p.add_argument("--table")
     p.add_argument("--checkpoint")
@@ -66,7 +81,8 @@ def _args(argv=None) -> argparse.Namespace:
     p.add_argument("--jdbc-lower", type=int)
     p.add_argument("--jdbc-upper", type=int)
     p.add_argument("--jdbc-partitions", type=int)
-    p.add_argument("--max-per-trigger", type=int, help="files (or topic records) per micro-batch; default: no limit")
+    p.add_argument("--max-per-trigger", type=int, help="files (or topic records) per micro-batch, so that a backlog is many "
+                   f"batches; 0: no limit; default {MAX_FILES} files or {MAX_RECORDS} records")
     p.add_argument("--rocksdb", action="store_true", help="keep streaming state in RocksDB, off the executor heap")
     p.add_argument("--shared-dir", help="sets spark.checkpoint.dir")
     p.add_argument("--master")
@@ -74,14 +90,15 @@ def _args(argv=None) -> argparse.Namespace:
 
 
 def _source(spark, a, start: str):
+    most = (MAX_FILES if a.path else MAX_RECORDS) if a.max_per_trigger is None else a.max_per_trigger
     if a.path:
-        limit = {"maxFilesPerTrigger": str(a.max_per_trigger)} if a.max_per_trigger else {}
+        limit = {"maxFilesPerTrigger": str(most)} if most else {}
         return read_messages(spark, a.format, stream=True, path=a.path, **limit)
     if not (a.bootstrap and a.topic):
         raise SystemExit("give --path, or --bootstrap and --topic")
     return read_messages(spark, "kafka", stream=True, **kafka_options(
         a.bootstrap, a.topic, group_id=a.group_id, starting_offsets=start,
-        max_offsets_per_trigger=a.max_per_trigger))
+        max_offsets_per_trigger=most or None))
 
 
 def _table(spark, a, name: str, ddl: str, **kw) -> str:
@@ -121,7 +138,12 @@ def main(argv=None) -> None:
         return
     defaults = JOB_DEFAULTS[a.job]
     trigger = a.trigger or defaults["trigger"]
-    checkpoint = lambda sink: a.checkpoint or job_checkpoint(spark, a.job, sink)
+    places: list[str] = []
+
+    def checkpoint(sink: str) -> str:
+        places.append(a.checkpoint or job_checkpoint(spark, a.job, sink))
+        return places[-1]
+
     topic = _source(spark, a, defaults["start"])
     opts = {"trigger": trigger, "available_now": a.available_now}
 
@@ -134,6 +156,15 @@ def main(argv=None) -> None:
                                            checkpoint(f"{a.bootstrap}/{a.sink_topic}"), **opts)
         else:
             raise SystemExit("url-summary needs --sink-path, or --sink-topic with --bootstrap")
+    elif a.job == "url-counts":
+        table = _table(spark, a, a.table or "url_count", schemas.URL_COUNT_TABLE)
+        late = _table(spark, a, a.late_table, schemas.LATE_METRIC_TABLE) if a.late_table else None
+        writer = sjobs.url_count_table_job(
+            topic, table, checkpoint(table), late_table=late, window_on=a.window_on, watermark_on=a.watermark_on, **opts
+        )
+    elif a.job == "monotone-time":
+        table = _table(spark, a, a.table or "monotone_time", schemas.MONOTONE_TIME_TABLE)
+        writer = sjobs.monotone_time_job(topic, table, checkpoint(table), **opts)
     elif a.job == "site-counts":
         table = _table(spark, a, a.table or "access_count", schemas.ACCESS_COUNT)
         writer = sjobs.site_count_job(topic, table, checkpoint(table), **opts)
@@ -163,7 +194,11 @@ def main(argv=None) -> None:
         writer = sjobs.hourly_order_job(topic, table, checkpoint(table), **opts)
     else:
         writer = sjobs.tail_job(topic, available_now=a.available_now)
-    run(writer, name=f"rill-{a.job}")
+    counters = Counters(spark, places[0] if places else None)
+    try:
+        run(writer, name=f"rill-{a.job}", counters=counters)
+    finally:
+        print("totals: " + ", ".join(f"{n} {v}" for n, v in counters.totals.items()), file=sys.stderr)
 
 
 if __name__ == "__main__":

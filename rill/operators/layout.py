@@ -26,3 +26,18 @@ def rebalanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
 def keep_small_merges_parallel(spark) -> None:
     """For the session of one stream: file creation, not bytes, bounds its small batches."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", _LEAST_MERGED)
+
+
+# The setting and the rule that replaces a plan by an empty one once a shuffle turns out empty.
+_EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
+_EMPTY_PLANS = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
+
+def keep_observations(spark) -> None:
+    """For the session of one stream: metrics observed below an empty shuffle are still reported.
+
+    A batch whose rows are all filtered out, or all late, has them too.
+    """
+    known = [r for r in (spark.conf.get(_EXCLUDED, "") or "").split(",") if r]
+    if _EMPTY_PLANS not in known:
+        spark.conf.set(_EXCLUDED, ",".join([*known, _EMPTY_PLANS]))

@@ -32,8 +32,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rill.functions.runs import runs_of
 from rill.functions.time import interval
-from rill.session import scratch_path
+from rill.session import let_workers_import, scratch_path
 
 # Fixed value: the host's closing rule compares the window's last
 # millisecond (end - 1 ms) with the watermark.
@@ -62,35 +63,24 @@ def _running(values: pa.Array, before):
     return pa.array(most, type=kind), most[-1]
 
 
-def _key_changes(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
-    """Places in a sorted batch where a new key starts, the first row left out."""
-    changed = np.zeros(max(0, batch.num_rows - 1), dtype=bool)
-    for k in keys:
-        codes = batch.column(k).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        changed |= codes[1:] != codes[:-1]
-    return np.flatnonzero(changed) + 1
-
-
 def _scan_sorted(value_col: str, keys: Sequence[str], inclusive: bool):
     """mapInArrow function: appends the running maximum of the partition's sorted rows."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, most = None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            values = batch.column(value_col)
-            cuts = [0, *_key_changes(batch, keys).tolist(), batch.num_rows]
             parts = []
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                key = tuple(batch.column(k)[lo].as_py() for k in keys)
+            for key, rows in runs_of(batch, keys):
                 before = most if key == held_key else None
-                run, most = _running(values.slice(lo, hi - lo), before)
                 held_key = key
+                run, most = _running(rows.column(value_col), before)
                 if not inclusive:
-                    first = pa.array([before], type=pa.int64()).cast(run.type) if pa.types.is_timestamp(run.type) else pa.array([before], type=run.type)
-                    run = pa.concat_arrays([first, run.slice(0, hi - lo - 1)])
+                    time = pa.types.is_timestamp(run.type)
+                    first = pa.array([before], type=pa.int64() if time else run.type).cast(run.type)
+                    run = pa.concat_arrays([first, run.slice(0, len(run) - 1)])
                 parts.append(run)
+            if not parts:
+                continue
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(parts)], names=[*batch.schema.names, "__local"])
 
     return scan
@@ -105,6 +95,7 @@ def running_max(
     partition_cols: Sequence[str] = (),
     inclusive: bool = True,
     blocks: int | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = max(value_col) over rows up to this one in order.
 
@@ -113,16 +104,18 @@ def running_max(
     scan per partition (e.g. per topic partition); keep it low-cardinality.
     The rows are written once while the frame is built: select the columns
     that are needed first. ``blocks`` fixes their number; by default the
-    shuffle partitions, merged by size.
+    shuffle partitions, merged by size. ``path`` is where the rows go (a fresh
+    folder of the shared one by default); what is there is replaced.
     """
     spark = df.sparkSession
+    let_workers_import(spark)
     keys = list(partition_cols)
     order = [*keys, *order_cols]
     dealt = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
     sorted_rows = dealt.sortWithinPartitions(*order).withColumn("__blk", F.spark_partition_id())
     kinds = T.StructType([*sorted_rows.schema.fields, T.StructField("__local", df.schema[value_col].dataType)])
-    path = scratch_path(spark, "running_max")
-    sorted_rows.mapInArrow(_scan_sorted(value_col, keys, inclusive), kinds).write.parquet(path)
+    path = path or scratch_path(spark, "running_max")
+    sorted_rows.mapInArrow(_scan_sorted(value_col, keys, inclusive), kinds).write.mode("overwrite").parquet(path)
     written = spark.read.schema(kinds).parquet(path)
 
     block_max = written.groupBy(*keys, "__blk").agg(F.max(value_col).alias("__bmax"))

@@ -212,3 +212,63 @@ ORACLE["pv_per_user_1m_stream"] = f"""
     HAVING {bucket(f"epoch_us(max({SEC_TS}))", MINUTE, end=True)}
            <= (SELECT max({SEC_TS}) FROM events) - INTERVAL 1 MILLISECOND
 """
+
+# the lower median of each host and day
+ORACLE["host_mem_median_1d"] = f"""
+    SELECT event_type AS host, quantile_disc(CAST(floor(value) AS BIGINT), 0.5) AS mem_median, count(*) AS n,
+           {bucket(f"{MS} * 1000", DAY)} AS window_start,
+           {bucket(f"{MS} * 1000", DAY, end=True)} AS window_end
+    FROM events GROUP BY 1, 4, 5
+"""
+
+
+def delivered(rows: str, time: str, moves: str, delay: str = "2 SECOND", days: int = 8) -> str:
+    """CTEs: ``rows`` with their delivery ``d`` (by ``time``) and the watermark they met.
+
+    The watermark of a delivery is the largest ``moves`` of the deliveries
+    before it, minus the delay.
+    """
+    return f"""
+        e AS (SELECT *, epoch_us({time}) // {days * DAY} AS d FROM ({rows})),
+        per AS (SELECT d, max({moves}) AS most FROM e GROUP BY d),
+        marks AS (
+            SELECT d, max(most) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {delay} AS watermark
+            FROM per
+        ),
+        met AS (SELECT e.*, watermark FROM e JOIN marks USING (d))
+    """
+
+
+ORACLE["late_rows_stream"] = f"""
+    WITH {delivered(ARRIVAL, "arrival_ts", "ts")}
+    SELECT event_id, ts, {bucket("epoch_us(ts)", HOUR)} AS window_start, {bucket("epoch_us(ts)", HOUR, end=True)} AS window_end, watermark
+    FROM met WHERE {bucket("epoch_us(ts)", HOUR, end=True)} - INTERVAL 1 MILLISECOND <= watermark
+"""
+
+ORACLE["url_count_two_clocks_stream"] = f"""
+    WITH {delivered(
+        f"SELECT event_type, ts, {MS_TS} AS payload, ts - to_hours(CAST((event_id * 7) % 13 AS INTEGER)) AS record FROM events",
+        "ts", "payload")},
+    w AS (
+        SELECT event_type AS url, watermark, {bucket("epoch_us(record)", HOUR)} AS window_start,
+               {bucket("epoch_us(record)", HOUR, end=True)} AS window_end
+        FROM met
+    )
+    SELECT url, count(*) AS cnt, window_start, window_end FROM w
+    WHERE watermark IS NULL OR window_end - INTERVAL 1 MILLISECOND > watermark
+    GROUP BY url, window_start, window_end
+    HAVING window_end - INTERVAL 1 MILLISECOND <= (SELECT max({MS_TS}) FROM events) - INTERVAL 2 SECOND
+"""
+
+ORACLE["monotone_event_time_stream"] = ORACLE["monotone_event_time"]
+
+ORACLE["product_sum_by_brand_stream"] = """
+    SELECT p_brand, CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+    FROM part WHERE p_type LIKE '%CONO%' GROUP BY p_brand
+"""
+
+ORACLE["url_count_5s_rocksdb_stream"] = ORACLE["url_count_5s_stream"]
+
+ORACLE["event_time_totals_stream"] = f"""
+    SELECT count(*) AS input_rows, count(*) FILTER (WHERE {MERCH} % 10 = 0) AS null_event_times FROM events
+"""

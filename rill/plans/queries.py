@@ -7,15 +7,19 @@ The comment on each names the inventory ids it covers.
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rill import schemas
 from rill.functions.json import parse_messages
-from rill.functions.time import epoch_millis_to_seconds, from_text
+from rill.functions.time import epoch_millis_to_seconds, from_text, millis_to_timestamp
 from rill.operators.aggregate import like_rows, like_sum
 from rill.operators.partition_commit import partition_readiness
 from rill.operators.replay import late_row_audit, monotone_event_time
+from rill.operators.windows import apply_by_window
 from rill.plans import jobs
 from rill.session import conform
 from rill.sources import replay
@@ -158,6 +162,33 @@ def monotone_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def median_of(column: str):
+    """Window function: the lower median, from counts of the distinct values, never the rows."""
+    def median(_: dict, pieces) -> list[tuple]:
+        counts: Counter = Counter()
+        for piece in pieces:
+            for entry in pc.value_counts(piece.column(column)).to_pylist():
+                if entry["values"] is not None:
+                    counts[entry["values"]] += entry["counts"]
+        half, seen = (counts.total() + 1) // 2, 0
+        for value in sorted(counts):
+            seen += counts[value]
+            if seen >= half:
+                return [(value, counts.total())]
+        return []
+
+    return median
+
+
+# U4 -- a user function over each whole window: median memory per host and day
+def host_mem_median_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = replay.csv_metric_topic(_events(spark, sf_dir))
+    metrics = jobs.host_mem(lines).select("host", "mem", millis_to_timestamp("event_ms").alias("event_time"))
+    return apply_by_window(
+        metrics, "event_time", DAY_WINDOW, ["host"], median_of("mem"), "mem_median BIGINT, n BIGINT"
+    )
+
+
 # A5 T4 -- page views per user per minute
 def pv_per_user_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.page_views(replay.user_log_records(_events(spark, sf_dir)))
@@ -216,6 +247,7 @@ BATCH_QUERIES = {
     "site_count_20s_sql": site_count_20s_sql,
     "csv_metric_split": csv_metric_split,
     "host_mem_mean_2s": host_mem_mean_2s,
+    "host_mem_median_1d": host_mem_median_1d,
     "late_row_audit": late_rows,
     "monotone_event_time": monotone_time,
     "pv_per_user_1m": pv_per_user_1m,

@@ -9,12 +9,16 @@ DataFrame. Append mode emits only windows the final watermark closed:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from rill import schemas
-from rill.operators.windows import window_bounds_to_table_time
+from rill.operators.windows import count_by_window, window_bounds_to_table_time, with_watermark
 from rill.plans import catalog, jobs
-from rill.session import conform, scratch_path, shared_dir
+from rill.session import conform, rocksdb_session, scratch_path, shared_dir
 from rill.sources import replay
 from rill.sources.tables import read_table, stream_table
 from rill.streaming import fs
@@ -23,10 +27,13 @@ from rill.streaming.commit import (
     POLICY_METASTORE, POLICY_SUCCESS_FILE, PROP_DELAY, PROP_PATTERN, PROP_POLICY,
     PROP_TRIGGER, TRIGGER_PARTITION_TIME,
 )
+from rill.streaming.counters import Counters, saved_totals
+from rill.streaming.event_time import EventTimeWindowSink, MonotoneTimeSink, counted
 from rill.streaming.runner import run
 from rill.streaming.sinks import (
-    CompleteResultSink, TableAppendSink, for_each_batch, to_files, to_text,
+    CompleteResultSink, TableAppendSink, for_each_batch, read_complete, to_files, to_text,
 )
+from rill.streaming.upsert import UpsertSink, read_upserts
 
 # Fixed value: database holding the sink tables of the registered queries.
 SINK_DATABASE = "access_logs"
@@ -92,8 +99,6 @@ def text_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A6 P4 -- running SUM over a filtered stream (complete output mode)
 def product_like_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from rill.operators.aggregate import like_sum
     from rill.plans.queries import PRODUCT_PATTERN
 
@@ -106,9 +111,7 @@ def product_like_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "product_like_sum_stream")
     run(for_each_batch(total, CompleteResultSink(f"{out}/data"), f"{out}/checkpoint",
                        output_mode="complete", available_now=True))
-    return spark.read.parquet(f"{out}/data").select(
-        F.col("total_amount").cast("double").alias("total_amount")
-    )
+    return read_complete(spark, f"{out}/data").select(F.col("total_amount").cast("double").alias("total_amount"))
 
 
 def _sink_table(
@@ -199,7 +202,139 @@ def pv_per_user_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_to_parquet(sjobs.page_view_frame(topic), "pv_per_user_1m_stream")
 
 
+# A delivery holds so many days of the replay; hourly windows, so that counts exceed one.
+DELIVERY_DAYS = 8
+HOUR_WINDOW = "1 hour"
+
+
+def _deliver(rows: DataFrame, number: Column, folder: str, start: Callable[[DataFrame], DataStreamWriter]) -> None:
+    """Rows land in ``folder`` delivery by delivery; the job runs after each.
+
+    Each run is one micro-batch over the files that are new, so the batches
+    are the deliveries whatever the files, and every run but the first
+    resumes from the checkpoint.
+    """
+    spark = rows.sparkSession
+    numbered = rows.withColumn("__delivery", number)
+    for (n,) in sorted(numbered.select("__delivery").distinct().collect()):
+        numbered.where(F.col("__delivery") == n).drop("__delivery").write.mode("append").parquet(folder)
+        run(start(spark.readStream.schema(rows.schema).parquet(folder)))
+
+
+def _disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conform(spark)
+    return read_table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "ts", replay.disordered_arrival().alias("arrival_ts")
+    )
+
+
+LATE_EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, watermark TIMESTAMP_NTZ"
+
+
+# W6 W1 N2 -- late rows of a running job in a table of their own, the rest counted
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts, base = _sink_table(spark, "on_time_count", schemas.URL_COUNT_TABLE)
+    late, _ = _sink_table(spark, "late_event", LATE_EVENTS)
+    sink = EventTimeWindowSink(
+        counts, f"{base}/checkpoint", window_time="ts", size=HOUR_WINDOW, delay=schemas.URL_COUNT_DELAY, keys=["event_type"],
+        aggs={"cnt": counted()}, late_table=late, late_cols=["event_id", "ts"],
+    )
+    _deliver(
+        _disordered(spark, sf_dir), replay.delivery(F.col("arrival_ts"), DELIVERY_DAYS), f"{base}/in",
+        lambda stream: for_each_batch(stream, sink, f"{base}/checkpoint", available_now=True),
+    )
+    return spark.table(late)
+
+
+# J1 W1 N1 T1 A2 -- windows on the record time, closed by a watermark on the payload time
+def url_count_two_clocks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conform(spark)
+    counts, base = _sink_table(spark, "url_count", schemas.URL_COUNT_TABLE)
+    late, _ = _sink_table(spark, "late_metric", schemas.LATE_METRIC_TABLE)
+    _deliver(
+        read_table(spark, sf_dir, "events"), replay.delivery(F.col("ts"), DELIVERY_DAYS), f"{base}/in",
+        lambda stream: sjobs.url_count_table_job(
+            replay.metric_topic(stream, record_time=replay.lagging_record_time()), counts, f"{base}/checkpoint",
+            late_table=late, window_on="record", watermark_on="payload", size=HOUR_WINDOW, available_now=True,
+        ),
+    )
+    return spark.table(counts)
+
+
+# W4 -- event time as the running maximum in arrival order, carried from batch to batch
+def monotone_event_time_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, base = _sink_table(
+        spark, "monotone_time", "event_id BIGINT, ts TIMESTAMP_NTZ, monotone_ts TIMESTAMP_NTZ, watermark TIMESTAMP_NTZ"
+    )
+    sink = MonotoneTimeSink(
+        table, f"{base}/checkpoint", time_col="ts", order_cols=["arrival_ts", "event_id"],
+        delay=schemas.URL_COUNT_DELAY, id_cols=["event_id"],
+    )
+    _deliver(
+        _disordered(spark, sf_dir), replay.delivery(F.col("arrival_ts"), DELIVERY_DAYS), f"{base}/in",
+        lambda stream: for_each_batch(stream, sink, f"{base}/checkpoint", available_now=True),
+    )
+    return spark.table(table)
+
+
+# A6 P4 -- SUM per brand over a filtered stream in update mode, newest row per key
+def product_sum_by_brand_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rill.plans.queries import PRODUCT_PATTERN
+
+    conform(spark)
+    part = read_table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand", F.col("p_type").alias("product"), F.col("p_retailprice").cast("decimal(18,2)").alias("amount")
+    )
+    out = scratch_path(spark, "product_sum_by_brand")
+    sink = UpsertSink(f"{out}/data", ["p_brand"], compact_every=3)
+
+    def start(stream: DataFrame) -> DataStreamWriter:
+        sums = stream.where(F.col("product").like(PRODUCT_PATTERN)).groupBy("p_brand").agg(F.sum("amount").alias("total_amount"))
+        return for_each_batch(sums, sink, f"{out}/checkpoint", output_mode="update", available_now=True)
+
+    _deliver(part, F.pmod("p_partkey", F.lit(4)), f"{out}/in", start)
+    return read_upserts(spark, f"{out}/data").select("p_brand", F.col("total_amount").cast("double").alias("total_amount"))
+
+
+# W7 W8 -- keyed window state in RocksDB over several runs of the job, restored in each
+def url_count_5s_rocksdb_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conform(spark)
+    out = scratch_path(spark, "url_count_rocksdb")
+    events = read_table(rocksdb_session(spark), sf_dir, "events")
+    _deliver(
+        events, replay.delivery(F.col("ts"), 2 * DELIVERY_DAYS), f"{out}/in",
+        lambda stream: to_files(sjobs.url_count_frame(replay.metric_topic(stream)), f"{out}/data", f"{out}/checkpoint", available_now=True),
+    )
+    return window_bounds_to_table_time(spark.read.parquet(f"{out}/data"), "window_start", "window_end")
+
+
+# N8 W6 -- totals of a job over all its runs: rows read, rows without an event time
+def event_time_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conform(spark)
+    out = scratch_path(spark, "event_time_totals")
+    events = read_table(spark, sf_dir, "events").select(
+        "event_type", "ts", F.when(replay.merchandise_id() % 10 != 0, F.col("ts")).alias("event_time")
+    )
+    numbered = events.withColumn("__delivery", replay.delivery(F.col("ts"), DELIVERY_DAYS))
+    for (n,) in sorted(numbered.select("__delivery").distinct().collect()):
+        numbered.where(F.col("__delivery") == n).drop("__delivery").write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{out}/in")
+        counts = count_by_window(with_watermark(stream, "event_time", schemas.URL_COUNT_DELAY), "event_time", HOUR_WINDOW, ["event_type"])
+        counters = Counters(spark, f"{out}/checkpoint")
+        run(to_files(counts, f"{out}/data", f"{out}/checkpoint", available_now=True), counters=counters)
+    totals = saved_totals(spark, f"{out}/checkpoint")
+    return spark.createDataFrame(
+        [(totals["input_rows"], totals["null_event_times"])], "input_rows BIGINT, null_event_times BIGINT"
+    )
+
+
 STREAM_QUERIES = {
+    "late_rows_stream": late_rows_stream,
+    "url_count_two_clocks_stream": url_count_two_clocks_stream,
+    "monotone_event_time_stream": monotone_event_time_stream,
+    "product_sum_by_brand_stream": product_sum_by_brand_stream,
+    "url_count_5s_rocksdb_stream": url_count_5s_rocksdb_stream,
+    "event_time_totals_stream": event_time_totals_stream,
     "order_copy_stream": order_copy_stream,
     "pv_per_user_1m_stream": pv_per_user_1m_stream,
     "site_count_20s_stream": site_count_20s_stream,

@@ -52,6 +52,16 @@ HOURLY_ORDER_PARTITIONS = ["dt", "hour"]
 # Page-view table (uv carries the user id, as declared upstream).
 PV_UV = "dt TIMESTAMP_NTZ, pv BIGINT, uv BIGINT"
 
+# Tables of the event-time sinks: url counts, their late rows, monotone times.
+URL_COUNT_TABLE = "url STRING, cnt BIGINT, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ"
+LATE_METRIC_TABLE = (
+    "url STRING, payload_time TIMESTAMP_NTZ, record_time TIMESTAMP_NTZ, "
+    "window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, watermark TIMESTAMP_NTZ"
+)
+MONOTONE_TIME_TABLE = (
+    "`offset` BIGINT, `partition` INT, payload_time TIMESTAMP_NTZ, monotone_ts TIMESTAMP_NTZ, watermark TIMESTAMP_NTZ"
+)
+
 # Partition-time patterns and commit delays.
 MINUTE_PARTITION_PATTERN = "$ts_date $ts_hour:$ts_minute:00"
 HOUR_PARTITION_PATTERN = "$dt $hour:00:00"

@@ -9,6 +9,7 @@ checkpoints and scratch tables.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import tempfile
 import uuid
@@ -16,7 +17,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 SESSION_TIME_ZONE = "UTC"
+# Large streaming state: off-heap RocksDB, changelog checkpoints.
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(
@@ -52,9 +58,7 @@ def build_session(
         "spark.sql.streaming.noDataMicroBatches.enabled": "true",
     }
     if rocksdb_state:
-        # large streaming state: off-heap RocksDB, changelog checkpoints
-        settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
-        settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+        settings.update(ROCKSDB_STATE)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
@@ -66,6 +70,16 @@ def build_session(
     return spark
 
 
+def rocksdb_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` (same tables and context) whose streams keep their state in RocksDB."""
+    session = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.ansi.enabled"):
+        session.conf.set(key, spark.conf.get(key))
+    for key, value in ROCKSDB_STATE.items():
+        session.conf.set(key, value)
+    return conform(session)
+
+
 def conform(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings results depend on (idempotent).
 
@@ -79,6 +93,18 @@ def conform(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers of a local session find this package wherever the driver was started.
+
+    On a cluster the package is installed or sent with ``--py-files``.
+    """
+    context, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if _is_local(spark):
+        known = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in known:
+            context.environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Start positions understood by the topic source.
 EARLIEST = "earliest"
@@ -54,14 +55,17 @@ def read_messages(
     *,
     stream: bool = True,
     path: str | None = None,
-    schema: str | None = None,
+    schema: str | StructType | None = None,
     **options: str,
 ) -> DataFrame:
     """Open a topic (``fmt='kafka'``) or a folder of recorded messages.
 
     For file formats the files must carry a ``value`` column (e.g. text,
-    or parquet written by ``rill.streaming.sinks``).
+    or parquet written by ``rill.streaming.sinks``). A stream of files other
+    than text takes the layout of the files that are there, if none is given.
     """
+    if schema is None and stream and path is not None and fmt != "text":
+        schema = spark.read.format(fmt).load(path).schema
     reader = spark.readStream if stream else spark.read
     reader = reader.format(fmt)
     if schema is not None:

@@ -147,8 +147,8 @@ def topic_record(events: DataFrame, value: Column, *, record_time: Column | None
     )
 
 
-def metric_topic(events: DataFrame) -> DataFrame:
-    return topic_record(events, record_json(*metric_columns()))
+def metric_topic(events: DataFrame, *, record_time: Column | None = None) -> DataFrame:
+    return topic_record(events, record_json(*metric_columns()), record_time=record_time)
 
 
 def access_log_topic(events: DataFrame) -> DataFrame:
@@ -171,7 +171,23 @@ def csv_metric_topic(events: DataFrame) -> DataFrame:
     return topic_record(events, csv_metric_line())
 
 
+def _disorder(event_id: str) -> Column:
+    hours = (F.col(event_id) * DISORDER_MULTIPLIER) % DISORDER_MODULUS
+    return F.make_dt_interval(hours=hours.cast("int"))
+
+
 def disordered_arrival(ts: str = "ts", event_id: str = "event_id") -> Column:
     """Arrival time of a shuffled replay: event time plus 0..12 hours."""
-    hours = (F.col(event_id) * DISORDER_MULTIPLIER) % DISORDER_MODULUS
-    return F.col(ts) + F.make_dt_interval(hours=hours.cast("int"))
+    return F.col(ts) + _disorder(event_id)
+
+
+def lagging_record_time(ts: str = "ts", event_id: str = "event_id") -> Column:
+    """Record time of brokers whose clocks are 0..12 hours behind the messages'."""
+    return F.col(ts) - _disorder(event_id)
+
+
+def delivery(time: Column, days: int) -> Column:
+    """Number of the delivery a row comes with: one for so many days of ``time``."""
+    width = days * 86_400_000_000
+    us = F.unix_micros(time.cast("timestamp"))
+    return F.call_function("div", us - F.pmod(us, F.lit(width)), F.lit(width))

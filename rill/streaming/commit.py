@@ -165,7 +165,7 @@ class PartitionCommitSink:
         self.log.save(spark, {
             "batch": batch_id,
             "max_event_micros": most,
-            "null_event_times": state.get("null_event_times", 0) + record["measures"]["nulls"],
+            "null_event_times": state.get("null_event_times", 0) + (record["measures"]["nulls"] or 0),
             "pending": [p for p in pending_list if tuple(p[c] for c in self.partition_cols) not in ready_keys],
             "committed": state.get("committed", 0) + len(ready),
         })

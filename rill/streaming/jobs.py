@@ -2,6 +2,9 @@
 
 * ``url_summary_job``: metric JSON topic -> 5 s counts per url under a
   2 s watermark -> ``{"f0":url,"f1":count}`` to a topic (or any sink).
+* ``url_count_table_job``: the same counts into a table, late rows into
+  another, windows and watermark on one clock or two.
+* ``monotone_time_job``: event time that never goes back, per topic partition.
 * ``site_count_job``: text access-log JSON -> 20 s counts per site under
   a 15 s watermark -> access-count table.
 * ``access_log_job``: access-log JSON (lenient) -> filtered, renamed,
@@ -19,11 +22,12 @@ from pyspark.sql import functions as F
 
 from rill import schemas
 from rill.functions.json import parse_messages
-from rill.functions.time import epoch_millis_to_seconds
+from rill.functions.time import epoch_millis_to_seconds, millis_to_timestamp
 from rill.operators.projection import select_all
 from rill.plans.catalog import print_schema, register_view, use_database
 from rill.plans import jobs
 from rill.streaming.commit import PartitionCommitSink
+from rill.streaming.event_time import EventTimeWindowSink, MonotoneTimeSink, counted
 from rill.streaming.sinks import TableAppendSink, for_each_batch, to_console, to_topic
 
 
@@ -55,6 +59,48 @@ def url_summary_job(
                     trigger=trigger, available_now=available_now)
 
 
+def url_count_table_job(
+    topic: DataFrame, table: str, checkpoint: str, *, late_table: str | None = None,
+    window_on: str = "payload", watermark_on: str = "payload",
+    size: str = schemas.URL_COUNT_WINDOW, delay: str = schemas.URL_COUNT_DELAY, closing_rule: str = "host",
+    lenient: bool = False, trigger: str = "5 seconds", available_now: bool = False,
+):
+    """Url counts into ``table``, rows behind the watermark into ``late_table``.
+
+    Windows and watermark each follow the ``'payload'`` time (the message's
+    epoch-ms field) or the ``'record'`` time (the topic's); the host's job
+    windows on the record and lets the payload move the watermark. Late rows
+    carry url, payload time, record time, window bounds and watermark.
+    """
+    clocks = {"payload": "payload_time", "record": "record_time"}
+    topic = topic.withColumnRenamed("timestamp", "record_time")
+    metrics = parse_messages(topic, schemas.METRIC, lenient=lenient, keep=("record_time",))
+    rows = metrics.select("url", millis_to_timestamp("timestamp").alias("payload_time"), F.col("record_time").cast("timestamp_ntz"))
+    sink = EventTimeWindowSink(
+        table, checkpoint, window_time=clocks[window_on], watermark_time=clocks[watermark_on], size=size, delay=delay,
+        keys=["url"], aggs={"cnt": counted()}, late_table=late_table,
+        late_cols=["url", "payload_time", "record_time"], closing_rule=closing_rule,
+    )
+    return for_each_batch(rows, sink, checkpoint, trigger=trigger, available_now=available_now)
+
+
+def monotone_time_job(
+    topic: DataFrame, table: str, checkpoint: str, *, delay: str = schemas.URL_COUNT_DELAY,
+    lenient: bool = False, trigger: str = "5 seconds", available_now: bool = False,
+):
+    """Metric messages stamped with the largest payload time seen so far in their topic partition.
+
+    Columns: offset, partition, payload time, monotone time, watermark.
+    """
+    metrics = parse_messages(topic, schemas.METRIC, lenient=lenient, keep=("partition", "offset"))
+    rows = metrics.select("offset", "partition", millis_to_timestamp("timestamp").alias("payload_time"))
+    sink = MonotoneTimeSink(
+        table, checkpoint, time_col="payload_time", order_cols=["offset"], delay=delay,
+        id_cols=["offset"], partition_cols=["partition"],
+    )
+    return for_each_batch(rows, sink, checkpoint, trigger=trigger, available_now=available_now)
+
+
 def site_count_frame(
     topic: DataFrame, *, size: str = schemas.SITE_COUNT_WINDOW,
     delay: str = schemas.ACCESS_LOG_DELAY, lenient: bool = False,

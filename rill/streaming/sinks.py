@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from rill.operators.projection import insert_by_position
 from rill.plans.catalog import add_partitions, refresh, table_location
+from rill.streaming import fs
 from rill.streaming.staging import BatchLog, StagedBatch, partitions_of
 
 
@@ -177,14 +178,32 @@ class JdbcAppendSink:
 
 class CompleteResultSink:
     """foreachBatch for complete output: each micro-batch carries the whole
-    (small, aggregated) result, so it replaces the folder. Update output
-    carries changed groups only and is refused by ``for_each_batch``."""
+    (small, aggregated) result. It is written to a folder of its own and
+    replaces the one before by the rename that saves the batch log, so a
+    reader (``read_complete``) or a crash never meets a missing result. Update
+    output carries changed groups only: use ``rill.streaming.upsert``."""
 
     def __init__(self, path: str, fmt: str = "parquet"):
-        self.path, self.fmt = path, fmt
+        self.path, self.fmt = path.rstrip("/"), fmt
+        self.log = BatchLog(self.path, "_log")
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.write.mode("overwrite").format(self.fmt).save(self.path)
+        spark = batch_df.sparkSession
+        state = self.log.load(spark)
+        if BatchLog.done(state, batch_id):
+            return
+        batch_df.write.mode("overwrite").format(self.fmt).save(f"{self.path}/{batch_id}")
+        self.log.save(spark, {"batch": batch_id, "before": state["batch"], "format": self.fmt})
+        if state.get("before") is not None:  # the one before stays for readers that have begun
+            fs.delete(spark, f"{self.path}/{state['before']}")
+
+
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole result of a ``CompleteResultSink``."""
+    state = BatchLog(path, "_log").load(spark)
+    if state["batch"] is None:
+        raise FileNotFoundError(f"no result has been written to {path}")
+    return spark.read.format(state["format"]).load(f"{path.rstrip('/')}/{state['batch']}")
 
 
 def for_each_batch(

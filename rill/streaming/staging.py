@@ -23,7 +23,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rill.operators.layout import keep_small_merges_parallel, rebalanced
+from rill.operators.layout import keep_observations, keep_small_merges_parallel, rebalanced
 from rill.streaming import fs
 
 # Fixed value: folder name of a NULL partition value.
@@ -59,6 +59,11 @@ class BatchLog:
         return state.get("batch") is not None and batch_id <= state["batch"]
 
 
+def observed(seen: Observation) -> dict:
+    """The metrics; none if the frame was known to be empty, as its plan is then optimised away."""
+    return dict(seen.get) if seen._jo.getRow().length() else {}
+
+
 class StagedBatch:
     """One micro-batch on its way into ``location``."""
 
@@ -80,6 +85,7 @@ class StagedBatch:
         if known:
             return json.loads(known)
         keep_small_merges_parallel(df.sparkSession)
+        keep_observations(df.sparkSession)
         seen = Observation()
         kept = F.coalesce(keep, F.lit(False)) if keep is not None else F.lit(True)
         measured = df.observe(
@@ -88,8 +94,8 @@ class StagedBatch:
         rows = (measured.where(kept) if keep is not None else measured).drop(*drop)
         writer = rebalanced(rows, partition_cols).write.mode("overwrite")
         (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(self.folder)
-        values = dict(seen.get)
-        files = fs.list_files(self.spark, self.folder, len(partition_cols)) if values.pop("__rows") else []
+        values = {**dict.fromkeys(measures or {}), **observed(seen)}
+        files = fs.list_files(self.spark, self.folder, len(partition_cols)) if values.pop("__rows", 0) else []
         record = {"files": files, "measures": values}
         fs.write_text(self.spark, self.record, json.dumps(record))
         return record

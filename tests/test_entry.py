@@ -14,6 +14,8 @@ FAST = [
     "site_count_20s_sql", "product_like_sum_stream", "url_count_2s", "product_like_files",
     "site_count_20s_table", "order_copy_stream", "pv_per_user_1m_stream",
     "access_log_hive_stream", "access_log_committed", "hourly_order_committed",
+    "host_mem_median_1d", "late_rows_stream", "url_count_two_clocks_stream", "monotone_event_time_stream",
+    "product_sum_by_brand_stream", "url_count_5s_rocksdb_stream", "event_time_totals_stream",
 ]
 
 

@@ -155,3 +155,14 @@ def test_console_prints_every_row(spark, tmp_dir, capsys):
     run(sjobs.tail_job(_stream(spark, src), available_now=True))
     lines = [x for x in capsys.readouterr().out.splitlines() if "view" in x]
     assert len(lines) == 1000
+
+
+def test_a_batch_whose_rows_are_all_filtered_out_moves_the_watermark(spark, tmp_dir):
+    """Nothing of the second batch is kept, yet its times publish the partitions of the first."""
+    src, ck, loc = f"{tmp_dir}/in", f"{tmp_dir}/ck", f"{tmp_dir}/table"
+    _write_batch(src, "b0", [_event(0, _at(5)), _event(1, None)])
+    _write_batch(src, "b1", [_event(2, _at(500), k=0), _event(3, None, k=0)])
+    table = _table(spark, "filtered", loc, properties=MINUTE_COMMIT_PROPERTIES)
+    run(sjobs.access_log_job(replay.access_log_topic(_stream(spark, src)), table, ck, available_now=True))
+    assert [r["groupon_id"] for r in spark.table(table).collect()] == [0]
+    assert BatchLog(ck, "commit-state").load(spark)["null_event_times"] == 2

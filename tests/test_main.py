@@ -30,6 +30,20 @@ def test_url_summary_job_from_files(spark, tmp_dir):
     assert lines and all(l.startswith('{"f0":"') for l in lines)
 
 
+def test_url_counts_and_monotone_time_jobs(spark, tmp_dir, capsys):
+    """Recorded metrics need a record time only where it is asked for; totals go on over two runs."""
+    events = read_table(spark, SF_SMALL, "events")
+    replay.metric_topic(events).select("value", "partition", "offset", "timestamp").write.parquet(f"{tmp_dir}/msgs")
+    for _ in range(2):
+        main(["url-counts", "--path", f"{tmp_dir}/msgs", "--format", "parquet", "--database", "rill_main", "--table", "urls_a",
+              "--late-table", "urls_late", "--checkpoint", f"{tmp_dir}/ck", "--available-now"])
+        assert f"rows {events.count()}" in capsys.readouterr().err
+    assert 0 < spark.table("rill_main.urls_a").count() <= events.count() and spark.table("rill_main.urls_late").count() == 0
+    main(["monotone-time", "--path", f"{tmp_dir}/msgs", "--format", "parquet", "--database", "rill_main", "--table", "mono_a",
+          "--checkpoint", f"{tmp_dir}/ck2", "--available-now"])
+    assert spark.table("rill_main.mono_a").where("monotone_ts >= payload_time").count() == events.count()
+
+
 def test_tracked_urls_from_parquet(spark, tmp_dir):
     main(["tracked-urls", "--path", f"{SF_SMALL}/pages.parquet", "--format", "parquet",
           "--sink-path", f"{tmp_dir}/urls"])
