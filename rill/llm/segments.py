@@ -11,21 +11,27 @@ Queries meet all rows in blocks: rows and queries are dealt into blocks of
 bounded size, every (query block, row block) is one group, and the groups'
 best k are merged per query.
 
-Defined results: vectors that are null, empty, or hold null, non-finite or
-out-of-range components (2**20 and more) take no part, nor do rows without an
-id; vectors of different lengths are compared as if padded with zeros; a query
-never meets its own row but meets other rows with its id; ties go to the
-smaller id; repeated rows are rows of their own; without queries or candidates
-the result is empty; other columns are not read.
+Bounds are floats with a slack in proportion to both norms; a score is exact,
+in floats where both norms leave room for that, else in Python integers.
+
+Defined results: vectors that are null or hold null or non-finite components
+take no part, nor do rows without an id; finite components may be of any size,
+a score beyond a long is null and ranked exactly all the same; an empty vector
+scores 0 with every other; vectors of different lengths are compared as if
+padded with zeros; a query never meets its own row but meets other rows with
+its id; ties go to the smaller id; repeated rows are rows of their own; without
+queries or candidates the result is empty; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rill.llm.common import let_workers_import, schema
+from rill.llm.common import let_workers_import
 
 #: Segments of the resolutions, coarse to fine.
 RESOLUTIONS = (4, 16)
@@ -33,6 +39,14 @@ RESOLUTIONS = (4, 16)
 ROW_BLOCK, QUERY_BLOCK = 2_048, 2_048
 #: Pairs whose components are held at once.
 PAIRS = 1 << 14
+#: Components are scaled by this and rounded down.
+SCALE = 256
+#: Scores below this (in absolute value, with all their partial sums) are exact in floats.
+EXACT = 2.0**52
+#: Relative error allowed to bounds, per product of norms.
+SLACK = 1e-9
+#: Bits of a limb of a ranking key.
+LIMB = 62
 
 
 def summaries(x: np.ndarray, segments: int) -> np.ndarray:
@@ -45,63 +59,86 @@ def summaries(x: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([sums / np.sqrt(sizes), np.sqrt(spread)], axis=1)
 
 
-def quantised(column: pa.ChunkedArray) -> np.ndarray:
-    """floor(256 * x) of a list column as a dense matrix, padded with zeros."""
+def components(column: pa.ChunkedArray) -> np.ndarray:
+    """A list column as a dense matrix, padded with zeros."""
     lists = column.combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
-    flat = np.floor(256.0 * lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
-    out = np.zeros((len(sizes), int(sizes.max(initial=1))))
-    out[np.arange(out.shape[1]) < sizes[:, None]] = flat
+    out = np.zeros((len(sizes), max(1, int(sizes.max(initial=0)))))
+    out[np.arange(out.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return out
 
 
-def block_top_k(q: np.ndarray, q_row: np.ndarray, x: np.ndarray, x_id: np.ndarray, x_row: np.ndarray, k: int):
-    """(query index, row index, score) of the k best rows of each query in a block, ties to smaller ids."""
-    width = max(q.shape[1], x.shape[1])
-    q, x = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, x))
-    exact = np.float64 if width * max(1.0, np.abs(q).max()) * max(1.0, np.abs(x).max()) < 2**52 else object
-    levels = [(summaries(q, s), summaries(x, s)) for s in RESOLUTIONS]
-    out = []
-    for at in range(0, len(q), 256):
-        part = slice(at, min(at + 256, len(q)))
-        own = q_row[part, None] == x_row[None, :]
-        bound = levels[0][0][part] @ levels[0][1].T
-        slack = 0.5 + 1e-9 * np.abs(bound)  # scores are whole numbers; rounding stays far below
-        bound[own] = -np.inf
-        n = min(k, len(x))
-        # exact scores of the rows with the best coarse bounds give each query a first threshold
-        first = np.argpartition(-bound, n - 1, axis=1)[:, :n]
-        seeds = np.einsum("qd,qnd->qn", q[part], x[first])
-        seeds[np.take_along_axis(own, first, 1)] = -np.inf
-        reach = seeds.min(axis=1) if n == k else np.full(len(first), -np.inf)
-        qi, xi = np.nonzero((bound + slack >= reach[:, None]) & ~own)
-        for fine_q, fine_x in levels[1:]:
-            keep = np.zeros(len(qi), dtype=bool)
+def whole(v: float) -> int:
+    """floor(SCALE * v), exact at any size."""
+    return int(v) * SCALE if abs(v) >= 2.0**53 else math.floor(v * SCALE)
+
+
+def ranking_key(score: int) -> list[int]:
+    """A list that orders as the score does: signed number of limbs, then the limbs from the top one, which has the sign."""
+    limbs = []
+    while not -(1 << LIMB) <= score < 1 << LIMB:
+        limbs.append(score & ((1 << LIMB) - 1))
+        score >>= LIMB
+    limbs.append(score)
+    return [len(limbs) if score >= 0 else -len(limbs), *reversed(limbs)]
+
+
+def block_top_k(q_raw: np.ndarray, q_row: np.ndarray, x_raw: np.ndarray, x_id: np.ndarray, x_row: np.ndarray, k: int):
+    """(query index, row index, score) lists of the k best rows of each query in a block, ties to smaller ids."""
+    width = max(q_raw.shape[1], x_raw.shape[1])
+    q_raw, x_raw = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q_raw, x_raw))
+    out_q, out_x, out_scores = [], [], []
+    with np.errstate(over="ignore", invalid="ignore"):  # bounds that overflow keep their pairs
+        q, x = np.floor(q_raw * SCALE), np.floor(x_raw * SCALE)
+        q_norm, x_norm = (np.sqrt((m * m).sum(1)) for m in (q, x))
+        levels = [(summaries(q, s), summaries(x, s)) for s in RESOLUTIONS]
+        for at in range(0, len(q), 256):
+            part = slice(at, min(at + 256, len(q)))
+            own = q_row[part, None] == x_row[None, :]
+            slack = 0.5 + SLACK * q_norm[part, None] * x_norm[None, :]  # scores are whole numbers; rounding stays far below
+            bound = levels[0][0][part] @ levels[0][1].T + slack
+            bound[np.isnan(bound)] = np.inf
+            bound[own] = -np.inf
+            n = min(k, len(x))
+            # scores of the rows with the best coarse bounds give each query a first threshold
+            first = np.argpartition(-bound, n - 1, axis=1)[:, :n]
+            seeds = np.einsum("qd,qnd->qn", q[part], x[first]) - np.take_along_axis(slack, first, 1)
+            seeds[np.take_along_axis(own, first, 1) | np.isnan(seeds)] = -np.inf
+            reach = seeds.min(axis=1) if n == k else np.full(len(first), -np.inf)
+            qi, xi = np.nonzero((bound >= reach[:, None]) & ~own)
+            for fine_q, fine_x in levels[1:]:
+                keep = np.zeros(len(qi), dtype=bool)
+                for p in range(0, len(qi), PAIRS):
+                    a, b = qi[p:p + PAIRS], xi[p:p + PAIRS]
+                    bounds = np.einsum("pd,pd->p", fine_q[at + a], fine_x[b]) + slack[a, b]
+                    keep[p:p + PAIRS] = np.isnan(bounds) | (bounds >= reach[a])
+                qi, xi = qi[keep], xi[keep]
+            scores = np.zeros(len(qi), dtype=np.int64)
+            narrow = q_norm[at + qi] * x_norm[xi] < EXACT
             for p in range(0, len(qi), PAIRS):
-                a, b = qi[p:p + PAIRS], xi[p:p + PAIRS]
-                bounds = np.einsum("pd,pd->p", fine_q[at + a], fine_x[b])
-                keep[p:p + PAIRS] = bounds + 0.5 + 1e-9 * np.abs(bounds) >= reach[a]
-            qi, xi = qi[keep], xi[keep]
-        scores = np.empty(len(qi), dtype=np.int64)
-        for p in range(0, len(qi), PAIRS):
-            a, b = q[at + qi[p:p + PAIRS]], x[xi[p:p + PAIRS]]
-            if exact is object:
-                scores[p:p + PAIRS] = (a.astype(np.int64) * b.astype(np.int64)).sum(1)
+                fit = p + np.flatnonzero(narrow[p:p + PAIRS])
+                scores[fit] = np.einsum("pd,pd->p", q[at + qi[fit]], x[xi[fit]]).astype(np.int64)
+            if narrow.all():
+                order = np.lexsort((x_id[xi], -scores, qi))
             else:
-                scores[p:p + PAIRS] = np.einsum("pd,pd->p", a, b).astype(np.int64)
-        order = np.lexsort((x_id[xi], -scores, qi))
-        qi, xi, scores = qi[order], xi[order], scores[order]
-        new = np.r_[True, qi[1:] != qi[:-1]] if len(qi) else np.zeros(0, dtype=bool)
-        place = np.arange(len(qi)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(qi) else qi
-        best = place < k
-        out.append((at + qi[best], xi[best], scores[best]))
-    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, dtype=int),) * 3
+                scores = scores.astype(object)
+                for p in np.flatnonzero(~narrow):
+                    scores[p] = sum(whole(a) * whole(b) for a, b in zip(q_raw[at + qi[p]].tolist(), x_raw[xi[p]].tolist()) if a and b)
+                order = np.array(sorted(range(len(qi)), key=lambda p: (qi[p], -scores[p], x_id[xi[p]])), dtype=np.int64)
+            qi, xi, scores = qi[order], xi[order], scores[order]
+            new = np.r_[True, qi[1:] != qi[:-1]] if len(qi) else np.zeros(0, dtype=bool)
+            place = np.arange(len(qi)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(qi) else qi
+            best = place < k
+            out_q.extend((at + qi[best]).tolist())
+            out_x.extend(xi[best].tolist())
+            out_scores.extend(scores[best].tolist())
+    return out_q, out_x, out_scores
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of each row with ``is_query``."""
-    fit = F.forall(vector_col, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < 2.0**20))
-    rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0)).where(fit).select(
+    fit = F.forall(vector_col, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where(fit).select(
         F.col(id_col).alias("vec_id"), F.col(vector_col).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
@@ -118,7 +155,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
         .withColumn("at", F.explode(F.when(F.col("asks"), F.concat(as_row, as_query)).otherwise(as_row)))
         .select("at.query_block", "at.row_block", "at.query", "row_no", "vec_id", "v")
     )
-    arrow = pa.schema([(n, pa.int64()) for n in ("query_no", "query_id", "vec_id", "score")])
+    arrow = pa.schema([*((n, pa.int64()) for n in ("query_no", "query_id", "vec_id", "score")), ("key", pa.list_(pa.int64()))])
     let_workers_import(vectors.sparkSession)
 
     def search(group: pa.Table) -> pa.Table:
@@ -127,13 +164,16 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
             return arrow.empty_table()
         q, x = group.filter(pa.array(query)), group.filter(pa.array(~query))
         ids = lambda t, c: t.column(c).to_numpy()
-        qi, xi, score = block_top_k(
-            quantised(q.column("v")), ids(q, "row_no"), quantised(x.column("v")), ids(x, "vec_id"), ids(x, "row_no"), k
+        qi, xi, scores = block_top_k(
+            components(q.column("v")), ids(q, "row_no"), components(x.column("v")), ids(x, "vec_id"), ids(x, "row_no"), k
         )
-        return pa.table([ids(q, "row_no")[qi], ids(q, "vec_id")[qi], ids(x, "vec_id")[xi], score], schema=arrow)
+        fits = [v if -(1 << 63) <= v < 1 << 63 else None for v in scores]
+        columns = (ids(q, "row_no")[qi], ids(q, "vec_id")[qi], ids(x, "vec_id")[xi], fits, list(map(ranking_key, scores)))
+        return pa.table([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    kinds = schema("query_no long,query_id long,vec_id long,score long")
-    found = dealt.groupBy("query_block", "row_block").applyInArrow(search, kinds)
-    w = Window.partitionBy("query_no").orderBy(F.desc("score"), "vec_id")  # k rows of each row block
+    found = dealt.groupBy("query_block", "row_block").applyInArrow(
+        search, "query_no long, query_id long, vec_id long, score long, key array<long>"
+    )
+    w = Window.partitionBy("query_no").orderBy(F.desc("key"), "vec_id")  # k rows of each row block
     ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
