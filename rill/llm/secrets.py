@@ -34,7 +34,7 @@ HEX_ALPHABET = "0123456789abcdef"
 BASE64_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 WINDOW = 20
 THRESHOLDS = {"hex": 2.95, "base64": 3.85}
-ALLOWED = r"(?i)example|sample|dummy|placeholder|changeme|xxxx|0123456789|abcdefgh|deadbeef"
+ALLOWED = r"(?i)example|sample|dummy|placeholder|changeme|x{4,}|0123456789|abcdefgh|deadbeef"
 
 _RUN = 256  # elements of an inner prefix sum; keeps array building linear
 
@@ -167,20 +167,35 @@ def _windows(chars: Column, alphabet: str, threshold: float) -> Column:
     return let(codes, lambda c: F.aggregate(c, start, step(c), finish))
 
 
+def unlisted(found: Column) -> Column:
+    """Parts of the candidates between strings of the allow-list that hold a window: array<struct<start, part, hex>>.
+
+    A window overlaps no allowed string if and only if it lies in one part.
+    """
+    def parts(m: Column) -> Column:
+        is_hex = m["hit"].rlike(r"\A(?:[0-9a-f]+|[0-9A-F]+)\z")
+        part = lambda at, text: F.struct((m["start"] + at).cast("int").alias("start"), text.alias("part"), is_hex.alias("hex"))
+        listed = located(m["hit"], ALLOWED, F.regexp_extract_all(m["hit"], F.lit(ALLOWED), F.lit(0)))
+        cut = let(F.transform(listed, lambda x: x["start"] + F.length(x["hit"])), lambda ends: F.transform(
+            F.split(m["hit"], ALLOWED, -1), lambda g, k: part(F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1)), g)
+        ))
+        return F.when(m["hit"].rlike(ALLOWED), cut).otherwise(F.array(part(F.lit(0), m["hit"])))
+
+    return F.filter(F.flatten(F.transform(found, parts)), lambda p: F.length(p["part"]) >= WINDOW)
+
+
 def entropy_spans(text: Column) -> Column:
     found = located(text, CANDIDATE, F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
-    mixed = lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]")
-    kept = F.filter(found, lambda m: mixed(m) & ~m["hit"].rlike(ALLOWED))
+    mixed = F.filter(found, lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]"))
 
-    def of(m: Column) -> Column:
-        is_hex = m["hit"].rlike(r"\A(?:[0-9a-f]+|[0-9A-F]+)\z")
-        chars = F.split(m["hit"], "")
-        ranges = F.when(is_hex, _windows(F.transform(chars, F.lower), HEX_ALPHABET, THRESHOLDS["hex"])).otherwise(
+    def of(p: Column) -> Column:
+        chars = F.split(p["part"], "")
+        ranges = F.when(p["hex"], _windows(F.transform(chars, F.lower), HEX_ALPHABET, THRESHOLDS["hex"])).otherwise(
             _windows(chars, BASE64_ALPHABET, THRESHOLDS["base64"])
         )
-        return F.transform(ranges, lambda r: _span(m["start"] + r["lo"], m["start"] + r["hi"], "entropy"))
+        return F.transform(ranges, lambda r: _span(p["start"] + r["lo"], p["start"] + r["hi"], "entropy"))
 
-    return _guarded(text, CANDIDATE, F.flatten(F.transform(kept, of)))
+    return _guarded(text, CANDIDATE, F.flatten(F.transform(unlisted(mixed), of)))
 
 
 def joined(spans: Column) -> Column:
