@@ -16,8 +16,10 @@ never read. Texts are scored whole.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -29,11 +31,14 @@ from rill.llm.common import SLICE_ROWS, let_workers_import, map_rows, reliable,
 
 # Look-alike letters and digit substitutions, folded before matching.
 LOOK_ALIKES = {
-    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j",
-    "α": "a", "ε": "e", "ι": "i", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "ν": "v", "κ": "k",
+    "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x",
+    "і": "i", "ѕ": "s", "ј": "j", "ԁ": "d", "һ": "h", "ӏ": "l", "ԛ": "q", "ԝ": "w", "ү": "y", "ь": "b",
+    "α": "a", "β": "b", "γ": "y", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "τ": "t",
+    "υ": "u", "χ": "x", "ω": "w", "օ": "o", "ո": "n", "ս": "u", "հ": "h", "զ": "q",
+    "ɑ": "a", "ɡ": "g", "ı": "i", "ɩ": "i", "ʟ": "l", "ɴ": "n", "ʀ": "r", "ꜱ": "s", "ᴜ": "u", "ᴠ": "v", "ø": "o", "ł": "l", "đ": "d",
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s",
 }
-# Harmless phrases whose words would otherwise count.
+# Harmless phrases whose words would otherwise count; more are learned.
 EXCEPTIONS = ("clown fish", "clown car", "trash can", "trash bin", "pathetic fallacy", "pond scum")
 
 #: Longest learned word beginning, in letters; shorter ones down to PREFIX_MIN.
@@ -42,12 +47,19 @@ PREFIX_MIN, PREFIX_MAX = 4, 6
 SAMPLE_PER_CLASS = 6_000
 #: Training documents that must hold a term, and its least weight.
 MIN_DOCS, MIN_WEIGHT = 3, 2.0
+#: Letters of the shortest term, a whole word.
+SHORTEST = 3
 #: Chosen terms after which a training document asks for no more.
 DEMAND = 8
 #: Powers of the length tried by the fit.
 POWERS = (0.05, 0.1, 0.25, 0.5)
 
-_FOLD = str.maketrans(LOOK_ALIKES)
+_FOLD = str.maketrans({k: v for k, v in LOOK_ALIKES.items() if k.isalpha()})
+_SIGNS = str.maketrans({k: v for k, v in LOOK_ALIKES.items() if not k.isalpha()})
+#: Runs of digits and signs beside a letter; they are folded if all of them stand for letters.
+_BESIDE = re.compile(r"(?<=[^\W\d_])[0-9@$]+|[0-9@$]+(?=[^\W\d_])")
+#: Marks without width: soft hyphens, joiners, direction marks, variation selectors.
+_NO_WIDTH = re.compile("[\u00ad\u034f\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufe00-\ufe0f\ufeff]")
 _GAP = re.compile(r"[\W_]+")
 SCORES = "doc_id long,score double,n_hits long"
 
@@ -69,13 +81,23 @@ class Lexicon:
 def fold(text: str | None) -> str:
     """Lower case, look-alikes replaced, every gap one space, a space around.
 
-    Digits count as letters only beside a letter: numbers alone stay numbers.
+    Letters of other widths and styles become plain ones (NFKC) and marks
+    without width go. Digits and signs count as letters only beside a letter
+    and only if the whole run of them stands for letters: numbers stay numbers.
     """
     if not text:
         return "  "
-    text = text.lower()
-    plain = _GAP.sub(" ", text.translate(_FOLD))
-    return f" {plain} "
+    if not text.isascii():
+        text = _NO_WIDTH.sub("", unicodedata.normalize("NFKC", text)).lower().translate(_FOLD)
+    else:
+        text = text.lower()
+    plain = _BESIDE.sub(_letters, text)
+    return f" {_GAP.sub(' ', plain)} "
+
+
+def _letters(run: re.Match) -> str:
+    out = run[0].translate(_SIGNS)
+    return out if out.isalpha() else run[0]
 
 
 class Matcher:
@@ -152,7 +174,9 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS
     # at most about 2 * per_class ids and flags: a proven bound
     texts = docs.select(F.col("doc_id").alias("llm_doc"), F.col("text").alias("llm_text"))
     joined = texts.join(F.broadcast(picked), F.col("llm_doc") == F.col("llm_id"))
-    return joined.select(F.col("llm_text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    # one row of each id, whatever repeats: partial minima per task
+    one = joined.groupBy("llm_id", "toxic").agg(F.min_by("llm_text", F.struct(F.xxhash64("llm_text"), F.length("llm_text"))).alias("text"))
+    return one.select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
 def _count_terms():
@@ -199,6 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
         (sorted(t for t in terms_of(x) if t in weights), f) for x, f in zip(texts, flags)
     ], _held_schema()).where("toxic = 1").collect()
     lexicon = Lexicon(cover([set(r["terms"]) for r in held], weights))
+    lexicon.exceptions = tuple(sorted({*EXCEPTIONS, *learned_exceptions(rows, lexicon)}))
     return calibrate(rows, lexicon)
 
 
@@ -220,23 +245,70 @@ def cover(docs: list[set[str]], weights: dict[str, float]) -> dict[str, float]:
     for i, d in enumerate(docs):
         for t in d:
             holders.setdefault(t, []).append(i)
+    stems: dict[str, set[str]] = {}  # terms by their first letters: those that one beginning contains or extends
+    for t in left:
+        stems.setdefault(t.strip()[:SHORTEST], set()).add(t)
     marks, chosen = [0] * len(docs), {}
-    while left:
-        # of equally good terms the longer one, which says more
-        term = max(left, key=lambda t: (left[t] * weights[t], len(t), t))
+    # of equally good terms the longer one, which says more; worth only falls, so an old entry is put back with its new one
+    order = lambda t: (-left[t] * weights[t], -len(t), _Falling(t))
+    queue = [(order(t), t) for t in left]
+    heapq.heapify(queue)
+    while queue:
+        known, term = heapq.heappop(queue)
+        if term not in left:
+            continue
+        if (now := order(term)) != known:
+            heapq.heappush(queue, (now, term))
+            continue
         if left[term] < MIN_DOCS:
             break
         chosen[term] = weights[term]
         for i in holders[term]:
             marks[i] += 1
             if marks[i] == DEMAND:
-                left.subtract(docs[i])
+                left.subtract(t for t in docs[i] if t in left)
         stem = term.strip()
-        for t in [t for t in left if t.strip().startswith(stem) or stem.startswith(t.strip())]:
-            del left[t]
+        for t in [t for t in stems[stem[:SHORTEST]] if t.strip().startswith(stem) or stem.startswith(t.strip())]:
+            left.pop(t, None)
+            stems[stem[:SHORTEST]].discard(t)
     return chosen
 
 
+class _Falling(str):
+    """Text in falling order."""
+
+    def __lt__(self, other: str) -> bool:
+        return str.__gt__(self, other)
+
+
+def learned_exceptions(rows: DataFrame, lexicon: Lexicon) -> tuple[str, ...]:
+    """Pairs of words around a hit that ``MIN_DOCS`` or more clean sampled rows hold and no toxic one."""
+    def make():
+        m = lexicon.matcher()
+        known: dict[str, bool] = {}
+
+        def hit(word: str) -> bool:
+            if word not in known:
+                if len(known) > 200_000:
+                    known.clear()
+                known[word] = bool(m.hits(f" {word} "))
+            return known[word]
+
+        def count(texts, flags):
+            out = []
+            for text, flag in zip(texts, flags):
+                words = fold(text).split()
+                pairs = {f"{a} {b}" for a, b in zip(words, words[1:]) if hit(a) or hit(b)}
+                out += [(p, int(flag == 1), int(flag == 0)) for p in pairs]
+            return out
+
+        return count
+
+    pairs = map_rows(rows, make, schema("pair string,toxic long,clean long"))
+    pairs = pairs.groupBy("pair").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return tuple(sorted(r["pair"] for r in pairs.where((F.col("toxic") == 0) & (F.col("clean") >= MIN_DOCS)).collect()))
+
+
 def calibrate(rows: DataFrame, lexicon: Lexicon) -> Lexicon:
     """Fit slope, offset and length power on the sampled rows by Newton steps."""
     import numpy as np

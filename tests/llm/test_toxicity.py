@@ -83,3 +83,83 @@ def test_copied_families_do_not_push_words_out(spark, make_docs):
     lexicon = toxicity.fit(make_docs(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert any("grubby".startswith(t.strip()) for t in lexicon.terms)
     assert lexicon.matcher().score("calm grubby words")[0] >= 0.5 > lexicon.matcher().score("calm words")[0]
+
+
+def test_numbers_stay_numbers_and_disguises_fold():
+    assert toxicity.fold("455 people, $5, 2013") == " 455 people 5 2013 "
+    assert toxicity.fold("covid19 1d10t a55 5eat") == " covid19 idiot ass seat "
+    m = toxicity.Lexicon({" ass ": 5.0, " idiot ": 5.0}, power=0.1, slope=1.0, offset=-2.0).matcher()
+    hit = lambda t: m.evidence(t)[1]
+    assert hit("there were 455 seats") == hit("there were 456 seats") == 0 and hit("a55") == 1 and hit("@ss") == 1
+    for disguise in ("ｉｄｉｏｔ", "id\u200biot", "i\u00addiot", "\U0001d422\U0001d41d\U0001d422\U0001d428\U0001d42d", "ІDІОТ"):
+        assert hit(disguise) == 1, disguise
+    assert hit("naïve Übermaß 日本語 ½ ①") == 0
+
+
+def brute_hits(lexicon, text):
+    """Every term and exception tried at every place of the folded text."""
+    folded, best, shields = toxicity.fold(text), {}, []
+    for phrase in lexicon.exceptions:
+        p = f" {phrase} "
+        shields += [(i, i + len(p) - 1) for i in range(len(folded)) if folded.startswith(p, i)]
+    for i in range(len(folded)):
+        weights = [w for t, w in lexicon.terms.items() if folded.startswith(t, i)]
+        if weights and not any(a <= i < b for a, b in shields):
+            best[i] = max(weights)
+    return sorted(best.values())
+
+
+def test_matcher_equals_brute_force(spark, make_docs):
+    random.seed(11)
+    words = ["idiot", "1diot", "idiots", "clown", "fish", "vile", "vi1e", "455", "trash", "can", "the", "ｖile", "a\u200bb", "$", "...", "日本"]
+    lexicon = toxicity.Lexicon({" idiot ": 5.0, " idio": 2.0, " clown ": 3.0, " vile ": 4.0, " trash ": 1.0}, power=0.1, slope=1.0, offset=-2.0)
+    m = lexicon.matcher()
+    for _ in range(500):
+        text = random.choice([" ", "\n", ", "]).join(random.choices(words, k=random.randint(0, 25)))
+        assert sorted(m.hits(toxicity.fold(text))) == brute_hits(lexicon, text), text
+
+
+def slow_cover(docs, weights):
+    """The greedy choice with the best term looked for among all, each time."""
+    from collections import Counter
+
+    left, marks, chosen = Counter(t for d in docs for t in d), [0] * len(docs), {}
+    while left:
+        term = max(left, key=lambda t: (left[t] * weights[t], len(t), t))
+        if left[term] < toxicity.MIN_DOCS:
+            break
+        chosen[term] = weights[term]
+        for i, d in enumerate(docs):
+            if term in d:
+                marks[i] += 1
+                if marks[i] == toxicity.DEMAND:
+                    left.subtract(d & left.keys())
+        stem = term.strip()
+        for t in [t for t in left if t.strip().startswith(stem) or stem.startswith(t.strip())]:
+            del left[t]
+    return chosen
+
+
+def test_cover_equals_the_plain_greedy_choice():
+    random.seed(2)
+    vocab = ["".join(random.choices("abc", k=random.randint(3, 8))) for _ in range(150)]
+    for _ in range(20):
+        docs = [set().union(*(toxicity.terms_of(w) for w in random.choices(vocab, k=random.randint(1, 30)))) for _ in range(60)]
+        weights = {t: random.choice([2.0, 2.5, 3.0]) for d in docs for t in d}
+        assert toxicity.cover(docs, weights) == slow_cover(docs, weights)
+
+
+def test_exceptions_are_learned_from_clean_rows(spark, make_docs):
+    random.seed(3)
+    plain = [f"plain{i}" for i in range(200)]
+    docs, labels = [], []
+    for i in range(800):
+        words, toxic = random.choices(plain, k=20), int(i % 4 == 0)
+        words[7:7] = ["grubby"] if toxic else ["grubby", "mole"] if i % 20 == 1 else []
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    docs += [(4, "one id, many rows")] * 300
+    lexicon = toxicity.fit(make_docs(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert "grubby mole" in lexicon.exceptions
+    m = lexicon.matcher()
+    assert m.score("calm words and a grubby fellow")[0] >= 0.5 > m.score("calm words and a grubby mole")[0]
