@@ -2,10 +2,12 @@
 
 Texts are lower-cased (A-Z) and cut into words; an automaton over identifier
 tags and notice phrases finds all places where their words stand in a row.
-After each identifier tag the text's own line, up to the next tag, is read as a license expression:
+What follows an identifier tag that the automaton found, on its line or, if
+that ends there, the next one, is read as a license expression, up to the next tag:
 a shunting-yard parser orders ``and``, ``or``, ``with`` and parentheses, and
 the evaluation gives the labels and how far the terms restrict reuse: ``and``
-takes the stricter side, ``or`` the milder, ``with`` an exception that softens.
+takes the stricter side, ``or`` the milder, ``with`` an exception that softens;
+``/`` between identifiers counts as ``or``, a comma as ``and``.
 
 Defined results: null and empty texts have no words, labels or places and
 score 0; an expression that cannot be parsed counts as all its identifiers
@@ -53,6 +55,7 @@ IDENTIFIERS = {
     "mpl": "mpl", "epl": "epl", "bsl": "bsl", "cc-by": "cc-by", "cc-by-sa": "cc-by-sa", "cc-by-nc": "cc-by-nc",
     "cc0": "public-domain", "unlicense": "public-domain", "0bsd": "bsd",
 }
+LONGEST = max(map(len, IDENTIFIERS))
 # How far each label restricts reuse; others count as UNKNOWN.
 RESTRICTION = {
     "public-domain": 0.05, "mit": 0.1, "isc": 0.1, "bsd": 0.15, "bsl": 0.15, "apache": 0.2, "cc-by": 0.25,
@@ -65,15 +68,19 @@ UNKNOWN, EXCEPTION_FACTOR = 0.5, 0.8
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_TAGGED = re.compile(r"(?:spdx[^a-z0-9\n]{1,3}license[^a-z0-9\n]{1,3}identifier|license[^a-z0-9\n]{1,3}expression)[ \t]*[:=][ \t\"']*", re.I)
-_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+|\S")
+#: What may stand between a tag and its expression; on the way, one line end.
+_BEFORE = re.compile(r"[ \t:=\"'`*>#-]*(?:\r?\n[ \t:=\"'`*>#/-]*)?")
+_TOKEN = re.compile(r"[(),/]|[A-Za-z0-9.+:-]+|\S")
+_SIGN = {"/": "or", ",": "and"}
+#: The same words in the text itself.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _STRENGTH = {"or": 1, "and": 2, "with": 3}
 
 
 def label_of(identifier: str) -> str:
     """The family label of an identifier; itself in lower case if unknown."""
     name = identifier.lower().rstrip("+")
-    for n in range(len(name), 0, -1):
+    for n in range(min(len(name), LONGEST), 0, -1):
         if name[:n] in IDENTIFIERS and (n == len(name) or not name[n].isalpha()):
             return IDENTIFIERS[name[:n]]
     return name
@@ -82,7 +89,8 @@ def label_of(identifier: str) -> str:
 def tokens_of(line: str) -> list[str]:
     """The expression at the beginning of a line: up to where operands and operators stop taking turns."""
     out, operand, depth = [], True, 0
-    for t in _TOKEN.findall(line):
+    for found in _TOKEN.finditer(line):
+        t = _SIGN.get(found[0], found[0])
         low = t.lower()
         if t == "(" and operand:
             depth += 1
@@ -163,6 +171,18 @@ def automaton() -> ahocorasick.Automaton:
     return machine
 
 
+def tag_spans(text: str, places: list[int]) -> list[tuple[int, int]]:
+    """Code points of the tags whose first words have the given numbers: first, and behind the last word."""
+    wanted = {p + k: (p, k) for p in places for k in range(3)}
+    first: dict[int, int] = {}
+    ends: dict[int, int] = {}
+    for number, m in enumerate(_WORD.finditer(text)):
+        if number in wanted:
+            first[number], ends[number] = m.start(), m.end()
+    size = lambda p: 3 if text[first[p]:ends[p]].lower() == "spdx" else 2
+    return [(first[p], ends[p + size(p) - 1]) for p in places]
+
+
 def scan(text: str | None) -> dict:
     """Places, labels and score of one text."""
     words = text.encode().translate(_WORDS).split() if text else []
@@ -186,10 +206,12 @@ def scan(text: str | None) -> dict:
         more.add(label)
         score = max(score, RESTRICTION.get(label, UNKNOWN))
     if tagged:
-        tags = [m.span() for m in _TAGGED.finditer(text)]
-        for (_, begin), (upto, _) in zip(tags, [*tags[1:], (len(text), 0)]):
-            if (found := evaluate(text[begin:upto].partition("\n")[0])) is not None:
-                more |= {x.replace(",", "") for x in found[0]}
+        spans = tag_spans(text, [word for word, kind, _ in places if kind == "tag"])
+        for (_, begin), (upto, _) in zip(spans, [*spans[1:], (len(text), 0)]):
+            begin = min(upto, _BEFORE.match(text, begin).end())
+            stop = text.find("\n", begin, upto)
+            if (found := evaluate(text[begin:upto if stop < 0 else stop])) is not None:
+                more |= found[0]
                 score = max(score, found[1])
     return {"n_words": len(words), "starts": starts, "base": base, "labels": base | more, "score": score, "places": places}
 

@@ -43,6 +43,10 @@ def test_base_places_match_brute_force(make_docs):
     ("CC-BY-NC-4.0 text goes on", {"cc-by-nc"}, 0.8),
     ("MIT or (Apache-2.0 and", {"mit", "apache"}, 0.2),
     ("Odd-1.0", {"odd-1.0"}, 0.5),
+    ("MIT/Apache-2.0", {"mit", "apache"}, 0.1),
+    ("mit, apache-2.0", {"mit", "apache"}, 0.2),
+    ("MIT, and then some", {"mit"}, 0.1),
+    ("MIT / , x", {"mit"}, 0.1),
 ])
 def test_expressions(line, labels, score):
     got = licences.evaluate(line)
@@ -65,3 +69,27 @@ def test_every_tag_of_a_line_counts():
     assert s["labels"] == {"mit", "gpl"} and s["score"] == pytest.approx(0.75)
     s = licences.scan("x License-Expression: MIT SPDX-License-Identifier: Apache-2.0 OR MIT\nGPL; license expression = EPL-2.0")
     assert s["labels"] == {"mit", "apache", "epl"} and s["score"] == pytest.approx(0.45)
+
+
+def test_expressions_begin_at_the_tag_whatever_stands_between():
+    cases = {
+        "SPDX-License-Identifier MIT": {"mit"}, "SPDX-License-Identifier:\n  MIT OR GPL-2.0\nApache-2.0": {"mit", "gpl"},
+        "spdx  ---  LICENSE\nIdentifier = 'ISC'": {"isc"}, "license_expression: \"BSD-3-Clause\"": {"bsd"},
+        "# SPDX-License-Identifier:\r\n# MIT": {"mit"}, "SPDX-License-Identifier:": set(), "SPDX-License-Identifier:\n\nMIT": set(),
+        "日本 SPDX-License-Identifier: MIT": {"mit"}, "License Expression License-Expression: MPL-2.0": {"mpl"},
+    }
+    for text, labels in cases.items():
+        assert licences.scan(text)["labels"] == labels, text
+
+
+def test_a_very_long_identifier_takes_linear_time():
+    import time
+
+    def took(n):
+        start = time.process_time()
+        found = licences.scan("SPDX-License-Identifier: " + "a" * n)
+        assert len(found["labels"]) == 1
+        return time.process_time() - start
+
+    took(1_000)
+    assert took(1_600_000) < 40 * max(took(200_000), 0.01)
