@@ -4,14 +4,19 @@ Pass one scores each page's containers: the smallest container that holds
 nearly all of the page's text outside boilerplate, widened to the ancestors
 that add headlines, text of their own or further sections, gets the page's
 vote under its path of tags and classes, generalised by replacing digits.
-Spark sums the votes per host and path. Pass two reads every page again and
-extracts its text from all containers on the host's winning paths; a page
-without any of them falls back on its own best container.
-
-Votes are sums per (host, path), aggregated before the shuffle, so a host with
-a third of all pages costs one row per task. The winners (a few paths a host)
-are written to the shared folder; Spark broadcasts them only if their measured
-size is below its threshold and otherwise joins by host and splits hot hosts.
+Spark sums, for each host and path, the votes and the pages that have such a
+container with text in it. A path wins if half of the pages that have it vote
+for it; one that most of them pass over (a comment area, a teaser) loses,
+whatever single pages say. Pass two reads every page again. A page whose own
+vote went to a winning path is extracted by it, so a rarer template keeps its
+articles; one whose own vote lost takes all its containers on the host's
+strongest winning paths, and only without any of them its own best container.
+
+Sums are per (host, path), aggregated before the shuffle, so a host with a
+third of all pages costs one row for each of its paths and task. What pass two
+needs of a host (its strongest paths, the numbers of its losing ones) is
+written to the shared folder; Spark broadcasts it only if its measured size is
+below its threshold and otherwise joins by host and splits hot hosts.
 
 Defined results: null or empty html gives an empty text; a null or malformed
 url belongs to the host ``""``; repeated rows repeat and vote again; ties
@@ -23,9 +28,11 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Container
 from dataclasses import dataclass, field
 
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rill.llm.common import map_rows, schema
@@ -39,7 +46,9 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINER = frozenset("article blockquote body center div main section table tbody td tr".split())
-BOILERPLATE = frozenset("aside button dialog footer form header label menu nav".split())
+BOILERPLATE = frozenset("aside button dialog footer label menu nav".split())
+# Boilerplate by their tag, unless they hold most of the text or (headers) stand in an article.
+WRAPPERS = frozenset(["form", "header"])
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "tr": ("tr", "td", "th", "p"), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "option": ("option",)}
 # Names in class, id or role that mark boilerplate, alone or at the end of a joined name.
 MARKS = frozenset(
@@ -63,36 +72,74 @@ MOST = 0.75
 HOLDS = 0.95
 #: Containers that say nothing of what they hold: beside the chosen one they count only with a headline or the same classes.
 PLAIN = frozenset("center div td".split())
-#: Winning paths kept per host, and the least share of the host's votes of each.
+#: Share of the pages with a container that must vote for its path.
+WINS = 0.5
+#: Winning paths of a host that its other pages follow, and the least share of the host's votes of each.
 PATHS_PER_HOST, LEAST_SHARE = 3, 0.1
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<([!?])[^>]*>|<(/?)([A-Za-z][^\s/>]*)""", re.S)
 _END_OR_VALUE = re.compile(r""">|=\s*(["'])""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAMING = frozenset(["class", "id", "role"])
-_ARTICLE = re.compile(r">article(?:\.[^>]*)?\Z")
 _MARK_WORD = re.compile(r"[a-z]+")
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 
 
+class Place:
+    """A step of a path: tag and classes, the place around it, and a number for the whole path."""
+
+    __slots__ = ("step", "around", "number")
+
+    def __init__(self, step: str, around: Place | None):
+        self.step, self.around = step, around
+        # as a signed long; chained, so that deep pages cost no more than their length
+        self.number = xxhash.xxh64_intdigest(f"{around.number if around else 0}>{step}") - (1 << 63)
+
+    @property
+    def tag(self) -> str:
+        return self.step.partition(".")[0]
+
+    @property
+    def path(self) -> str:
+        steps, at = [], self
+        while at is not None and at.around is not None:
+            steps.append(at.step)
+            at = at.around
+        return "".join(f">{x}" for x in reversed(steps))
+
+
+TOP = Place("", None)
+
+
+def number_of(path: str) -> int:
+    place = TOP
+    for step in path.split(">")[1:]:
+        place = Place(step, place)
+    return place.number
+
+
 @dataclass
 class Node:
-    """An open container: its path, and the pieces of text inside it."""
+    """An open container: its place, and the pieces of text inside it."""
 
-    path: str
+    place: Place
     first: int
     last: int = 0
-    linked: int = 0
     own: int = 0  # text outside links and outside the containers inside it
     parent: Node | None = None
 
+    @property
+    def path(self) -> str:
+        return self.place.path
+
 
 @dataclass
 class Page:
     """Text pieces in page order (None ends a block) and the containers over them, the whole page first."""
 
     pieces: list[str | None] = field(default_factory=list)
-    containers: list[Node] = field(default_factory=lambda: [Node("", 0)])
+    containers: list[Node] = field(default_factory=lambda: [Node(TOP, 0)])
+    linked: set[int] = field(default_factory=set)  # pieces inside links
     headlines: list[int] = field(default_factory=list)  # where an h1 begins
 
 
@@ -102,12 +149,14 @@ def host_of(url: str | None) -> str:
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
-    classes = sorted(re.sub(r"\d+", "#", c) for c in attributes.get("class", "").lower().split())
+    classes = sorted(re.sub(r"\d+", "#", c).replace(">", "") for c in attributes.get("class", "").lower().split())
     return ".".join([tag, *classes])
 
 
 def _is_marked(tag: str, attributes: dict[str, str]) -> bool:
     """Whether a name of the element marks boilerplate: ``sidebar``, ``site-footer``, ``ad-slot``, not ``no-sidebar``."""
+    if tag == "p":  # a paragraph only by a class that is such a name and nothing else
+        return not LEADING.isdisjoint(attributes.get("class", "").lower().split())
     if tag in UNMARKED:
         return False
     for key, value in attributes.items():
@@ -176,19 +225,19 @@ def read_page(source: str) -> Page:
 def _parse(source: str, spared: Container[int]) -> tuple[Page, list[int], int]:
     """One tolerant pass over the markup: the page, the text of each marked element, and all text outside links.
 
-    Marked elements are left out unless their number is in ``spared``; text in
-    elements that are boilerplate by their tag never counts.
+    Marked elements, forms and headers are left out unless their number is in
+    ``spared``; text in other elements that are boilerplate by their tag never counts.
     """
     page, marked, seen = Page(), [], 0
-    # tag, path, container, in boilerplate by tag, in a marked element, in a link, number of the marked element
-    stack: list[tuple[str, str, Node | None, bool, bool, bool, int]] = []
-    path, never, skip, link, at = "", False, False, False, 0
+    # tag, place, container, in boilerplate by tag, in a marked element, in a link, in an article, number of the marked element
+    stack: list[tuple[str, Place, Node | None, bool, bool, bool, bool, int]] = []
+    path, never, skip, link, article, at = TOP, False, False, False, False, 0
     inner = root = page.containers[0]
 
     def close(upto: int) -> None:
-        nonlocal path, never, skip, link, inner
+        nonlocal path, never, skip, link, article, inner
         while len(stack) > upto:
-            tag, path, node, never, skip, link, number = stack.pop()
+            tag, path, node, never, skip, link, article, number = stack.pop()
             if number >= 0:
                 marked[number] += seen
             if node is not None:
@@ -207,14 +256,11 @@ def _parse(source: str, spared: Container[int]) -> tuple[Page, list[int], int]:
             seen += size
         if skip:
             return
-        page.pieces.append(piece)
         if link:
-            root.linked += size
-            for open_ in stack:
-                if open_[2] is not None:
-                    open_[2].linked += size
+            page.linked.add(len(page.pieces))
         else:
             inner.own += size
+        page.pieces.append(piece)
 
     ends: dict[int, int] = {}
     last = {c: source.rfind(c) for c in ">\"'"}
@@ -243,8 +289,8 @@ def _parse(source: str, spared: Container[int]) -> tuple[Page, list[int], int]:
                     page.pieces.append(None)
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
             if not inside.rstrip().endswith("/"):
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
                 at = upto = end.end() if end else len(source)
             continue
         if tag == "br":
@@ -261,18 +307,19 @@ def _parse(source: str, spared: Container[int]) -> tuple[Page, list[int], int]:
             if stack[n][0] in BLOCK:
                 break
         attributes = _attributes(inside)
-        before, number = (path, never, skip, link), -1
+        before, number = (path, never, skip, link, article), -1
         if tag in BLOCK:
             page.pieces.append(None)
         never = never or tag in BOILERPLATE
-        if attributes and not never and _is_marked(tag, attributes):
+        wrapper = tag in WRAPPERS and not (tag == "header" and article)
+        if not never and (wrapper or attributes and _is_marked(tag, attributes)):
             number = len(marked)
             marked.append(-seen)
             skip = skip or number not in spared
-        link = link or tag == "a"
+        link, article = link or tag == "a", article or tag == "article"
         node = None
         if tag in CONTAINER:
-            path = f"{path}>{_step(tag, attributes)}"
+            path = Place(_step(tag, attributes), path)
             if not (never or skip):
                 node = inner = Node(path, len(page.pieces), parent=inner)
                 page.containers.append(node)
@@ -303,9 +350,9 @@ def text_of(pieces: list[str | None]) -> str:
 def scores(page: Page) -> list[tuple[float, Node]]:
     """Text outside links of each container."""
     sizes = [0]
-    for p in page.pieces:
-        sizes.append(sizes[-1] + (len(p.strip()) if p else 0))
-    return [(max(0, sizes[c.last] - sizes[c.first] - c.linked), c) for c in page.containers]
+    for at, p in enumerate(page.pieces):
+        sizes.append(sizes[-1] + (len(p.strip()) if p and at not in page.linked else 0))
+    return [(sizes[c.last] - sizes[c.first], c) for c in page.containers]
 
 
 def _widened(page: Page, node: Node, scored: list[tuple[float, Node]]) -> Node:
@@ -320,9 +367,10 @@ def _widened(page: Page, node: Node, scored: list[tuple[float, Node]]) -> Node:
             beside.setdefault(id(c.parent), []).append(c)
 
     def belongs(c: Node, part: Node) -> bool:
-        if c.path == part.path or c.path.rpartition(">")[2].partition(".")[0] not in PLAIN:
+        if c.place.number == part.place.number or c.place.tag not in PLAIN:
             return True
-        return any(c.first <= at < c.last for at in page.headlines)
+        behind = bisect_left(page.headlines, c.first)
+        return behind < len(page.headlines) and page.headlines[behind] < c.last
 
     chosen = part = node
     while (around := part.parent) is not None:
@@ -338,57 +386,81 @@ def best(page: Page) -> tuple[Node, float] | None:
     most = max((s for s, _ in scored), default=0)
     if not most:
         return None
-    score, node = min(((s, c) for s, c in scored if s >= HOLDS * most), key=lambda x: (x[1].last - x[1].first, -len(x[1].path)))
+    depths = {}
+    for c in page.containers:  # the ones around come first
+        depths[id(c)] = depths[id(c.parent)] + 1 if c.parent is not None else 0
+    score, node = min(((s, c) for s, c in scored if s >= HOLDS * most), key=lambda x: (x[1].last - x[1].first, -x[1].first, -depths[id(x[1])]))
     node = _widened(page, node, scored)
     # a container inside an article stands for the article, headline included
-    whole = [(s, c) for s, c in scored if c.first <= node.first and node.last <= c.last and _ARTICLE.search(c.path)]
+    whole = [(s, c) for s, c in scored if c.first <= node.first and node.last <= c.last and c.place.tag == "article"]
     score, node = min(whole, key=lambda x: x[1].last - x[1].first, default=(next(s for s, c in scored if c is node), node))
     return node, float(score)
 
 
-def extract(page: Page, paths: list[str] | None) -> str:
-    """Text of all containers on the paths in page order, else of the page's own best container."""
-    wanted, upto, out = frozenset(paths or ()), -1, []
-    for c in page.containers:
-        if c.path in wanted and c.first >= upto:  # a container inside one already taken adds nothing
+def extract(page: Page, paths: list[str] | None, losing: Container[int] = ()) -> str:
+    """Text of the page's own best container, if its path wins, else of all containers on ``paths``.
+
+    ``losing`` has the numbers of the host's losing paths. Without ``paths`` on
+    the page its own best container counts.
+    """
+    own = best(page)
+    wins = own is not None and own[0].place.around is not None and own[0].place.number not in losing
+    wanted, upto, out = frozenset(map(number_of, paths or ())), -1, []
+    for c in () if wins and own[0].place.number not in wanted else page.containers:
+        if c.place.number in wanted and c.first >= upto:  # a container inside one already taken adds nothing
             out.append(text_of(page.pieces[c.first:c.last]))
             upto = c.last
     if joined := " ".join(filter(None, out)):
         return joined
-    own = best(page)
     return text_of(page.pieces[own[0].first:own[0].last]) if own else text_of(page.pieces)
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): each page's vote, weighted by the log of its text."""
+    """(host, number, path, votes, voters, holders) of every path with votes.
+
+    ``votes`` are weighted by the log of the text; ``holders`` are the pages
+    that have such a container with text outside links.
+    """
 
     def make():
         import math
 
         def f(urls, sources):
-            out = []
+            cast: dict[tuple[str, int], list] = {}
             for url, source in zip(urls, sources):
-                own = best(read_page(source)) if source else None
-                if own and own[0].path:  # text around all containers has no path to share
+                page = read_page(source) if source else None
+                own = best(page) if page else None
+                if not own:
+                    continue
+                host = host_of(url)
+                for number in {c.place.number for s, c in scores(page) if s and c.place.around is not None}:
+                    cast.setdefault((host, number), ["", 0, 0, 0])[3] += 1
+                if own[0].place.around is not None:  # text around all containers has no path to share
+                    entry = cast[host, own[0].place.number]
                     # whole thousandths, so that sums do not depend on their order
-                    out.append((host_of(url), own[0].path, int(1000 * math.log1p(own[1]))))
-            return out
+                    entry[:3] = own[0].path, entry[1] + int(1000 * math.log1p(own[1])), entry[2] + 1
+            return [(host, number, *entry) for (host, number), entry in cast.items()]
 
         return f
 
-    cast = map_rows(pages.select("url", "html"), make, schema("host string,path string,votes long"))
-    return cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    cast = map_rows(pages.select("url", "html"), make, schema("host string,number long,path string,votes long,voters long,holders long"))
+    summed = cast.groupBy("host", "number").agg(F.max("path").alias("path"), *(F.sum(c).alias(c) for c in ("votes", "voters", "holders")))
+    return summed.where(F.col("voters") > 0)
 
 
 def winners(pages: DataFrame) -> DataFrame:
-    """(host, paths): up to ``PATHS_PER_HOST`` paths of each host, best first."""
-    w = Window.partitionBy("host")  # distinct paths of a host
-    ranked = votes(pages).withColumn("share", F.col("votes") / F.sum("votes").over(w)).withColumn(
+    """(host, paths, losing): the strongest winning paths of each host, best first, and the numbers of its losing ones."""
+    known = votes(pages).withColumn("wins", F.col("voters") >= WINS * F.col("holders"))
+    w = Window.partitionBy("host", "wins")  # distinct paths of a host
+    ranked = known.withColumn("share", F.col("votes") / F.sum("votes").over(w)).withColumn(
         "rank", F.row_number().over(w.orderBy(F.desc("votes"), F.desc(F.length("path")), "path"))
     )
-    kept = ranked.where((F.col("rank") == 1) | ((F.col("rank") <= PATHS_PER_HOST) & (F.col("share") >= LEAST_SHARE)))
-    return kept.groupBy("host").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths")
+    strong = F.col("wins") & ((F.col("rank") == 1) | ((F.col("rank") <= PATHS_PER_HOST) & (F.col("share") >= LEAST_SHARE)))
+    return ranked.where(strong | ~F.col("wins")).groupBy("host").agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.when(F.col("wins"), F.struct("rank", "path")))), lambda x: x["path"]
+        ).alias("paths"),
+        F.collect_list(F.when(~F.col("wins"), F.col("number"))).alias("losing"),
     )
 
 
@@ -402,13 +474,13 @@ def main_texts(pages: DataFrame) -> DataFrame:
         spark.read.parquet(path), F.col("host") == F.col("llm_host"), "left"
     )
 
-    def f(ids, urls, sources, paths):
+    def f(ids, urls, sources, paths, losing):
         out = []
-        for i, url, source, p in zip(ids, urls, sources, paths):
-            text = extract(read_page(source), p) if source else ""
+        for i, url, source, p, numbers in zip(ids, urls, sources, paths, losing):
+            text = extract(read_page(source), p, frozenset(numbers or ())) if source else ""
             out.append((i, url, text, len(text)))
         return out
 
     return map_rows(
-        known.select("page_id", "url", "html", "paths"), lambda: f, schema("page_id long,url string,text string,n_chars long")
+        known.select("page_id", "url", "html", "paths", "losing"), lambda: f, schema("page_id long,url string,text string,n_chars long")
     )

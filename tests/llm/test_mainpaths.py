@@ -107,3 +107,66 @@ def test_quotes_left_open():
     assert read("<body><p title=\"closed\"\">One</p><p title=it's>Two</p></body>") == "One Two"
     for odd in ("<p b=\"", "<p ", "<p b='\"", "<p b=\"'>"):
         mainpaths.read_page(odd * 50_000)  # in time that grows with the length only
+
+
+def test_a_rarer_template_keeps_its_article(spark):
+    """Its pages have a teaser on the path that the host's other pages vote for."""
+    words = lambda n, w: " ".join([w] * n)
+    rows = [(i, f"http://h/{i}", f"<body><div class=content><p>{words(60, 'news')}</p></div></body>") for i in range(40)]
+    rows += [(100 + i, f"http://h/x{i}", f"<body><div class=content><p>short teaser</p></div><div class=main><p>{words(90, 'story')}</p></div></body>") for i in range(3)]
+    got = {r.page_id: r.text for r in mainpaths.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == words(60, "news") for i in range(40))
+    assert all(got[100 + i] == words(90, "story") for i in range(3))
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<body><form id=f><div class=content><p>The article.</p></div></form></body>", "The article."),
+    ("<body><nav>Menu</nav><form action=/><div class=top>Search</div><div class=content><p>" + "The article. " * 9 + "</p></div></form></body>", ("The article. " * 9).strip()),
+    ("<body><article><header><h1>Title</h1></header><p>Text of the article, long enough.</p></article></body>", "Title Text of the article, long enough."),
+    ("<body><header><p>Site name</p></header><article><p>Text of the article, long enough.</p></article><form>Join</form></body>", "Text of the article, long enough."),
+    ("<body><article><p>Text of the article, long enough to stand.</p><p class=advert>Buy</p><p id=ad>Kept.</p></article></body>", "Text of the article, long enough to stand. Kept."),
+])
+def test_forms_headers_and_marked_paragraphs(page, want):
+    assert mainpaths.extract(mainpaths.read_page(page), None) == want
+
+
+def test_links_depth_and_closed_scripts_take_linear_time():
+    import time
+
+    def took(page):
+        start = time.process_time()
+        mainpaths.best(mainpaths.read_page(page))
+        return time.process_time() - start
+
+    for make in (
+        lambda n: "<div>" * n + "<a href=x>y</a>" * n, lambda n: "<p>t</p>" + "<script/>" * n, lambda n: "<div>t" * n,
+        lambda n: "<div><h1>t</h1></div>" * n,
+    ):
+        took(make(500))
+        assert took(make(16_000)) < 60 * max(took(make(1_000)), 0.005)
+
+
+def plain_extract(blocks):
+    return " ".join(" ".join(b.split()) for b in blocks if b.split())
+
+
+def test_generated_sites_of_several_templates(spark):
+    """Each host mixes templates; the texts that the generator put into the article come back, and nothing else."""
+    random.seed(21)
+    words = lambda lo, hi: " ".join(random.choices(["calm", "river", "stone", "light", "caf\u00e9", "&amp;"], k=random.randint(lo, hi)))
+    templates = [
+        lambda body: f"<main><section>{body}</section></main>", lambda body: f"<div class='wrap-7'><div class='post post-123'>{body}</div></div>",
+        lambda body: f"<article class=entry>{body}</article>", lambda body: f"<table><tr><td class=text>{body}</td></tr></table>",
+        lambda body: f"<form id=aspnet><div class=content>{body}</div></form>",
+    ]
+    rows, want = [], {}
+    for i in range(300):
+        host = i % 4
+        template = templates[(host + (i // 4 % 10 == 0) + 2 * (i // 4 % 10 == 1)) % len(templates)]
+        blocks = [words(15, 60) for _ in range(random.randint(1, 6))]
+        body = "".join(f"<p>{b}</p>" for b in blocks)
+        rows.append((i, f"https://h{host}.org/{i}", f"<html><head><title>x</title></head><body><nav><ul><li><a href=/>Home {words(1, 3)}</a></ul></nav><div class=ad>Buy {words(1, 4)}</div>"
+                     f"{template(body)}<aside>{words(1, 9)}</aside><div id=comments><p>{words(1, 30)}</p></div><footer>{words(1, 5)}</footer></body></html>"))
+        want[i] = plain_extract([b.replace("&amp;", "&") for b in blocks])
+    got = {r.page_id: r.text for r in mainpaths.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
