@@ -259,10 +259,12 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = END_ID) -> Dat
     """Write the files of (doc_id, text); returns the manifest, one row (and partition) per shard.
 
     Range partitions of the key, sorted inside, become shards in key order.
+    The text's hash and the row's number end the range key, so that the many
+    rows of one key, or without one, are dealt to several shards.
     """
-    rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions(
-        F.asc_nulls_first("doc_id"), F.xxhash64("text")
-    )
+    order = ["doc_id", "llm_hash", "llm_row"]
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("llm_hash"), F.monotonically_increasing_id().alias("llm_row"))
+    rows = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     arrow = pa.schema([(n, pa.int64()) for n in ("shard", "n_docs", "n_ids", "low", "high")])
     let_workers_import(docs.sparkSession)
 

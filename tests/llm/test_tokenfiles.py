@@ -76,3 +76,24 @@ def test_a_second_writing_replaces_whole_files(spark, make_docs, tmp_dir):
 def test_empty_table(make_docs, tmp_dir):
     manifest = tokenfiles.write(make_docs([]), tmp_dir, PATH)
     assert tokenfiles.read(manifest, tmp_dir, tokenfiles.crc32).collect() == []
+
+
+def test_many_rows_of_one_key_are_dealt_to_several_shards(spark, make_docs, tmp_dir):
+    """A third without an id, a third of one id, texts partly equal: no shard holds many, keyed access finds all."""
+    rows = [(None, f"no id {i % 50}") for i in range(400)] + [(7, f"hot {i % 9}") for i in range(400)] + [(i, f"other {i}") for i in range(100, 500)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        manifest = tokenfiles.write(make_docs(rows), tmp_dir, PATH)
+        sizes = [r.n_docs for r in manifest.collect()]
+        assert sum(sizes) == len(rows) and len(sizes) >= 10 and max(sizes) <= 200
+        got = tokenfiles.read(manifest, tmp_dir, tokenfiles.crc32).orderBy("start").collect()
+        ids = [r.doc_id for r in got]
+        assert ids[:400] == [None] * 400 and ids[400:] == sorted(ids[400:]) and len(ids) == len(rows)
+        found = tokenfiles.lookup(spark.createDataFrame([(7,), (100,)], "doc_id long"), manifest, tmp_dir).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.ids for r in found if r.doc_id == 7) == sorted(ids_of(f"hot {i % 9}") for i in range(400))
+    assert sum(r.doc_id == 100 for r in found) == 1
