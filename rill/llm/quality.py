@@ -185,9 +185,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     # at most about 2 * per_class ids and flags: a proven bound
     picked = known.where(hashed < share[F.col("quality")]).select(F.col("doc_id").alias("llm_id"), "quality")
     texts = docs.select(F.col("doc_id").alias("llm_doc"), F.col("text").alias("llm_text"))
-    rows = texts.join(F.broadcast(picked), F.col("llm_doc") == F.col("llm_id")).select(
-        F.col("llm_text"), F.col("quality").cast("int").alias("quality")
-    )
+    rows = texts.join(F.broadcast(picked), F.col("llm_doc") == F.col("llm_id"))
+    # one row of each id, whatever repeats: partial minima per task
+    rows = rows.groupBy("llm_id", "quality").agg(
+        F.min_by("llm_text", F.struct(F.xxhash64("llm_text"), F.length("llm_text"))).alias("llm_text")
+    ).select("llm_text", F.col("quality").cast("int").alias("quality"))
     make = lambda: lambda texts, flags: [(list(statistics(t)[1]), f) for t, f in zip(texts, flags)]
     got = map_rows(rows, make, schema("x doubles,quality int")).collect()  # bounded by the sample
     data = np.array([[*r["x"], r["quality"]] for r in got])
