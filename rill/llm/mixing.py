@@ -14,8 +14,8 @@ bucket after, so that no window holds a whole source.
 
 Defined results: a null source is a source of its own; null and empty texts
 have no tokens and, like sources without tokens, are placed once per pass of
-their source; repeated rows share a key and are taken together; an empty table
-gives an empty plan and no rows; other columns are not read, and ``realise``
+their source; every row has a key of its own, so repeated rows and rows without
+an id are placed one by one; an empty table gives an empty plan and no rows; other columns are not read, and ``realise``
 keeps all columns of every row it places.
 """
 
@@ -52,11 +52,30 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
+#: Column of a row's own number in a table that ``numbered`` has written.
+ROW = "llm_row_number"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with a number for each row, for ``compact`` and ``realise`` to agree on."""
+    path = scratch_path(docs.sparkSession, "mix-rows")
+    docs.withColumn(ROW, F.monotonically_increasing_id()).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def row_key(seed: int, doc_id, source, text, number) -> Column:
+    return F.xxhash64(F.lit(seed), doc_id, source, F.xxhash64(text), number)
+
+
 def compact(docs: DataFrame, seed: int = 17) -> DataFrame:
-    """(doc_id, source, tokens, key) of every row: all that the plan needs."""
+    """(doc_id, source, tokens, key) of every row: all that the plan needs.
+
+    Rows that are not ``numbered`` are numbered here; checkpoint the result then.
+    """
+    number = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
     return docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("tokens"),
-        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source")).alias("key"),
+        row_key(seed, F.col("doc_id"), F.col("source"), F.col("text"), number).alias("key"),
     )
 
 
@@ -228,11 +247,12 @@ def place(rows: DataFrame, sources: DataFrame, target: Target = Target()) -> Dat
 
 
 def realise(docs: DataFrame, sources: DataFrame, target: Target = Target()) -> DataFrame:
-    """All columns of ``docs``, every row as often as the plan places it."""
+    """All columns of ``numbered`` rows but their number, every row as often as the plan places it."""
     info = sources.select(F.col("source").alias("llm_s"), F.col("passes"), F.col("cut"))
-    names = docs.columns
-    key = F.xxhash64(F.lit(target.seed), F.col("llm_row.doc_id"), F.col("llm_row.source"))
-    packed = docs.select(F.struct(*names).alias("llm_row"))
-    mixed = packed.join(info, F.col("llm_row.source").eqNullSafe(F.col("llm_s"))).withColumn("llm_copies", _copies(key, target.seed))
+    names = [c for c in docs.columns if c != ROW]
+    field = lambda c: F.col("llm_row")[c]
+    key = row_key(target.seed, *(field(c) for c in ("doc_id", "source", "text", ROW)))
+    packed = docs.select(F.struct(*docs.columns).alias("llm_row"))
+    mixed = packed.join(info, field("source").eqNullSafe(F.col("llm_s"))).withColumn("llm_copies", _copies(key, target.seed))
     many = mixed.where("llm_copies > 0").withColumn("llm_copy", F.explode(F.sequence(F.lit(1), F.col("llm_copies"))))
-    return many.select("llm_row.*")
+    return many.select(*(field(c).alias(c) for c in names))

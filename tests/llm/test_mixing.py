@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -16,7 +17,7 @@ def corpus(sizes):
 
 
 def run(make_docs, rows, target):
-    docs = make_docs(rows)
+    docs = mixing.numbered(make_docs(rows))
     base = mixing.reliable(mixing.compact(docs, target.seed))
     sources = mixing.plan(base, target)
     return docs, sources, mixing.place(base, sources, target)
@@ -65,7 +66,7 @@ def test_realise_places_the_same_copies_with_all_columns(make_docs):
     target = mixing.Target(max_repeats=2.5)
     docs, sources, placed = run(make_docs, corpus(SIZES), target)
     out = mixing.realise(docs, sources, target)
-    assert out.columns == docs.columns
+    assert [*out.columns, mixing.ROW] == docs.columns
     assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in placed.collect())
 
 
@@ -98,3 +99,51 @@ def test_odd_rows_and_empty_table(make_docs):
     assert sum(r.source == "silent" for r in got) == 2
     docs, sources, placed = run(make_docs, [], target)
     assert placed.collect() == [] and mixing.realise(docs, sources, target).collect() == []
+
+
+def brute_place(rows, info, target, key_of):
+    """(doc, epoch, block) of every placed row: passes in key order, running sums, quotas, by plain loops."""
+    out = []
+    for s, r in info.items():
+        mine = [x for x in rows if x.source == s]
+        whole = r.quota // r.tokens if r.tokens else 1
+        rest = r.quota - whole * r.tokens if r.tokens else 0
+        blocks = max(1, math.ceil(r.mix_tokens / target.block_tokens))
+        for epoch in range(whole + (1 if rest else 0)):
+            run = 0
+            for x in sorted(mine, key=lambda x: key_of[x.key, epoch]):
+                if epoch == whole and run + x.tokens > rest:
+                    break
+                at = epoch * r.tokens + run
+                block = min(int(at / r.quota * blocks), blocks - 1) if r.quota else key_of[x.key, epoch] % blocks
+                out.append((x.doc_id, x.source, epoch, block))
+                run += x.tokens
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("ids", ["own", "none", "one"])
+def test_placement_equals_brute_force_and_quotas_hold_without_ids(spark, make_docs, ids):
+    """Rows without an id, or all of one id and some with equal texts, are placed one by one."""
+    from pyspark.sql import functions as F
+
+    random.seed(5)
+    target = mixing.Target(max_repeats=2.0, block_tokens=1_500)
+    rows = []
+    for source, n in (("big", 250), ("mid", 60), ("small", 25), (None, 12)):
+        rows += [({"own": len(rows) + k, "none": None, "one": 7}[ids], " ".join(["w"] * random.randint(0, 30)), source) for k in range(n)]
+    docs = mixing.numbered(make_docs(rows))
+    base = mixing.reliable(mixing.compact(docs, target.seed))
+    sources = mixing.plan(base, target)
+    info = {r.source: r for r in sources.collect()}
+    flat = base.collect()
+    assert len({r.key for r in flat}) == len(rows)
+    epochs = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("e")
+    key_of = {(r.key, r.e): r.k for r in base.select("key", epochs).select("key", "e", mixing.pass_key(F.col("key"), F.col("e"), target.seed).alias("k")).collect()}
+    placed = mixing.place(base, sources, target).collect()
+    want = brute_place(flat, info, target, key_of)
+    assert sorted(((r.doc_id, r.source, r.epoch, r.block_id) for r in placed), key=str) == want
+    for s, r in info.items():
+        got = sum(x.tokens for x in placed if x.source == s)
+        assert r.quota - 30 <= got <= r.quota
+    copies = mixing.realise(docs, sources, target)
+    assert copies.count() == len(want)
