@@ -3,8 +3,12 @@ masked, sources mixed to target weights, texts encoded.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 it as Parquet in the shared folder and hands the table read back to the next.
-All but the last keep the columns of ``documents``. An empty table passes
-through every stage; null texts are kept as empty evidence and encode to no ids.
+All but the last keep the columns of ``documents`` and any others, whatever
+their names. An empty table passes through every stage; null and empty texts
+are kept as empty evidence, one row of them as of any group of equal texts, and
+encode to no ids; repeated rows and rows without an id are judged by their
+texts, ties between copies by id, text hash and row; texts of any length are
+read whole.
 """
 
 from __future__ import annotations
@@ -51,8 +55,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once; small sources repeat, at most ``MAX_REPEATS`` passes."""
+    """Every row at least once; small sources repeat, at most ``MAX_REPEATS`` passes."""
     target = mixing.Target(max_repeats=MAX_REPEATS)
+    docs = mixing.numbered(docs)
     rows = mixing.reliable(mixing.compact(docs, target.seed))
     return mixing.realise(docs, mixing.plan(rows, target), target)
 
