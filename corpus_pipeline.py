@@ -37,16 +37,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     without an id are judged by their texts.
     """
     path = scratch_path(spark, "rows")
-    docs.withColumn("llm_row", F.monotonically_increasing_id()).write.parquet(path)
+    docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")).write.parquet(path)
     rows = spark.read.parquet(path)
-    classes = simhash.near_duplicates(rows.select(F.col("llm_row").alias("doc_id"), "text")).select(
-        F.col("doc_id").alias("llm_row"), "component_id"
+    classes = simhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col("doc")["text"].alias("text"))).select(
+        F.col("doc_id").alias("row"), "component_id"
     )
-    order = F.struct(F.isnull("doc_id"), F.col("doc_id"), F.xxhash64("text"), F.col("llm_row").alias("llm_row"))
-    firsts = rows.select("llm_row", order.alias("llm_order")).join(classes, "llm_row").groupBy("component_id").agg(
-        F.min("llm_order")["llm_row"].alias("llm_row")
+    field = lambda c: F.col("doc")[c]
+    order = F.struct(F.isnull(field("doc_id")), field("doc_id"), F.xxhash64(field("text")), F.col("row").alias("row"))
+    firsts = rows.select("row", order.alias("place")).join(classes, "row").groupBy("component_id").agg(
+        F.min("place")["row"].alias("row")
     )
-    return rows.join(firsts, "llm_row", "left_semi").select(*docs.columns)
+    return rows.join(firsts, "row", "left_semi").select(*(field(c).alias(c) for c in docs.columns))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
