@@ -52,14 +52,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
-#: Column of a row's own number in a table that ``numbered`` has written.
-ROW = "llm_row_number"
+#: Columns of a table that ``numbered`` has written: a row with all its columns, and its number.
+PACKED, ROW = "llm_packed", "llm_row_number"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` written once with a number for each row, for ``compact`` and ``realise`` to agree on."""
+    """``docs`` written once as packed rows with a number each, for ``compact`` and ``realise`` to agree on."""
     path = scratch_path(docs.sparkSession, "mix-rows")
-    docs.withColumn(ROW, F.monotonically_increasing_id()).write.parquet(path)
+    docs.select(F.struct(*docs.columns).alias(PACKED), F.monotonically_increasing_id().alias(ROW)).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
@@ -72,10 +72,12 @@ def compact(docs: DataFrame, seed: int = 17) -> DataFrame:
 
     Rows that are not ``numbered`` are numbered here; checkpoint the result then.
     """
-    number = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    packed = docs.columns == [PACKED, ROW]
+    field = lambda c: F.col(PACKED)[c] if packed else F.col(c)
+    number = F.col(ROW) if packed else F.monotonically_increasing_id()
     return docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("tokens"),
-        row_key(seed, F.col("doc_id"), F.col("source"), F.col("text"), number).alias("key"),
+        field("doc_id").alias("doc_id"), field("source").alias("source"), word_count(field("text")).alias("tokens"),
+        row_key(seed, field("doc_id"), field("source"), field("text"), number).alias("key"),
     )
 
 
@@ -246,13 +248,11 @@ def place(rows: DataFrame, sources: DataFrame, target: Target = Target()) -> Dat
     return cut.select("doc_id", "source", "tokens", "epoch", "block_id", F.row_number().over(w).alias("position"))
 
 
-def realise(docs: DataFrame, sources: DataFrame, target: Target = Target()) -> DataFrame:
-    """All columns of ``numbered`` rows but their number, every row as often as the plan places it."""
+def realise(rows: DataFrame, sources: DataFrame, target: Target = Target()) -> DataFrame:
+    """All columns of the ``numbered`` rows, every row as often as the plan places it."""
     info = sources.select(F.col("source").alias("llm_s"), F.col("passes"), F.col("cut"))
-    names = [c for c in docs.columns if c != ROW]
-    field = lambda c: F.col("llm_row")[c]
-    key = row_key(target.seed, *(field(c) for c in ("doc_id", "source", "text", ROW)))
-    packed = docs.select(F.struct(*docs.columns).alias("llm_row"))
-    mixed = packed.join(info, field("source").eqNullSafe(F.col("llm_s"))).withColumn("llm_copies", _copies(key, target.seed))
+    field = lambda c: F.col(PACKED)[c]
+    key = row_key(target.seed, field("doc_id"), field("source"), field("text"), F.col(ROW))
+    mixed = rows.join(info, field("source").eqNullSafe(F.col("llm_s"))).withColumn("llm_copies", _copies(key, target.seed))
     many = mixed.where("llm_copies > 0").withColumn("llm_copy", F.explode(F.sequence(F.lit(1), F.col("llm_copies"))))
-    return many.select(*(field(c).alias(c) for c in names))
+    return many.select(*(field(c).alias(c) for c in rows.schema[PACKED].dataType.names))

@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -64,3 +65,26 @@ def test_near_copies_are_judged_by_row(spark, tmp_dir):
     assert out.columns == given.columns
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
     assert got == sorted([(3, x), (7, y), (8, z), (8, w), (None, "copied without an id " * 9)], key=str)
+
+
+def test_clashing_columns_long_texts_and_repeated_rows(spark, tmp_dir):
+    """Columns with the names that the stages use inside stay as they are; whole long texts pass through."""
+    random.seed(13)
+    long = " ".join(random.choices([f"word{i}" for i in range(500)], k=120_000)) + " token=abcdef0123456789"
+    rows = [(1, long, "en", "a", len(long)), (2, "short text of its own", "en", "a", 21), (2, "short text of its own", "en", "a", 21), (3, None, None, None, None)]
+    names = ["score", "key", "source_tokens", "llm_row", "component_id", "position"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for n, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(f"mine{n}"))
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, tmp_dir)
+        assert out.columns == docs.columns, name
+        assert all(r[c] == f"mine{n}" for r in out.collect() for n, c in enumerate(names))
+        out.write.parquet(f"{tmp_dir}/{name}")
+        docs = spark.read.parquet(f"{tmp_dir}/{name}")
+    got = {r.doc_id: r.text for r in docs.collect()}
+    assert got == {1: long.replace("token=abcdef0123456789", "[SECRET]"), 2: "short text of its own", 3: None}
+    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, tmp_dir).collect()) == sorted(r.doc_id for r in docs.collect())
