@@ -1,6 +1,7 @@
 """Late rows, two clocks, monotone time, upserts and counters: against plain models, and crashes at every step."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -72,6 +73,13 @@ def model(groups, *, window, mark, width=20, delay=2, slack=0.001):
     return sorted(results, key=str), sorted(late), watermark, nulls
 
 
+def write_in_order(folder, batches_):
+    """One file a batch; the stream takes files by their times."""
+    for n, rows in enumerate(batches_):
+        _write_batch(folder, f"b{n}", rows)
+        os.utime(f"{folder}/b{n}.parquet", (1_700_000_000 + n, 1_700_000_000 + n))
+
+
 def new_table(spark, folder, name, ddl):
     catalog.create_database(spark, "rill_t")
     catalog.drop_if_exists(spark, name, database="rill_t")
@@ -185,8 +193,7 @@ def test_monotone_time_is_carried_over_batches_and_crashes(spark, tmp_dir, monke
 def test_jobs_of_the_metric_topic(spark, tmp_dir):
     """The two table jobs from topic records to tables, one file a micro-batch."""
     src = f"{tmp_dir}/in"
-    for n, times in enumerate([(1, 9, 3), (40, 2), (41, 90)]):
-        _write_batch(src, f"b{n}", [_event(10 * n + j, at(t)) for j, t in enumerate(times)])
+    write_in_order(src, [[_event(10 * n + j, at(t)) for j, t in enumerate(times)] for n, times in enumerate([(1, 9, 3), (40, 2), (41, 90)])])
     stream = lambda: replay.metric_topic(_stream(spark, src))
     counts, late = new_table(spark, tmp_dir, "counts", schemas.URL_COUNT_TABLE), new_table(spark, tmp_dir, "late", schemas.LATE_METRIC_TABLE)
     run(sjobs.url_count_table_job(stream(), counts, f"{tmp_dir}/ck", late_table=late, available_now=True))
@@ -306,9 +313,7 @@ def test_totals_are_exact_after_150_batches_and_a_restart(spark, tmp_dir):
 
 def test_dropped_rows_are_counted(spark, tmp_dir):
     src = f"{tmp_dir}/in"
-    _write_batch(src, "b0", [_event(0, at(0)), _event(1, at(45))])
-    _write_batch(src, "b1", [_event(3, at(70))])
-    _write_batch(src, "b2", [_event(4, at(6))])
+    write_in_order(src, [[_event(0, at(0)), _event(1, at(45))], [_event(3, at(70))], [_event(4, at(6))]])
     counters = Counters(spark)
     frame = sjobs.url_count_frame(replay.metric_topic(_stream(spark, src)), size="20 seconds", delay="0 seconds")
     run(to_files(frame, f"{tmp_dir}/out", f"{tmp_dir}/ck", available_now=True), counters=counters)
