@@ -37,7 +37,7 @@ from rill.llm.common import WordCache, map_rows, schema
 SPACE = r"\t-\r \x85\xa0  -     　"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words that a worker's cache holds before it starts afresh.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 #: Rows whose distinct words share one trie.
 SLICE = 512
 
@@ -154,7 +154,7 @@ class PrefixBpe:
         key = a << 20 | b
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 400_000:
+            if len(self._fits) > 200_000:
                 self._fits.clear()
             known = self._fits[key] = self._seam(a, b, 1 << 30)
         return known
