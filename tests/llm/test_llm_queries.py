@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLE) <= set(names)
 
 
@@ -37,6 +37,9 @@ def test_oracle(spark, name):
     ("op8_mainpaths", "page_id url text n_chars"),
     ("op9_secrets", "doc_id n_assign n_access n_hex base_sha256 spans"),
     ("op10_tokenfiles", "doc_id start n_tokens ids_crc32"),
+    ("op11_alignment", "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256"),
+    ("op12_clusters", "vec_id cluster distance cluster_inertia inertia centroid_sha256"),
+    ("op13_subwords", "doc_id held_out score predicted"),
 ])
 def test_contract_columns(spark, name, columns):
     df = queries.QUERIES[name](spark, SF)
