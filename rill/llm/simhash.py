@@ -10,8 +10,11 @@ error budget is pruned. To share the walk out, the 64 bits are cut into
 ``distance + 1`` blocks: two fingerprints within ``distance`` bits agree in at
 least one whole block, so each block in turn is moved to the top of the trie
 and only the node pairs below equal blocks have to be walked, one Spark group
-per (block, value). A group above ``chunk`` members is dealt into chunks and
-each pair of chunks is walked apart, so no task holds an unbounded group and
+per (block, value). In a group above ``chunk`` members the bits below the block
+are cut into blocks again, and each of these in turn comes next. A group still
+above ``chunk`` is dealt by its trie nodes some bits further down: only pairs of
+nodes within the error budget meet, so far pairs are pruned before the shuffle,
+and a node above ``chunk`` meets in chunks. No task holds an unbounded group and
 nothing is skipped. A walk returns a spanning forest of the links it found,
 which has the same components as all of them.
 
@@ -31,8 +34,10 @@ from pyspark.sql import DataFrame, functions as F
 from rill.llm.common import let_workers_import, map_rows, reliable, schema
 
 SHINGLE_WORDS, DISTANCE, SEED = 3, 3, 42
-#: Members of one walk; larger groups are dealt into chunk pairs.
+#: Members of one side of a walk; larger groups are dealt into node pairs.
 CHUNK = 2_048
+#: Bits of a trie node that a large group is dealt by, at most: 299 nodes are within three bits of one.
+NODE_BITS = 12
 #: Members gathered for one vectorised walk over many small groups.
 WALK_ROWS = 32_768
 #: Node pairs held at once; more are walked in pieces.
@@ -156,36 +161,125 @@ def spanning(keys: np.ndarray, pairs: np.ndarray, depth: int, budget: int) -> tu
     return member, label[member]
 
 
-def _rotate(keys: np.ndarray, by: np.ndarray) -> np.ndarray:
-    by = by.astype(np.uint64)
-    return np.where(by == 0, keys, (keys << by) | (keys >> (np.uint64(64) - np.where(by == 0, np.uint64(1), by))))
+def _cuts(bits: int, parts: int) -> list[int]:
+    return [round(bits * k / parts) for k in range(parts + 1)]
+
+
+def heads(distance: int) -> list[tuple[int, int, int, int]]:
+    """(turn, below, inner turn, depth) of every order of bits that heads a trie.
+
+    The 64 bits are turned so that a block comes first, the ``below`` bits after
+    it so that one of their blocks comes next; ``depth`` bits then head the trie.
+    The first ``distance + 1`` orders have one block, the others two.
+    """
+    outer = _cuts(64, distance + 1)
+    one = [(a, 64 - (b - a), 0, b - a) for a, b in zip(outer, outer[1:])]
+    two = []
+    for turn, below, _, depth in one:
+        inner = _cuts(below, distance + 1)
+        two += [(turn, below, a, depth + b - a) for a, b in zip(inner, inner[1:])]
+    return one + two
+
+
+def _key(fp, head: tuple[int, int, int, int]):
+    """The bits of column ``fp`` in the order of ``head``."""
+    turn, below, inner, _ = head
+    key = F.shiftleft(fp, turn).bitwiseOR(F.shiftrightunsigned(fp, 64 - turn)) if turn else fp
+    if inner:
+        mask = (1 << below) - 1
+        low = key.bitwiseAND(F.lit(mask))
+        low = F.shiftleft(low, inner).bitwiseOR(F.shiftrightunsigned(low, below - inner)).bitwiseAND(F.lit(mask))
+        key = key.bitwiseAND(F.lit(~mask)).bitwiseOR(low)
+    return key
+
+
+def _fp(keys: np.ndarray, head: tuple[int, int, int, int]) -> np.ndarray:
+    """The fingerprints whose bits ``_key`` has put in the order of ``head``."""
+    turn, below, inner, _ = head
+    u = np.uint64
+    if inner:
+        mask = u((1 << below) - 1)
+        low = keys & mask
+        low = ((low >> u(inner)) | (low << u(below - inner))) & mask
+        keys = (keys & ~mask) | low
+    return (keys >> u(turn)) | (keys << u(64 - turn)) if turn else keys
+
+
+def _keyed(fps: DataFrame, orders: dict[int, tuple[int, int, int, int]]) -> DataFrame:
+    """(head, value, key) of every fingerprint in each order; ``value`` is the bits that head the trie."""
+    at = F.explode(F.array(*(
+        F.struct(F.lit(h).alias("head"), _key(F.col("fp"), o).alias("key"), F.lit(64 - o[3]).alias("rest"))
+        for h, o in orders.items()
+    )))
+    return fps.select(at.alias("at")).select(
+        "at.head", F.expr("shiftrightunsigned(at.key, at.rest)").alias("value"), "at.key", "at.rest"
+    )
+
+
+def _sized(keyed: DataFrame) -> DataFrame:
+    """Rows of groups with company, and the group's size ``n``."""
+    sizes = keyed.groupBy("head", "value").agg(F.count("*").alias("n")).where("n > 1")
+    return keyed.join(sizes, ["head", "value"])
+
+
+def _by_node(rows: DataFrame, distance: int, chunk: int) -> DataFrame:
+    """Rows of large groups dealt to pairs of trie nodes within ``distance`` bits.
+
+    A node is the next bits of the key, as many as bring nodes down to about
+    ``chunk`` members. Nodes are counted; one above ``chunk`` is cut into parts by
+    hash. A slot is a part of a node, and two slots meet once.
+    """
+    group = ["head", "value", "width"]
+    width = F.least(F.lit(NODE_BITS), F.col("rest"), F.ceil(F.log2(F.col("n") / chunk))).cast("int")
+    rows = rows.withColumn("width", width).withColumn(
+        "node", F.expr("shiftrightunsigned(key, rest - width) & (shiftleft(1L, width) - 1L)")
+    )
+    nodes = rows.groupBy(*group, "node").agg(F.ceil(F.count("*") / chunk).cast("long").alias("parts"))
+    masks = (  # at most 2**NODE_BITS rows a width
+        rows.sparkSession.range(1 << NODE_BITS).where(F.bit_count("id") <= distance)
+        .select(F.col("id").alias("mask"), F.explode(F.sequence(F.lit(0), F.lit(NODE_BITS))).alias("width"))
+        .where("mask < shiftleft(1L, width)")
+    )
+    near = nodes.join(F.broadcast(masks), "width").withColumn("far", F.col("node").bitwiseXOR(F.col("mask")))
+    far = nodes.select(*group, F.col("node").alias("far"), F.col("parts").alias("far_parts"))
+    near = near.join(far, [*group, "far"]).select(*group, "node", "parts", "far", "far_parts")
+    slot = lambda node, part: F.shiftleft(node, 32) + part
+    return (
+        rows.join(near, [*group, "node"])
+        .withColumn("own", slot(F.col("node"), F.pmod(F.xxhash64("key", F.lit(5)), F.col("parts"))))
+        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("far_parts") - 1)))
+        .withColumn("other", slot(F.col("far"), F.col("part")))
+        .select(
+            "head", "value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            (F.col("own") > F.col("other")).cast("int").alias("side"), "key",
+        )
+    )
 
 
 def links(fps: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> DataFrame:
     """(a, b): links among the distinct values of ``fp``, spanning each component."""
+    orders = heads(distance)
     blocks = distance + 1
-    edges = [round(64 * k / blocks) for k in range(blocks + 1)]
-    keyed = fps.select("fp", F.explode(F.array(*(
+    whole = lambda rows: rows.where(F.col("n") <= chunk).select(
+        "head", "value", F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high"), F.lit(0).alias("side"), "key"
+    )
+    first = _sized(_keyed(fps, dict(enumerate(orders[:blocks]))))
+    dealt = whole(first)
+    # each large group again, the blocks below its own in turn; the key of the first order holds the bits
+    again = first.where(F.col("n") > chunk)
+    inner = F.explode(F.array(*(
         F.struct(
-            F.lit(k).alias("block"),
-            F.shiftrightunsigned(F.shiftleft("fp", edges[k]), 64 - (edges[k + 1] - edges[k])).alias("value"),
+            (F.lit(blocks) + F.col("head") * blocks + j).cast("int").alias("head"),
+            F.coalesce(*(F.when(F.col("head") == k, _key(F.col("key"), (0, *orders[blocks + k * blocks + j][1:]))) for k in range(blocks))).alias("key"),
+            F.coalesce(*(F.when(F.col("head") == k, 64 - orders[blocks + k * blocks + j][3]) for k in range(blocks))).alias("rest"),
         )
-        for k in range(blocks)
-    ))).alias("at")).select("fp", "at.block", "at.value")
-    sizes = keyed.groupBy("block", "value").agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / chunk).cast("int")
-    # each chunk meets every chunk of its group once: (low, high) names the meeting, side the role
-    dealt = (
-        keyed.join(sizes, ["block", "value"])
-        .withColumn("parts", parts)
-        .withColumn("own", F.pmod(F.xxhash64("fp", F.lit(5)), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select(
-            "block", "value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-            (F.col("own") > F.col("other")).cast("int").alias("side"), "fp",
-        )
-    )
-    meeting = ["block", "value", "low", "high"]
+        for j in range(blocks)
+    )))
+    second = _sized(again.select(inner.alias("at")).select(
+        "at.head", F.expr("shiftrightunsigned(at.key, at.rest)").alias("value"), "at.key", "at.rest"
+    ))
+    dealt = dealt.unionByName(whole(second)).unionByName(_by_node(second.where(F.col("n") > chunk), distance, chunk))
+    meeting = ["head", "value", "low", "high"]
     dealt = dealt.repartition(*meeting).sortWithinPartitions(*meeting)
 
     let_workers_import(fps.sparkSession)
@@ -198,10 +292,10 @@ def links(fps: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> DataF
             if size >= WALK_ROWS:
                 done, rest = _last_group(pa.Table.from_batches(held), meeting)
                 if done is not None:
-                    yield from _join(done, meeting, edges, distance)
+                    yield from _join(done, meeting, orders, distance)
                 held, size = rest.to_batches(), rest.num_rows
         if size:
-            yield from _join(pa.Table.from_batches(held), meeting, edges, distance)
+            yield from _join(pa.Table.from_batches(held), meeting, orders, distance)
 
     return dealt.mapInArrow(run, "a long, b long")
 
@@ -222,18 +316,18 @@ def _last_group(t: pa.Table, cols: list[str]):
     return (t.slice(0, start) if start else None), t.slice(start)
 
 
-def _join(t: pa.Table, meeting: list[str], edges: list[int], budget: int):
-    """Walk all meetings of a table; tables are cut by first block because the walk starts below it."""
+def _join(t: pa.Table, meeting: list[str], orders: list[tuple[int, int, int, int]], budget: int):
+    """Walk all meetings of a table; tables are cut by head because the walk starts below it."""
     t = t.combine_chunks()
     group = np.cumsum(_changes(t, meeting)) - 1
-    fp = t.column("fp").to_numpy().view(np.uint64)
-    block, side = t.column("block").to_numpy(), t.column("side").to_numpy()
+    key = t.column("key").to_numpy().view(np.uint64)
+    head, side = t.column("head").to_numpy(), t.column("side").to_numpy()
     low, high = t.column("low").to_numpy(), t.column("high").to_numpy()
-    for k in np.unique(block):
-        rows = np.flatnonzero(block == k)
-        keys = _rotate(fp[rows], np.full(len(rows), edges[k]))
-        order = np.lexsort((keys, side[rows], group[rows]))
-        rows, keys = rows[order], keys[order]
+    for h in np.unique(head):
+        rows = np.flatnonzero(head == h)
+        order = np.lexsort((key[rows], side[rows], group[rows]))
+        rows = rows[order]
+        keys = key[rows]
         run = group[rows] * 2 + side[rows]
         starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
         ends = np.r_[starts[1:], len(run)]
@@ -244,9 +338,9 @@ def _join(t: pa.Table, meeting: list[str], edges: list[int], budget: int):
         meet = [(starts[left[g]], ends[left[g]], starts[n], ends[n]) for g, n in right.items() if g in left]
         if meet:
             pairs.append(np.array(meet))
-        member, root = spanning(keys, np.concatenate(pairs), edges[k + 1] - edges[k], budget)
+        member, root = spanning(keys, np.concatenate(pairs), orders[h][3], budget)
         if len(member):
-            original = fp[rows].view(np.int64)
+            original = _fp(keys, orders[h]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(original[member]), pa.array(original[root])], names=["a", "b"])
 
 

@@ -75,6 +75,38 @@ def test_dense_groups_lose_no_link(spark, chunk):
     assert groups([root.get(s, s) for s in signed]) == groups(brute_classes(prints))
 
 
+def test_orders_of_bits_are_undone(spark):
+    random.seed(8)
+    prints = [0, 2**64 - 1] + [random.getrandbits(64) for _ in range(50)]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    fps = spark.createDataFrame([(s,) for s in signed], "fp long")
+    for distance in (0, 2, 3):
+        orders = simhash.heads(distance)
+        assert len(orders) == (distance + 1) * (distance + 2)
+        cols = [simhash._key(fps.fp, o).alias(f"k{n}") for n, o in enumerate(orders)]
+        rows = fps.select("fp", *cols).collect()
+        for n, order in enumerate(orders):
+            keys = np.array([r[f"k{n}"] for r in rows], dtype=np.int64).view(np.uint64)
+            assert simhash._fp(keys, order).view(np.int64).tolist() == [r.fp for r in rows]
+
+
+def test_one_large_block_group(spark):
+    """All fingerprints share 16 bits; planted links in it are found, and few rows meet in a walk."""
+    random.seed(21)
+    top = 0xBEEF << 48
+    prints = {top | random.getrandbits(48) for _ in range(12_000)}
+    for p in random.sample(sorted(prints), 300):
+        prints.add(p ^ sum(1 << b for b in random.sample(range(64), 3)))
+    hot = top | (0xABC << 36)  # a third also shares the next bits
+    prints |= {hot | random.getrandbits(36) for _ in range(6_000)}
+    prints = sorted(prints)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    fps = spark.createDataFrame([(s,) for s in signed], "fp long")
+    root = {r.node: r.root for r in simhash.components(simhash.links(fps, 3, 256)).collect()}
+    groups = lambda labels: {frozenset(i for i, x in enumerate(labels) if x == v) for v in set(labels)}
+    assert groups([root.get(s, s) for s in signed]) == groups(brute_classes(prints))
+
+
 def test_walk_yields_each_close_pair_once():
     random.seed(2)
     keys = np.array(sorted({random.getrandbits(64) & 0x7F07 for _ in range(300)}), dtype=np.uint64)
