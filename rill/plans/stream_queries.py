@@ -18,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from rill import schemas
 from rill.operators.windows import count_by_window, window_bounds_to_table_time, with_watermark
 from rill.plans import catalog, jobs
-from rill.session import conform, rocksdb_session, scratch_path, shared_dir
+from rill.session import conform, rocksdb_session, scratch_path, shared_dir, small_files_session
 from rill.sources import replay
 from rill.sources.tables import read_table, stream_table
 from rill.streaming import fs
@@ -151,7 +151,7 @@ def access_log_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
         partition_cols=schemas.ACCESS_LOG_PARTITIONS, properties=MINUTE_COMMIT_PROPERTIES,
     )
     run(sjobs.access_log_job(topic, table, f"{base}/checkpoint", available_now=True))
-    return spark.table(table)
+    return small_files_session(spark).table(table)
 
 
 HOUR_COMMIT_PROPERTIES = {

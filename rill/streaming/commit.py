@@ -178,8 +178,6 @@ class PartitionCommitSink:
             add_partitions(spark, self.table, self.partition_cols, ready)
             refresh(self.table, spark, self.caller)
         if POLICY_SUCCESS_FILE in self.policies:
-            base = location.rstrip("/")
             fs.touch_all(
-                spark,
-                [f"{base}/{_path(p, self.partition_cols)}/{SUCCESS_FILE_NAME}" for p in ready],
+                spark, location.rstrip("/"), [f"{_path(p, self.partition_cols)}/{SUCCESS_FILE_NAME}" for p in ready]
             )

@@ -7,6 +7,8 @@ FileSystem API of the session, so HDFS / S3 / ABFS paths work alike.
 
 from __future__ import annotations
 
+import glob
+import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
@@ -19,6 +21,15 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _local(fs, p) -> str | None:
+    """The absolute path on the mounted file system, None on any other.
+
+    Hadoop without its native library forks two processes for each local file
+    it creates, and each call crosses the gateway; plain system calls do not.
+    """
+    return fs.makeQualified(p).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
@@ -80,6 +91,9 @@ def list_files(spark: SparkSession, path: str, depth: int) -> list[str]:
     permissions as well.
     """
     fs, p = _fs(spark, path)
+    local = _local(fs, p)
+    if local is not None:
+        return sorted(glob.glob("*/" * depth + "part-*", root_dir=local))
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(p, "*/" * depth + "part-*"))
     names = (s.getPath().toUri().getPath() for s in found or [])
     return sorted("/".join(n.split("/")[-depth - 1:]) for n in names)
@@ -107,15 +121,17 @@ def in_parallel(call, items: list, *, threads: int = 16) -> None:
         list(pool.map(call, items))
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create (or overwrite) an empty marker file."""
-    fs, p = _fs(spark, path)
-    fs.create(p, True).close()
-
-
-def touch_all(spark: SparkSession, paths: list[str]) -> None:
-    """Create many markers."""
-    in_parallel(lambda p: touch(spark, p), paths)
+def touch_all(spark: SparkSession, folder: str, names: list[str]) -> None:
+    """Create (or overwrite) empty marker files below ``folder``."""
+    fs, p = _fs(spark, folder)
+    local = _local(fs, p)
+    if local is None:
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        in_parallel(lambda name: fs.create(path(f"{folder}/{name}"), True).close(), names)
+        return
+    for name in names:
+        os.makedirs(os.path.dirname(f"{local}/{name}"), exist_ok=True)
+        open(f"{local}/{name}", "wb").close()
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:

@@ -29,6 +29,9 @@ from rill.streaming import fs
 # Fixed value: folder name of a NULL partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _KEPT_STATES = 3
+# On a local file system each file gets no checksum file beside it (Parquet's pages have checksums
+# of their own): creating a file costs a process there. Other file systems have no such setting.
+_LOCAL_WRITES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
 class BatchLog:
@@ -92,7 +95,7 @@ class StagedBatch:
             seen, F.count_if(kept).alias("__rows"), *[m.alias(n) for n, m in (measures or {}).items()]
         )
         rows = (measured.where(kept) if keep is not None else measured).drop(*drop)
-        writer = rebalanced(rows, partition_cols).write.mode("overwrite")
+        writer = rebalanced(rows, partition_cols).write.mode("overwrite").options(**_LOCAL_WRITES)
         (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(self.folder)
         values = {**dict.fromkeys(measures or {}), **observed(seen)}
         files = fs.list_files(self.spark, self.folder, len(partition_cols)) if values.pop("__rows", 0) else []
